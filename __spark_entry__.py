@@ -43,9 +43,10 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_TS = "2024-01-01 00:00:00"
 DIGITS = 6
 STREAM_TIMEOUT_S = 1800
-# Messages per topic file and files per micro-batch for the file-backed topic:
-# several micro-batches at every scale, each a bounded slice of the input.
-ROWS_PER_FILE = 2000
+# Messages per topic file and files per micro-batch for the file-backed topic
+# (the rate cap): each micro-batch is a bounded slice of at most 10 000
+# messages, so every scale runs several batches and carries state across them.
+ROWS_PER_FILE = 5000
 FILES_PER_TRIGGER = 2
 
 

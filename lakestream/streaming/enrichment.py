@@ -58,8 +58,14 @@ def start(stream: DataFrame, batch_fn: BatchFunction, checkpoint: str,
 def run_enrichment(messages: DataFrame, bio: DataFrame, sinks: Sequence[Sink], checkpoint: str,
                    key: str = ATHLETE_KEY, run_ts=None, digits: int | None = None,
                    broadcast: bool | str = "checked", trigger: str | None = "available_now",
-                   finite_only: bool = False) -> StreamingQuery:
-    """The whole streaming job; returns the running query (callers may await it)."""
+                   finite_only: bool = False, refresh_dimension: bool = True) -> StreamingQuery:
+    """The whole streaming job; returns the running query (callers may await it).
+
+    ``refresh_dimension=False`` persists the dimension once instead of
+    re-reading it every micro-batch (no freshness, less load on its source).
+    """
+    if not refresh_dimension:
+        bio = bio.persist()
     events = parse_results(messages)
     stats = enriched_stats(events, bio, key, run_ts=run_ts, digits=digits,
                            broadcast=broadcast, finite_only=finite_only)
@@ -99,6 +105,17 @@ def combine_batch_means(history: DataFrame, keys: Sequence[str],
     return history.groupBy(*keys).agg(*aggs)
 
 
+def start_console(stream: DataFrame, output_mode: str = "update",
+                  trigger: str | None = None) -> StreamingQuery:
+    """Print every micro-batch in full (no truncation) — for watching a stream."""
+    writer = stream.writeStream.format("console").option("truncate", False).outputMode(output_mode)
+    if trigger == "available_now":
+        writer = writer.trigger(availableNow=True)
+    elif trigger:
+        writer = writer.trigger(processingTime=trigger)
+    return writer.start()
+
+
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """The Parquet history written by :func:`parquet_history_sink`."""
     return spark.read.parquet(path)

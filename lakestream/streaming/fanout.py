@@ -61,18 +61,28 @@ def jdbc_sink(options: dict[str, str]) -> Sink:
 
 
 def fan_out(*sinks: Sink, tag: bool = True, skip_empty: bool = True,
+            rows_per_file: int | None = 1_000_000,
             storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> BatchFunction:
-    """A ``foreachBatch`` function writing every micro-batch to all ``sinks``."""
+    """A ``foreachBatch`` function writing every micro-batch to all ``sinks``.
+
+    The batch is computed once (persisted), counted once (which also serves
+    the empty-batch check), and narrowed without a shuffle to about one
+    partition per ``rows_per_file`` rows, so a batch of a few changed groups
+    does not become one tiny file per state partition in every sink.
+    """
     def run(batch_df: DataFrame, batch_id: int) -> None:
-        if skip_empty and batch_df.isEmpty():
-            return
-        out = batch_df.withColumn(BATCH_COL, batch_tag(batch_id)) if tag else batch_df
-        out.persist(storage)
+        cached = batch_df.withColumn(BATCH_COL, batch_tag(batch_id)) if tag else batch_df
+        cached.persist(storage)
         try:
+            rows = cached.count()
+            if skip_empty and rows == 0:
+                return
+            # coalesce never raises the partition count, so small batches shrink only
+            out = cached.coalesce(max(1, -(-rows // rows_per_file))) if rows_per_file else cached
             for sink in sinks:
                 sink(out, batch_id)
         finally:
-            out.unpersist()
+            cached.unpersist()
     return run
 
 
