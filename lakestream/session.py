@@ -21,6 +21,15 @@ ADAPTIVE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
 }
 
+# Streaming state in RocksDB (off the JVM heap, incremental checkpoints of
+# changed keys only). Takes effect for new checkpoints; a restarted query
+# keeps the provider its checkpoint was created with.
+STREAMING_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
                   app: str = "lakestream", extra: dict | None = None) -> SparkSession:
@@ -36,16 +45,16 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true")
     )
-    for k, v in {**ADAPTIVE_CONF, **(extra or {})}.items():
+    for k, v in {**ADAPTIVE_CONF, **STREAMING_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def tune_adaptive(spark: SparkSession) -> None:
-    """Switch on adaptive execution settings the caller has not set."""
-    for k, v in ADAPTIVE_CONF.items():
+def tune(spark: SparkSession) -> None:
+    """Apply the adaptive-execution and state-store settings the caller has not set."""
+    for k, v in {**ADAPTIVE_CONF, **STREAMING_CONF}.items():
         if spark.conf.get(k, None) in (None, ""):
             spark.conf.set(k, v)
 
