@@ -82,19 +82,24 @@ def bronze_to_silver(spark: SparkSession, root: str, tables: Iterable[str] = LAK
 def silver_to_gold(spark: SparkSession, root: str, bio_table: str = BIO_TABLE,
                    results_table: str = RESULTS_TABLE, gold_table: str = GOLD_TABLE,
                    run_ts=None, digits: int | None = None,
-                   broadcast: bool | str = "checked") -> str:
-    """Join the silver tables, average per group, write ``gold/{gold_table}``."""
+                   broadcast: bool | str = "checked", skew: str = "adaptive") -> str:
+    """Join the silver tables, average per group, write ``gold/{gold_table}``.
+
+    ``broadcast`` and ``skew`` choose the join strategy as in :func:`gold_stats`.
+    """
     bio = read_layer(spark, root, SILVER, bio_table)
     results = read_layer(spark, root, SILVER, results_table)
-    stats = gold_stats(results, bio, run_ts=run_ts, digits=digits, broadcast=broadcast)
+    stats = gold_stats(results, bio, run_ts=run_ts, digits=digits, broadcast=broadcast, skew=skew)
     return write_layer(stats, root, GOLD, gold_table)
 
 
 def run_medallion(spark: SparkSession, landing_dir: str, root: str,
                   tables: Sequence[str] = LAKE_TABLES, run_ts=None, digits: int | None = None,
-                  schemas: Mapping[str, object] | None = None) -> str:
+                  schemas: Mapping[str, object] | None = None,
+                  broadcast: bool | str = "checked", skew: str = "adaptive") -> str:
     """The three jobs strictly in order; safe to re-run (every layer is overwritten)."""
     landing_to_bronze(spark, landing_dir, root, tables, schemas)
     bronze_to_silver(spark, root, tables)
     bio_table, results_table = tables[0], tables[1]
-    return silver_to_gold(spark, root, bio_table, results_table, run_ts=run_ts, digits=digits)
+    return silver_to_gold(spark, root, bio_table, results_table, run_ts=run_ts, digits=digits,
+                          broadcast=broadcast, skew=skew)

@@ -113,3 +113,53 @@ def test_per_batch_stats_combine_to_global(spark, scratch):
     assert combined == {"Row": 180.0}
     whole = transform(_events(spark, rows))
     assert {r.sport: r.avg_height for r in whole.collect()} == combined
+
+
+def test_fan_out_skips_empty_batches_and_computes_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(x):
+        calls.add(1)
+        return x
+
+    got = {}
+
+    def sink(name):
+        def write(df, batch_id):
+            got.setdefault(name, []).append((batch_id, sorted(tuple(r) for r in df.collect())))
+        return write
+
+    fn = fan_out(sink("a"), sink("b"))
+    empty = spark.range(0).select(counted(F.col("id").cast("int")).alias("x"))
+    fn(empty, 3)
+    assert got == {}
+
+    rows = spark.range(5).select(counted(F.col("id").cast("int")).alias("x"))
+    fn(rows, 4)
+    expected = [(4, [(i, "4") for i in range(5)])]
+    assert got == {"a": expected, "b": expected}
+    # persisted once: every row went through the expression once for two sinks
+    assert calls.value == 5
+
+
+def test_per_batch_skips_empty_batches(spark):
+    seen = []
+    fn = per_batch(lambda df: df.groupBy().count(), lambda df, b: seen.append(b))
+    fn(spark.range(0), 0)
+    fn(spark.range(3), 1)
+    assert seen == [1]
+
+
+def test_console_sink_prints_every_row(spark, scratch):
+    from lakestream.streaming import start_console
+
+    topic = scratch("topic")
+    _publish(spark, topic, [(1, "Swim", "Gold"), (5, "Row", None)])
+    parsed = parse_results(read_messages_stream(spark, topic, 1)).select("athlete_id", "sport")
+    q = start_console(parsed, "append", trigger="available_now")
+    await_done(q, 300)
+    # the JVM prints to the stdout it was started with, out of this test's reach;
+    # the query's progress shows both rows went through the console sink
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 2
+    assert "Console" in q.lastProgress["sink"]["description"]
