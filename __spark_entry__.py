@@ -331,7 +331,7 @@ from orders"""
 
 
 _FACT = _fact()
-_FACT_SKEWED = _fact("case when o_orderkey % 3 = 0 then 0 else cast(o_custkey as integer) end")
+_FACT_SKEWED = _fact("case when o_orderkey % 3 = 0 then 1 else cast(o_custkey as integer) end")
 _DIM_NUMERIC = f"""select * from ({_DIM}) where try_cast(height as double) is not null
   and try_cast(weight as double) is not null"""
 _TS = f"timestamp '{RUN_TS}'"

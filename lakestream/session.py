@@ -14,11 +14,22 @@ from pyspark.sql import SparkSession
 
 # Settings that matter at any scale: adaptive execution re-plans joins from
 # measured shuffle sizes, coalesces small partitions and splits skewed ones.
+# It may turn a join into a broadcast join once the shuffle has *measured* a
+# side below 64 MB (the same bound as the library's checked broadcasts).
 ADAPTIVE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+}
+
+# No broadcast from static estimates: those come from compressed file sizes,
+# which understate rows in memory and ignore filters, so they bound nothing.
+# Broadcasts then come only from a measured check (operators.enrich) or from
+# adaptive execution's measured shuffle sizes.
+BROADCAST_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
 }
 
 # Streaming state in RocksDB (off the JVM heap, incremental checkpoints of
@@ -45,18 +56,25 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true")
     )
-    for k, v in {**ADAPTIVE_CONF, **STREAMING_CONF, **(extra or {})}.items():
+    for k, v in {**ADAPTIVE_CONF, **BROADCAST_CONF, **STREAMING_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def tune(spark: SparkSession) -> None:
-    """Apply the adaptive-execution and state-store settings the caller has not set."""
+def tune(spark: SparkSession, measured_broadcasts_only: bool = True) -> None:
+    """Apply the adaptive-execution and state-store settings the caller has not set.
+
+    ``measured_broadcasts_only`` also turns off broadcasts planned from static
+    size estimates (that setting always has a value, so it is set explicitly).
+    """
     for k, v in {**ADAPTIVE_CONF, **STREAMING_CONF}.items():
         if spark.conf.get(k, None) in (None, ""):
             spark.conf.set(k, v)
+    if measured_broadcasts_only:
+        for k, v in BROADCAST_CONF.items():
+            spark.conf.set(k, v)
 
 
 def shared_dir(spark: SparkSession) -> str:

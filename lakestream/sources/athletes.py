@@ -77,11 +77,12 @@ def athlete_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def skewed_results_view(orders: DataFrame) -> DataFrame:
-    """Results where one athlete (id 0) holds every third result: a hot key.
+    """Results where one athlete (id 1) holds every third result: a hot key.
 
     Same rows as :func:`results_view`; only ``athlete_id`` changes, so a third
-    of all facts share one join key.
+    of all facts share one join key. Athlete 1 has a complete dimension row
+    (country and both measures valid), so the hot key's facts reach the result.
     """
     base = results_view(orders)
-    hot = F.when(F.col("result_id") % 3 == 0, F.lit(0)).otherwise(F.col("athlete_id"))
+    hot = F.when(F.col("result_id") % 3 == 0, F.lit(1)).otherwise(F.col("athlete_id"))
     return base.withColumn("athlete_id", hot.cast("int"))
