@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakestream.functions import as_double, run_timestamp
-from lakestream.operators import group_means, parse_json
+from lakestream.operators import estimate_size, fits_broadcast, group_means, parse_json
+from lakestream.operators.enrich import DEFAULT_MAX_BROADCAST_BYTES
 from lakestream.plans.medallion import enriched_stats
 from lakestream.schemas import ATHLETE_KEY, MEASURES, RESULT_EVENT_SCHEMA
 from lakestream.streaming.fanout import BatchFunction, Sink, fan_out, per_batch
@@ -55,21 +56,57 @@ def start(stream: DataFrame, batch_fn: BatchFunction, checkpoint: str,
     return writer.start()
 
 
+class DimensionTooLarge(RuntimeError):
+    """The broadcast dimension of a running stream outgrew its size bound."""
+
+
+def broadcast_guard(batch_fn: BatchFunction, dim: DataFrame, max_bytes: int,
+                    every: int) -> BatchFunction:
+    """Re-measure a broadcast dimension every ``every`` micro-batches.
+
+    The check runs before the micro-batch is computed, so an oversized
+    dimension is never broadcast: the query stops with
+    :class:`DimensionTooLarge`, nothing of that batch is committed, and a
+    restart on the same checkpoint measures again and plans a shuffle join.
+    """
+    def run(batch_df: DataFrame, batch_id: int) -> None:
+        if batch_id % every == 0:
+            size = estimate_size(dim).bytes
+            if size > max_bytes:
+                raise DimensionTooLarge(
+                    f"dimension is {size} bytes, above the {max_bytes}-byte broadcast bound; "
+                    "restart the query to plan a shuffle join")
+        batch_fn(batch_df, batch_id)
+    return run
+
+
 def run_enrichment(messages: DataFrame, bio: DataFrame, sinks: Sequence[Sink], checkpoint: str,
                    key: str = ATHLETE_KEY, run_ts=None, digits: int | None = None,
                    broadcast: bool | str = "checked", trigger: str | None = "available_now",
-                   finite_only: bool = False, refresh_dimension: bool = True) -> StreamingQuery:
+                   finite_only: bool = False, refresh_dimension: bool = True,
+                   max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                   recheck_every: int | None = None) -> StreamingQuery:
     """The whole streaming job; returns the running query (callers may await it).
 
     ``refresh_dimension=False`` persists the dimension once instead of
     re-reading it every micro-batch (no freshness, less load on its source).
+    ``broadcast="checked"`` measures the dimension when the query starts;
+    with ``recheck_every=N`` a re-read dimension that was broadcast is
+    measured again every N micro-batches (see :func:`broadcast_guard`).
+    Adaptive execution does not run inside streams, so without a broadcast a
+    hot key's events of one micro-batch meet in one task; the rate cap bounds
+    that load.
     """
     if not refresh_dimension:
         bio = bio.persist()
+    hint = fits_broadcast(bio, max_broadcast_bytes) if broadcast == "checked" else bool(broadcast)
     events = parse_results(messages)
     stats = enriched_stats(events, bio, key, run_ts=run_ts, digits=digits,
-                           broadcast=broadcast, finite_only=finite_only)
-    return start(stats, fan_out(*sinks), checkpoint, "update", trigger)
+                           broadcast=hint, finite_only=finite_only)
+    batch_fn = fan_out(*sinks)
+    if hint and refresh_dimension and recheck_every:
+        batch_fn = broadcast_guard(batch_fn, bio, max_broadcast_bytes, recheck_every)
+    return start(stats, batch_fn, checkpoint, "update", trigger)
 
 
 def batch_means(keys: Sequence[str], measures: Sequence[str] = MEASURES,

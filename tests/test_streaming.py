@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakestream.operators import decode_messages, enrich, latest_per_key, to_envelope
@@ -163,3 +164,35 @@ def test_console_sink_prints_every_row(spark, scratch):
     # the query's progress shows both rows went through the console sink
     assert sum(p["numInputRows"] for p in q.recentProgress) == 2
     assert "Console" in q.lastProgress["sink"]["description"]
+
+
+def test_broadcast_guard_stops_before_computing_an_oversized_batch(spark):
+    from lakestream.operators import estimate_size
+    from lakestream.streaming import DimensionTooLarge, broadcast_guard
+
+    dim = _dim(spark)
+    size = estimate_size(dim).bytes
+    seen = []
+    inner = lambda df, b: seen.append(b)
+    ok = broadcast_guard(inner, dim, size, every=2)
+    for b in range(3):
+        ok(spark.range(1), b)
+    assert seen == [0, 1, 2]
+
+    tight = broadcast_guard(inner, dim, size - 1, every=2)
+    tight(spark.range(1), 1)  # not a check batch
+    with pytest.raises(DimensionTooLarge):
+        tight(spark.range(1), 2)
+    assert seen == [0, 1, 2, 1]
+
+
+def test_enrichment_with_recheck_matches_batch(spark, scratch):
+    topic, hist, ckpt = scratch("topic"), scratch("hist"), scratch("ckpt")
+    _publish(spark, topic, [(1, "Swim", "Gold"), (5, "Row", None), (7, "Row", None)])
+    q = run_enrichment(read_messages_stream(spark, topic, 1), _dim(spark), [parquet_history_sink(hist)],
+                       ckpt, run_ts=RUN_TS, recheck_every=1)
+    await_done(q, 300)
+    got = latest_per_key(spark.read.parquet(hist), STAT_KEYS, BATCH_COL).drop(BATCH_COL)
+    want = enriched_stats(_events(spark, [(1, "Swim", "Gold"), (5, "Row", None), (7, "Row", None)]),
+                          _dim(spark), run_ts=RUN_TS)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
