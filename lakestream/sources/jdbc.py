@@ -49,6 +49,15 @@ def read_jdbc(spark: SparkSession, options: dict[str, str], partition_column: st
     return spark.read.format("jdbc").options(**options).load()
 
 
-def write_jdbc(df: DataFrame, options: dict[str, str], mode: str = "append") -> None:
-    """Append (by default) rows to a table; each task writes its own partition."""
-    df.write.format("jdbc").options(**options).mode(mode).save()
+def write_jdbc(df: DataFrame, options: dict[str, str], mode: str = "append",
+               max_connections: int | None = 64) -> None:
+    """Append (by default) rows to a table; each task writes its own partition.
+
+    ``max_connections`` caps the concurrent connections (Spark narrows the
+    partitions without a shuffle before writing), so a wide job does not open
+    thousands of connections against one database.
+    """
+    writer = df.write.format("jdbc").options(**options).mode(mode)
+    if max_connections and "numPartitions" not in options:
+        writer = writer.option("numPartitions", str(max_connections))
+    writer.save()

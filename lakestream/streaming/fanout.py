@@ -53,10 +53,10 @@ def kafka_sink(options: dict[str, str], topic: str, keep_nulls: bool = False) ->
     return write
 
 
-def jdbc_sink(options: dict[str, str]) -> Sink:
-    """Append each batch to a database table."""
+def jdbc_sink(options: dict[str, str], max_connections: int | None = 64) -> Sink:
+    """Append each batch to a database table over at most ``max_connections``."""
     def write(df: DataFrame, batch_id: int) -> None:
-        write_jdbc(df, options, mode="append")
+        write_jdbc(df, options, mode="append", max_connections=max_connections)
     return write
 
 
