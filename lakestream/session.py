@@ -43,10 +43,16 @@ STREAMING_CONF = {
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
-                  app: str = "lakestream", extra: dict | None = None) -> SparkSession:
-    """A local session configured like the tests and the benchmark expect."""
+                  app: str = "lakestream", extra: dict | None = None,
+                  task_attempts: int | None = None) -> SparkSession:
+    """A local session configured like the tests and the benchmark expect.
+
+    ``task_attempts`` > 1 retries a failed task like a cluster does (local
+    mode otherwise fails the job on the first task failure).
+    """
+    master = f"local[{cores},{task_attempts}]" if task_attempts else f"local[{cores}]"
     builder = (
-        SparkSession.builder.master(f"local[{cores}]")
+        SparkSession.builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

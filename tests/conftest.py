@@ -16,7 +16,8 @@ SF_MID = "/root/testdata/sf0.01"
 def spark(tmp_path_factory):
     from lakestream.session import local_session
 
-    s = local_session(4, shuffle_partitions=4, app="lakestream-tests")
+    # failed tasks are retried, as on a cluster
+    s = local_session(4, shuffle_partitions=4, app="lakestream-tests", task_attempts=4)
     if not s.sparkContext.getConf().get("spark.checkpoint.dir", None):
         s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
     yield s

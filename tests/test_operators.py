@@ -76,15 +76,17 @@ def test_enrich_checked_broadcast_and_fallback(spark):
     small = enrich(facts, dim, "k", broadcast="checked")
     assert "BroadcastHashJoin" in _plan(small)
     # over the limit: no hint; with Spark's own size-based broadcast off, a shuffle join
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
     try:
         big = enrich(facts, dim, "k", broadcast="checked", max_broadcast_bytes=10)
         assert "BroadcastHashJoin" not in big._jdf.queryExecution().sparkPlan().toString()
         assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        for k, v in before.items():  # restore the session's values, not Spark's defaults
+            spark.conf.set(k, v)
 
 
 def test_no_nested_loop_join_for_the_enrichment(spark):

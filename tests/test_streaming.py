@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -196,3 +198,39 @@ def test_enrichment_with_recheck_matches_batch(spark, scratch):
     want = enriched_stats(_events(spark, [(1, "Swim", "Gold"), (5, "Row", None), (7, "Row", None)]),
                           _dim(spark), run_ts=RUN_TS)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+
+
+def test_stream_is_exact_when_tasks_fail(spark, scratch):
+    """A lost task is re-run: the running state and every sink stay exact."""
+    from pyspark import TaskContext
+
+    topic, hist, out, ckpt = scratch("topic"), scratch("hist"), scratch("out"), scratch("ckpt")
+    marks = scratch("failures").removeprefix("file:")  # local in tests; one file per injected failure
+    os.makedirs(marks)
+
+    @F.udf("boolean")
+    def first_attempt_fails(_):
+        ctx = TaskContext.get()
+        if ctx.attemptNumber() == 0 and ctx.partitionId() == 0:
+            open(os.path.join(marks, f"{ctx.stageId()}-{ctx.taskAttemptId()}"), "w").close()
+            raise RuntimeError("injected task failure")
+        return True
+
+    rows = [(1, "Swim", "Gold"), (5, "Row", None), (1, "Swim", "Gold"), (5, "Swim", "Gold")]
+    _publish(spark, topic, rows[:2])
+    _publish(spark, topic, rows[2:])
+    messages = read_messages_stream(spark, topic, 1)
+    messages = messages.filter(first_attempt_fails(messages["value"]))
+    q = run_enrichment(messages, _dim(spark), [parquet_history_sink(hist), message_files_sink(out)],
+                       ckpt, run_ts=RUN_TS)
+    await_done(q, 300)
+    want = sorted(map(tuple, enriched_stats(_events(spark, rows), _dim(spark), run_ts=RUN_TS).collect()))
+    got = latest_per_key(spark.read.parquet(hist), STAT_KEYS, BATCH_COL).drop(BATCH_COL)
+    assert sorted(map(tuple, got.collect())) == want
+    # the message sink holds each batch once (a retried task does not append twice)
+    schema = "sport string, medal string, sex string, country_noc string, avg_height double, " \
+             "avg_weight double, timestamp timestamp_ntz, batch_id string"
+    msgs = decode_messages(read_messages(spark, out), spark.createDataFrame([], schema).schema)
+    hist_rows = spark.read.parquet(hist).count()
+    assert msgs.count() == hist_rows
+    assert len(os.listdir(marks)) >= 2  # a failure was injected in each micro-batch
