@@ -31,7 +31,7 @@ from lakestream.schemas import (ATHLETE_KEY, BATCH_COL, GOLD_SCHEMA, MEASURES,
 from lakestream.session import scratch_path  # noqa: E402
 from lakestream.sources import (read_layer, read_messages, read_messages_stream,  # noqa: E402
                                 write_csv, write_layer)
-from lakestream.sources.athletes import (athlete_inputs, bio_view, results_view,  # noqa: E402
+from lakestream.sources.athletes import (athlete_inputs, bio_view,  # noqa: E402
                                          skewed_results_view, table)
 from lakestream.sources.files import BRONZE, GOLD  # noqa: E402
 from lakestream.sources.topics import write_messages  # noqa: E402

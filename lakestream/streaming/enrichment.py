@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakestream.functions import as_double, run_timestamp
-from lakestream.operators import estimate_size, fits_broadcast, group_means, parse_json
+from lakestream.operators import estimate_size, fits_broadcast, parse_json
 from lakestream.operators.enrich import DEFAULT_MAX_BROADCAST_BYTES
 from lakestream.plans.medallion import enriched_stats
 from lakestream.schemas import ATHLETE_KEY, MEASURES, RESULT_EVENT_SCHEMA
@@ -158,8 +158,6 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-
-
 def await_done(query: StreamingQuery, timeout_s: float | None = None) -> None:
     """Wait for an ``availableNow`` query to finish; re-raise its failure."""
     finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
