@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
+from pyspark import InheritableThread, StorageLevel
 from pyspark.sql import DataFrame
 
 from lakestream.functions import batch_tag
@@ -60,15 +60,45 @@ def jdbc_sink(options: dict[str, str], max_connections: int | None = 64) -> Sink
     return write
 
 
+def _write_all(sinks: tuple[Sink, ...], df: DataFrame, batch_id: int, parallel: bool) -> None:
+    """Call every sink; with ``parallel`` each sink's job runs concurrently.
+
+    Threads are ``InheritableThread``s, so the sink jobs carry the stream's
+    local properties (job group: stopping the query cancels them too). The
+    first sink error is raised after all sinks finished, failing the batch.
+    """
+    if not parallel or len(sinks) < 2:
+        for sink in sinks:
+            sink(df, batch_id)
+        return
+    errors: list[BaseException] = []
+
+    def call(sink: Sink) -> None:
+        try:
+            sink(df, batch_id)
+        except BaseException as e:  # re-raised on the stream's thread below
+            errors.append(e)
+
+    threads = [InheritableThread(target=call, args=(sink,)) for sink in sinks]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if errors:
+        raise errors[0]
+
+
 def fan_out(*sinks: Sink, tag: bool = True, skip_empty: bool = True,
             rows_per_file: int | None = 1_000_000,
-            storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> BatchFunction:
+            storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+            parallel: bool = True) -> BatchFunction:
     """A ``foreachBatch`` function writing every micro-batch to all ``sinks``.
 
     The batch is computed once (persisted), counted once (which also serves
     the empty-batch check), and narrowed without a shuffle to about one
     partition per ``rows_per_file`` rows, so a batch of a few changed groups
-    does not become one tiny file per state partition in every sink.
+    does not become one tiny file per state partition in every sink. The
+    sinks then write concurrently (``parallel``), each reading the cached batch.
     """
     def run(batch_df: DataFrame, batch_id: int) -> None:
         cached = batch_df.withColumn(BATCH_COL, batch_tag(batch_id)) if tag else batch_df
@@ -79,8 +109,7 @@ def fan_out(*sinks: Sink, tag: bool = True, skip_empty: bool = True,
                 return
             # coalesce never raises the partition count, so small batches shrink only
             out = cached.coalesce(max(1, -(-rows // rows_per_file))) if rows_per_file else cached
-            for sink in sinks:
-                sink(out, batch_id)
+            _write_all(sinks, out, batch_id, parallel)
         finally:
             cached.unpersist()
     return run

@@ -234,3 +234,17 @@ def test_stream_is_exact_when_tasks_fail(spark, scratch):
     hist_rows = spark.read.parquet(hist).count()
     assert msgs.count() == hist_rows
     assert len(os.listdir(marks)) >= 2  # a failure was injected in each micro-batch
+
+
+def test_fan_out_error_in_one_parallel_sink_fails_the_batch(spark):
+    written = []
+
+    def good(df, batch_id):
+        written.append(df.count())
+
+    def bad(df, batch_id):
+        raise OSError("sink unavailable")
+
+    with pytest.raises(OSError, match="sink unavailable"):
+        fan_out(good, bad)(spark.range(3), 0)
+    assert written == [3]  # the other sink still ran; the batch is replayed as a whole
