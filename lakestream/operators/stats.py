@@ -33,6 +33,28 @@ def group_means(df: DataFrame, keys: Sequence[str] = STAT_KEYS,
     return out
 
 
+def weighted_means(df: DataFrame, weight: str, keys: Sequence[str] = STAT_KEYS,
+                   measures: Sequence[str] = MEASURES, run_ts=None, digits: int | None = None,
+                   ts_col: str | None = TIMESTAMP_COL) -> DataFrame:
+    """:func:`group_means` over rows that each stand for ``weight`` equal rows.
+
+    ``avg_<m> = Σ(weight·m) / Σ(weight where m is not NULL)``: the same value
+    as averaging the expanded rows (NULL when no row has a number, NaN when
+    one is NaN). Lets a join run on pre-aggregated counts instead of on every
+    row.
+    """
+    w = df[weight]
+    aggs = []
+    for m in measures:
+        v = as_double(df[m])
+        a = F.sum(v * w) / F.sum(F.when(v.isNotNull(), w))
+        aggs.append((F.round(a, digits) if digits is not None else a).alias(f"avg_{m}"))
+    out = df.groupBy(*keys).agg(*aggs)
+    if ts_col:
+        out = out.withColumn(ts_col, run_timestamp(run_ts))
+    return out
+
+
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
     """One row with the table's row count."""
     return df.agg(F.count(F.lit(1)).alias(name))

@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakestream.operators import (clean_string_columns, coerce_numeric, dedup_rows, enrich,
-                                  group_means, numeric_rows, require_not_null)
+from lakestream.operators import (clean_string_columns, coerce_numeric, dedup_rows,
+                                  drop_shared_columns, enrich, fits_broadcast, group_means,
+                                  numeric_rows, require_not_null, weighted_means)
 from lakestream.schemas import ATHLETE_KEY, MEASURES, STAT_KEYS
 from lakestream.sources.files import BRONZE, GOLD, SILVER, read_csv, read_layer, write_layer
 
@@ -28,19 +30,47 @@ NOT_NULL_KEYS = ("sex", "country_noc", "sport")
 
 def gold_stats(results: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, run_ts=None,
                digits: int | None = None, broadcast: bool | str = "checked",
-               skew: str = "adaptive") -> DataFrame:
+               skew: str = "adaptive", pre_aggregate: bool | str = "auto") -> DataFrame:
     """Average height and weight per (sport, medal, sex, country_noc).
 
     Inner join on ``key`` (the dimension's copy of shared columns wins),
     measures coerced to double (bad text → NULL, ignored by the average),
     rows with a NULL sex, country or sport dropped, then grouped.
+
+    Join plans: a dimension that measures below the broadcast bound is
+    broadcast, so the facts are never shuffled for the join and the one
+    shuffle carries partial aggregates. Otherwise (``pre_aggregate="auto"``)
+    the facts are first counted per (key, fact-side group columns), inside
+    every map task before the shuffle, and only those counts are joined and
+    averaged with the counts as weights: the join shuffle carries one row per
+    athlete and group instead of every fact, and a key holding a third of all
+    facts arrives as a handful of rows. ``pre_aggregate=False`` joins every
+    fact (then ``skew`` applies to the fact rows).
     """
-    joined = enrich(results, bio, key, "inner", broadcast=broadcast, skew=skew)
+    hint = fits_broadcast(bio) if broadcast == "checked" else bool(broadcast)
+    eager = pre_aggregate is True or (pre_aggregate == "auto" and not hint)
+    if eager and all(m in bio.columns for m in MEASURES):
+        return _pre_aggregated_gold(results, bio, key, run_ts, digits, hint, skew)
+    joined = enrich(results, bio, key, "inner", broadcast=hint, skew=skew)
     numeric = coerce_numeric(joined, MEASURES)
     kept = require_not_null(numeric.select(*STAT_KEYS, *MEASURES), NOT_NULL_KEYS)
     return group_means(kept, STAT_KEYS, MEASURES, run_ts=run_ts, digits=digits)
 
 
+_WEIGHT = "_facts"
+
+
+def _pre_aggregated_gold(results: DataFrame, bio: DataFrame, key: str, run_ts, digits: int | None,
+                         broadcast: bool, skew: str) -> DataFrame:
+    """Count facts per (key, fact-side group columns), join the counts, weighted means."""
+    facts = drop_shared_columns(results, bio, key)  # measures and shared keys come from bio
+    fact_keys = [k for k in STAT_KEYS if k in facts.columns]
+    counts = facts.groupBy(key, *fact_keys).agg(F.count(F.lit(1)).alias(_WEIGHT))
+    joined = enrich(counts, bio, key, "inner", broadcast=broadcast, skew=skew, drop_shared=False)
+    kept = require_not_null(joined.select(*STAT_KEYS, *MEASURES, _WEIGHT), NOT_NULL_KEYS)
+    return weighted_means(kept, _WEIGHT, STAT_KEYS, MEASURES, run_ts=run_ts, digits=digits)
+
+
 def enriched_stats(events: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, run_ts=None,
                    digits: int | None = None, broadcast: bool | str = "checked",
                    finite_only: bool = False) -> DataFrame:
@@ -82,14 +112,16 @@ def bronze_to_silver(spark: SparkSession, root: str, tables: Iterable[str] = LAK
 def silver_to_gold(spark: SparkSession, root: str, bio_table: str = BIO_TABLE,
                    results_table: str = RESULTS_TABLE, gold_table: str = GOLD_TABLE,
                    run_ts=None, digits: int | None = None,
-                   broadcast: bool | str = "checked", skew: str = "adaptive") -> str:
+                   broadcast: bool | str = "checked", skew: str = "adaptive",
+                   pre_aggregate: bool | str = "auto") -> str:
     """Join the silver tables, average per group, write ``gold/{gold_table}``.
 
-    ``broadcast`` and ``skew`` choose the join strategy as in :func:`gold_stats`.
+    ``broadcast``, ``skew`` and ``pre_aggregate`` choose the plan as in :func:`gold_stats`.
     """
     bio = read_layer(spark, root, SILVER, bio_table)
     results = read_layer(spark, root, SILVER, results_table)
-    stats = gold_stats(results, bio, run_ts=run_ts, digits=digits, broadcast=broadcast, skew=skew)
+    stats = gold_stats(results, bio, run_ts=run_ts, digits=digits, broadcast=broadcast, skew=skew,
+                       pre_aggregate=pre_aggregate)
     return write_layer(stats, root, GOLD, gold_table)
 
 

@@ -156,3 +156,17 @@ def test_flagship_on_smoke_tables(spark):
     assert df.columns == ["sport", "medal", "sex", "country_noc", "avg_height", "avg_weight", "timestamp"]
     assert df.count() > 0
     assert "BroadcastHashJoin" in _plan(entry.q_gold_stats(spark, SF_SMALL))
+
+
+def test_weighted_means_equal_means_of_expanded_rows(spark):
+    from lakestream.operators import weighted_means
+
+    rows = [("a", "1.5", "x", 3), ("a", "na", "2", 2), ("a", None, "4", 1), ("b", "NaN", "1", 2),
+            ("c", "bad", None, 5)]
+    df = spark.createDataFrame(rows, "g string, height string, weight string, n long")
+    expanded = df.select("g", "height", "weight", F.explode(F.sequence(F.lit(1), "n")).alias("_"))
+    want = sorted(map(tuple, group_means(expanded, ["g"], ["height", "weight"], ts_col=None).collect()),
+                  key=str)
+    got = sorted(map(tuple, weighted_means(df, "n", ["g"], ["height", "weight"], ts_col=None).collect()),
+                 key=str)
+    assert str(got) == str(want)  # str() so NaN == NaN

@@ -60,3 +60,12 @@ def test_dedup_and_latest_aggregate_before_the_shuffle(spark):
     hist = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "k int, v string, batch_id int")
     text = plan(latest_per_key(hist, ["k"], "batch_id"))
     assert "partial_max_by" in text
+
+
+def test_pre_aggregated_gold_joins_counts_not_facts(spark):
+    text = plan(entry.q_gold_stats_preagg(spark, SF_SMALL), "formatted")
+    tree = text.split("\n\n")[0].splitlines()
+    smj = next(i for i, line in enumerate(tree) if "SortMergeJoin" in line)
+    scan = next(i for i, line in enumerate(tree) if "Scan parquet" in line and i > smj)  # orders, first child
+    assert any("HashAggregate" in line for line in tree[smj:scan])
+    assert "BroadcastNestedLoopJoin" not in text

@@ -64,11 +64,13 @@ def test_gold_same_under_every_join_strategy(spark, scratch):
     write_layer(bio, root, "silver", "athlete_bio")
     write_layer(res, root, "silver", "athlete_event_results")
     got = []
-    for name, broadcast, skew in [("a", "checked", "adaptive"), ("b", False, "adaptive"), ("c", False, "split")]:
+    plans = [("a", "checked", "adaptive", "auto"), ("b", False, "adaptive", False),
+             ("c", False, "split", False), ("d", False, "adaptive", "auto"), ("e", True, "adaptive", True)]
+    for name, broadcast, skew, pre in plans:
         silver_to_gold(spark, root, gold_table=name, run_ts="2024-01-01 00:00:00",
-                       broadcast=broadcast, skew=skew)
+                       broadcast=broadcast, skew=skew, pre_aggregate=pre)
         got.append(sorted(tuple(r) for r in read_layer(spark, root, "gold", name).collect()))
-    assert got[0] == got[1] == got[2] and len(got[0]) > 0
+    assert all(g == got[0] for g in got) and len(got[0]) > 0
 
 
 def test_medallion_from_csv(spark, scratch):
