@@ -48,9 +48,8 @@ def gold_stats(results: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, run_t
     fact (then ``skew`` applies to the fact rows).
     """
     hint = fits_broadcast(bio) if broadcast == "checked" else bool(broadcast)
-    eager = pre_aggregate is True or (pre_aggregate == "auto" and not hint)
-    if eager and all(m in bio.columns for m in MEASURES):
-        return _pre_aggregated_gold(results, bio, key, run_ts, digits, hint, skew)
+    if _eager(results, bio, hint, pre_aggregate):
+        return _pre_aggregated_means(results, bio, key, "inner", run_ts, digits, hint, skew)
     joined = enrich(results, bio, key, "inner", broadcast=hint, skew=skew)
     numeric = coerce_numeric(joined, MEASURES)
     kept = require_not_null(numeric.select(*STAT_KEYS, *MEASURES), NOT_NULL_KEYS)
@@ -60,28 +59,41 @@ def gold_stats(results: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, run_t
 _WEIGHT = "_facts"
 
 
-def _pre_aggregated_gold(results: DataFrame, bio: DataFrame, key: str, run_ts, digits: int | None,
-                         broadcast: bool, skew: str) -> DataFrame:
+def _eager(facts: DataFrame, dim: DataFrame, broadcast: bool, pre_aggregate: bool | str) -> bool:
+    """Aggregate before the join? Only for batch facts, measures from the dimension,
+    and (by default) only when the dimension is not broadcast."""
+    wanted = pre_aggregate is True or (pre_aggregate == "auto" and not broadcast)
+    return wanted and not facts.isStreaming and all(m in dim.columns for m in MEASURES)
+
+
+def _pre_aggregated_means(facts: DataFrame, dim: DataFrame, key: str, how: str, run_ts,
+                          digits: int | None, broadcast: bool, skew: str) -> DataFrame:
     """Count facts per (key, fact-side group columns), join the counts, weighted means."""
-    facts = drop_shared_columns(results, bio, key)  # measures and shared keys come from bio
+    facts = drop_shared_columns(facts, dim, key)  # measures and shared keys come from dim
     fact_keys = [k for k in STAT_KEYS if k in facts.columns]
     counts = facts.groupBy(key, *fact_keys).agg(F.count(F.lit(1)).alias(_WEIGHT))
-    joined = enrich(counts, bio, key, "inner", broadcast=broadcast, skew=skew, drop_shared=False)
+    joined = enrich(counts, dim, key, how, broadcast=broadcast, skew=skew, drop_shared=False)
     kept = require_not_null(joined.select(*STAT_KEYS, *MEASURES, _WEIGHT), NOT_NULL_KEYS)
     return weighted_means(kept, _WEIGHT, STAT_KEYS, MEASURES, run_ts=run_ts, digits=digits)
 
 
 def enriched_stats(events: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, run_ts=None,
                    digits: int | None = None, broadcast: bool | str = "checked",
-                   finite_only: bool = False) -> DataFrame:
+                   finite_only: bool = False, pre_aggregate: bool | str = "auto") -> DataFrame:
     """The stream's statistic, usable on a batch or a streaming ``events`` frame.
 
     Dimension rows need *both* measures numeric; events are left-joined to
     them and rows without sex, country or sport are dropped (which makes the
-    join an inner one), then averaged per group.
+    join an inner one), then averaged per group. On batch events with a
+    dimension that is not broadcast, events are counted per key and group
+    before the join, as in :func:`gold_stats`; a stream always joins events
+    (one stateful aggregation per query in update mode).
     """
     dim = numeric_rows(bio, MEASURES, finite_only=finite_only)
-    joined = enrich(events, dim, key, "left", broadcast=broadcast)
+    hint = fits_broadcast(dim) if broadcast == "checked" else bool(broadcast)
+    if _eager(events, dim, hint, pre_aggregate):
+        return _pre_aggregated_means(events, dim, key, "left", run_ts, digits, hint, "adaptive")
+    joined = enrich(events, dim, key, "left", broadcast=hint)
     kept = require_not_null(joined.select(*STAT_KEYS, *MEASURES), NOT_NULL_KEYS)
     return group_means(kept, STAT_KEYS, MEASURES, run_ts=run_ts, digits=digits)
 
