@@ -26,3 +26,24 @@ def test_jdbc_options_and_partitioning():
     p = partitioned(opts, "athlete_id", 1, 1000, 16)
     assert p["partitionColumn"] == "athlete_id" and p["numPartitions"] == "16"
     assert p["lowerBound"] == "1" and p["upperBound"] == "1000"
+
+
+def test_tune_keeps_user_choices_and_measured_broadcasts(spark):
+    from lakestream.session import tune
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.skewJoin.enabled")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")  # the user's choice
+        tune(spark)
+        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+        assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold") == "32MB"
+        assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
