@@ -19,7 +19,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     """Read delimited text with a header row.
 
     With no ``schema``, types are inferred (an extra pass over the files);
-    at scale pass an explicit schema to read the data once.
+    at scale pass an explicit schema to read the data once. Plain text files
+    are split over many tasks; a gzip file is read by one task, so land large
+    tables as many files or uncompressed.
     """
     reader = spark.read.option("header", header)
     if schema is not None:

@@ -26,7 +26,10 @@ def partitioned(options: dict[str, str], column: str, lower: int, upper: int,
                 num_partitions: int) -> dict[str, str]:
     """Add range partitioning so the table is read by ``num_partitions`` tasks.
 
-    Without it a JDBC scan is a single task on one connection.
+    Without it a JDBC scan is a single task on one connection. Use a column
+    with unique, evenly spread values (a row id, not a foreign key): all rows
+    of one value fall into one range, so a hot value would make one task read
+    its whole share.
     """
     return {**options, "partitionColumn": column, "lowerBound": str(lower),
             "upperBound": str(upper), "numPartitions": str(num_partitions)}

@@ -32,25 +32,34 @@ def kafka_options(bootstrap_servers: str | Sequence[str], security_protocol: str
 
 def read_topic_stream(spark: SparkSession, options: dict[str, str], topic: str,
                       starting_offsets: str = "earliest",
-                      max_offsets_per_trigger: int | None = 1000) -> DataFrame:
+                      max_offsets_per_trigger: int | None = 1000,
+                      min_partitions: int | None = None) -> DataFrame:
     """A topic as a stream of ``key``/``value`` bytes (plus offsets metadata).
 
     ``startingOffsets`` applies only on the first start; afterwards the
     checkpoint decides. ``maxOffsetsPerTrigger`` caps each micro-batch.
+    ``min_partitions`` splits the offsets of large topic partitions over more
+    tasks, so a topic partition holding a large share of the messages is not
+    read by one task.
     """
     reader = (spark.readStream.format("kafka").options(**options)
               .option("subscribe", topic).option("startingOffsets", starting_offsets))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
     return reader.load()
 
 
 def read_topic(spark: SparkSession, options: dict[str, str], topic: str,
-               starting_offsets: str = "earliest", ending_offsets: str = "latest") -> DataFrame:
-    """A topic's current contents as a batch DataFrame."""
-    return (spark.read.format("kafka").options(**options).option("subscribe", topic)
-            .option("startingOffsets", starting_offsets)
-            .option("endingOffsets", ending_offsets).load())
+               starting_offsets: str = "earliest", ending_offsets: str = "latest",
+               min_partitions: int | None = None) -> DataFrame:
+    """A topic's current contents as a batch DataFrame (``min_partitions`` as above)."""
+    reader = (spark.read.format("kafka").options(**options).option("subscribe", topic)
+              .option("startingOffsets", starting_offsets).option("endingOffsets", ending_offsets))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
+    return reader.load()
 
 
 def write_topic(df: DataFrame, options: dict[str, str], topic: str) -> None:
