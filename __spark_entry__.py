@@ -19,11 +19,11 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.types import (IntegerType, StringType, StructField,  # noqa: E402
                                StructType, TimestampNTZType)
 
-from lakestream.functions import clean_text, run_timestamp  # noqa: E402
+from lakestream.functions import clean_text, parse_json_column, run_timestamp  # noqa: E402
 from lakestream.operators import (clean_string_columns, coerce_numeric, decode_messages,  # noqa: E402
                                   dedup_rows, distinct_values, enrich, fits_broadcast, group_means,
                                   indicator_columns, latest_per_key, numeric_rows, parse_json,
-                                  profile, row_count, to_envelope)
+                                  profile, quarantine_unparsed, row_count, to_envelope)
 from lakestream.plans import (BIO_TABLE, RESULTS_TABLE, enriched_stats, gold_stats,  # noqa: E402
                               landing_to_bronze, publish_to_files, run_medallion)
 from lakestream.schemas import (ATHLETE_KEY, BATCH_COL, GOLD_SCHEMA, MEASURES,  # noqa: E402
@@ -106,6 +106,21 @@ def q_json_parse(spark: SparkSession, sf: str) -> DataFrame:
                       value_col="props", keep=("event_id",))
 
 
+def q_quarantine_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Event properties (JSON) and raw pages (not JSON) parsed with one schema;
+    rows whose parsed struct is entirely NULL are split off as quarantined."""
+    events = table(spark, sf, "events").select(
+        F.col("event_id").alias("id"), F.lit("events").alias("source"), F.col("props").alias("value"))
+    pages = table(spark, sf, "pages").select(
+        F.col("page_id").alias("id"), F.lit("pages").alias("source"), F.col("html").alias("value"))
+    schema = StructType([StructField("k", IntegerType())])
+    messages = events.unionByName(pages)
+    parsed = messages.select("id", "source", parse_json_column("value", schema).alias("data"))
+    good, bad = quarantine_unparsed(parsed, "data")
+    return (good.select("id", "source", F.lit("parsed").alias("status"), "data.k")
+            .unionByName(bad.select("id", "source", F.lit("quarantined").alias("status"), "data.k")))
+
+
 def q_json_envelope(spark: SparkSession, sf: str) -> DataFrame:
     return to_envelope(table(spark, sf, "events"), key="event_id")
 
@@ -291,6 +306,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "numeric_filter": q_numeric_filter,
         "numeric_coerce": q_numeric_coerce,
         "json_parse": q_json_parse,
+        "quarantine_json": q_quarantine_json,
         "json_envelope": q_json_envelope,
         "json_roundtrip": q_json_roundtrip,
         "clean_text": q_clean_text,
@@ -434,6 +450,13 @@ def oracle_sql() -> dict[str, str]:
             try_cast(weight as double) as weight from ({_DIM})""",
         "json_parse": """select event_id, try_cast(json_extract_string(props, '$.k') as integer) as k
             from events""",
+        "quarantine_json": """
+select id, source, case when k is null then 'quarantined' else 'parsed' end as status, k from (
+  select event_id as id, 'events' as source,
+    try_cast(json_extract_string(props, '$.k') as integer) as k from events
+  union all
+  select page_id, 'pages', case when json_valid(html)
+    then try_cast(json_extract_string(html, '$.k') as integer) end from pages)""",
         "json_envelope": """select cast(event_id as varchar) as "key", to_json(struct_pack(
             event_id := event_id, ts := strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), user_id := user_id,
             event_type := event_type, value := value, props := props)) as value from events""",
