@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import sys
 
@@ -29,3 +31,11 @@ def scratch(spark):
     from lakestream.session import scratch_path
 
     return lambda name="t": scratch_path(spark, name)
+
+
+def plan_text(df, mode: str | None = None) -> str:
+    """The physical plan as ``explain`` prints it."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode) if mode else df.explain()
+    return buf.getvalue()

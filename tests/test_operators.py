@@ -11,11 +11,11 @@ from lakestream.operators import (clean_string_columns, coerce_numeric, dedup_ro
                                   latest_per_key, numeric_rows, profile, quarantine_unparsed,
                                   require_not_null, split_hot_join)
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, plan_text
 
 
 def _plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    return plan_text(df)
 
 
 def test_numeric_rows_keeps_original_types(spark):
@@ -82,7 +82,7 @@ def test_enrich_checked_broadcast_and_fallback(spark):
         spark.conf.set(k, "-1")
     try:
         big = enrich(facts, dim, "k", broadcast="checked", max_broadcast_bytes=10)
-        assert "BroadcastHashJoin" not in big._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" not in plan_text(big)
         assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
     finally:
         for k, v in before.items():  # restore the session's values, not Spark's defaults

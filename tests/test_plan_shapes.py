@@ -6,19 +6,11 @@ of facts, no Python in the cleaner, map-side partial aggregation.
 
 from __future__ import annotations
 
-import contextlib
-import io
 import re
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
-
-
-def plan(df, mode: str | None = None) -> str:
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain(mode) if mode else df.explain()
-    return buf.getvalue()
+from conftest import plan_text as plan
 
 
 def test_flagship_prunes_pushes_broadcasts_and_shuffles_once(spark):

@@ -8,6 +8,8 @@ from lakestream.schemas import RESULT_EVENT_SCHEMA
 from lakestream.sources import layer_path, read_layer, read_messages, write_layer
 from lakestream.operators import decode_messages
 
+from conftest import plan_text
+
 
 def _write_text(spark, path, text):
     spark.sparkContext.parallelize(text.splitlines(), 1).saveAsTextFile(path)
@@ -33,8 +35,7 @@ def test_silver_has_no_python_udf_and_dedups(spark, scratch):
     silver = read_layer(spark, root, "silver", "t")
     assert sorted(tuple(r) for r in silver.collect()) == [(1, "ab", "None"), (2, "xy", "q")]
     from lakestream.operators import clean_string_columns, dedup_rows
-    plan = dedup_rows(clean_string_columns(read_layer(spark, root, "bronze", "t")))._jdf \
-        .queryExecution().executedPlan().toString()
+    plan = plan_text(dedup_rows(clean_string_columns(read_layer(spark, root, "bronze", "t"))))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
