@@ -47,7 +47,7 @@ def gold_stats(results: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, run_t
     facts arrives as a handful of rows. ``pre_aggregate=False`` joins every
     fact (then ``skew`` applies to the fact rows).
     """
-    hint = fits_broadcast(bio) if broadcast == "checked" else bool(broadcast)
+    hint = fits_broadcast(used_dimension_columns(bio, key)) if broadcast == "checked" else bool(broadcast)
     if _eager(results, bio, hint, pre_aggregate):
         return _pre_aggregated_means(results, bio, key, "inner", run_ts, digits, hint, skew)
     joined = enrich(results, bio, key, "inner", broadcast=hint, skew=skew)
@@ -59,6 +59,13 @@ def gold_stats(results: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, run_t
 _WEIGHT = "_facts"
 
 
+def used_dimension_columns(dim: DataFrame, key: str = ATHLETE_KEY) -> DataFrame:
+    """The dimension's columns the statistics read: the broadcast holds only these
+    (Catalyst prunes the rest), so the size check measures only these."""
+    return dim.select(key, *[c for c in (*STAT_KEYS, *MEASURES) if c in dim.columns and c != key])
+
+
+
 def _eager(facts: DataFrame, dim: DataFrame, broadcast: bool, pre_aggregate: bool | str) -> bool:
     """Aggregate before the join? Only for batch facts, measures from the dimension,
     and (by default) only when the dimension is not broadcast."""
@@ -90,7 +97,7 @@ def enriched_stats(events: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, ru
     (one stateful aggregation per query in update mode).
     """
     dim = numeric_rows(bio, MEASURES, finite_only=finite_only)
-    hint = fits_broadcast(dim) if broadcast == "checked" else bool(broadcast)
+    hint = fits_broadcast(used_dimension_columns(dim, key)) if broadcast == "checked" else bool(broadcast)
     if _eager(events, dim, hint, pre_aggregate):
         return _pre_aggregated_means(events, dim, key, "left", run_ts, digits, hint, "adaptive")
     joined = enrich(events, dim, key, "left", broadcast=hint)

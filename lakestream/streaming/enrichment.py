@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lakestream.functions import as_double, run_timestamp
 from lakestream.operators import estimate_size, fits_broadcast, parse_json
 from lakestream.operators.enrich import DEFAULT_MAX_BROADCAST_BYTES
-from lakestream.plans.medallion import enriched_stats
+from lakestream.plans.medallion import enriched_stats, used_dimension_columns
 from lakestream.schemas import ATHLETE_KEY, MEASURES, RESULT_EVENT_SCHEMA
 from lakestream.streaming.fanout import BatchFunction, Sink, fan_out, per_batch
 
@@ -99,13 +99,14 @@ def run_enrichment(messages: DataFrame, bio: DataFrame, sinks: Sequence[Sink], c
     """
     if not refresh_dimension:
         bio = bio.persist()
-    hint = fits_broadcast(bio, max_broadcast_bytes) if broadcast == "checked" else bool(broadcast)
+    used = used_dimension_columns(bio, key)
+    hint = fits_broadcast(used, max_broadcast_bytes) if broadcast == "checked" else bool(broadcast)
     events = parse_results(messages)
     stats = enriched_stats(events, bio, key, run_ts=run_ts, digits=digits,
                            broadcast=hint, finite_only=finite_only)
     batch_fn = fan_out(*sinks)
     if hint and refresh_dimension and recheck_every:
-        batch_fn = broadcast_guard(batch_fn, bio, max_broadcast_bytes, recheck_every)
+        batch_fn = broadcast_guard(batch_fn, used, max_broadcast_bytes, recheck_every)
     return start(stats, batch_fn, checkpoint, "update", trigger)
 
 

@@ -94,3 +94,15 @@ def test_publish_table_roundtrip(spark, scratch):
     publish_to_files(df, path)
     back = decode_messages(read_messages(spark, path), RESULT_EVENT_SCHEMA).drop("key")
     assert back.collect() == df.collect()
+
+
+def test_broadcast_check_measures_only_used_dimension_columns(spark):
+    from lakestream.operators import estimate_size
+    from lakestream.plans.medallion import used_dimension_columns
+
+    wide = spark.createDataFrame([(i, "M", "USA", "180", "80", "x" * 5000) for i in range(50)],
+                                 "athlete_id int, sex string, country_noc string, height string, "
+                                 "weight string, biography string")
+    used = used_dimension_columns(wide)
+    assert used.columns == ["athlete_id", "sex", "country_noc", "height", "weight"]
+    assert estimate_size(used).bytes * 10 < estimate_size(wide).bytes
