@@ -43,8 +43,13 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_messages_stream(spark: SparkSession, path: str,
-                         max_files_per_trigger: int | None = None) -> DataFrame:
-    """The topic folder as a stream; new files are picked up as they land."""
+                         max_files_per_trigger: int | None = 1000) -> DataFrame:
+    """The topic folder as a stream; new files are picked up as they land.
+
+    ``max_files_per_trigger`` is the rate cap (the file counterpart of
+    ``maxOffsetsPerTrigger``): a first start over a large backlog runs as many
+    bounded micro-batches instead of one batch of everything. ``None`` lifts it.
+    """
     reader = spark.readStream.schema(MESSAGE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
