@@ -1,6 +1,9 @@
 """Run registered queries against their DuckDB oracles and report mismatches.
 
-Usage: python tests/oracle_check.py [sf_dir] [name ...]
+Usage: python tests/oracle_check.py [--plain] [sf_dir] [name ...]
+
+``--plain`` runs the queries in a session with Spark's default settings
+(as a caller's own session would be) instead of the library's tuned one.
 """
 
 from __future__ import annotations
@@ -85,9 +88,16 @@ def main():
     from lakestream.session import local_session
 
     args = sys.argv[1:]
+    plain = "--plain" in args
+    args = [a for a in args if a != "--plain"]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     names = args[1:]
-    spark = local_session(8)
+    if plain:
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    else:
+        spark = local_session(8)
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0
