@@ -88,8 +88,9 @@ def shared_dir(spark: SparkSession) -> str:
 
     On a cluster this setting names durable shared storage, so streaming
     checkpoints and intermediate tables written under it survive executor
-    loss. Only when it is unset (local tests) a private temp folder is made
-    and registered as the checkpoint directory.
+    loss; a cluster session without it is an error. Only a local session
+    (tests) with it unset gets a private temp folder, registered as the
+    checkpoint directory.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
@@ -97,6 +98,10 @@ def shared_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local"):
+            # a machine-local folder would vanish with its executor; never guess one
+            raise RuntimeError("set spark.checkpoint.dir to shared storage (e.g. an HDFS or "
+                               "object-store folder) for streaming checkpoints and scratch tables")
         base = tempfile.mkdtemp(prefix="lakestream-ckpt-")
         sc.setCheckpointDir(base)
         return sc.getCheckpointDir() or base
