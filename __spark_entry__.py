@@ -36,8 +36,8 @@ from lakestream.sources.athletes import (athlete_inputs, bio_view,  # noqa: E402
 from lakestream.sources.files import BRONZE, GOLD  # noqa: E402
 from lakestream.sources.topics import write_messages  # noqa: E402
 from lakestream.streaming import (await_done, batch_means, combine_batch_means, fan_out,  # noqa: E402
-                                  message_files_sink, parquet_history_sink, parse_results,
-                                  per_batch, run_enrichment, start)
+                                  joined_batch_means, message_files_sink, parquet_history_sink,
+                                  parse_results, per_batch, run_enrichment, start)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_TS = "2024-01-01 00:00:00"
@@ -271,14 +271,9 @@ def q_microbatch_join_stats(spark: SparkSession, sf: str) -> DataFrame:
     topic = _publish(spark, results, "topic-results")
     dim = numeric_rows(bio, MEASURES)
     hint = fits_broadcast(dim)  # decided once, not per micro-batch
-
-    def joined_means(batch: DataFrame) -> DataFrame:
-        joined = enrich(batch, dim, ATHLETE_KEY, "inner", broadcast=hint)
-        return batch_means(STAT_KEYS, MEASURES, run_ts=RUN_TS)(joined)
-
     events = parse_results(read_messages_stream(spark, topic, FILES_PER_TRIGGER))
     history = scratch_path(spark, "history")
-    fn = per_batch(joined_means, parquet_history_sink(history))
+    fn = per_batch(joined_batch_means(dim, hint, run_ts=RUN_TS), parquet_history_sink(history))
     await_done(start(events, fn, scratch_path(spark, "ckpt"), "append"), STREAM_TIMEOUT_S)
     return combine_batch_means(spark.read.parquet(history), STAT_KEYS, MEASURES, DIGITS)
 

@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakestream.functions import as_double, run_timestamp
-from lakestream.operators import estimate_size, fits_broadcast, parse_json
+from lakestream.operators import (drop_shared_columns, enrich, estimate_size, fits_broadcast,
+                                  parse_json)
 from lakestream.operators.enrich import DEFAULT_MAX_BROADCAST_BYTES
 from lakestream.plans.medallion import enriched_stats, used_dimension_columns
-from lakestream.schemas import ATHLETE_KEY, MEASURES, RESULT_EVENT_SCHEMA
+from lakestream.schemas import ATHLETE_KEY, MEASURES, RESULT_EVENT_SCHEMA, STAT_KEYS
 from lakestream.streaming.fanout import BatchFunction, Sink, fan_out, per_batch
 
 
@@ -111,21 +112,50 @@ def run_enrichment(messages: DataFrame, bio: DataFrame, sinks: Sequence[Sink], c
 
 
 def batch_means(keys: Sequence[str], measures: Sequence[str] = MEASURES,
-                run_ts=None) -> Callable[[DataFrame], DataFrame]:
+                run_ts=None, weight: str | None = None) -> Callable[[DataFrame], DataFrame]:
     """Per-batch averages with the non-NULL count behind each one.
 
     The counts let batch results be combined exactly later
-    (sum(avg·n) / sum(n)).
+    (sum(avg·n) / sum(n)). With ``weight`` each row stands for that many
+    equal rows (counts joined instead of events).
     """
     def transform(df: DataFrame) -> DataFrame:
         aggs = []
         for m in measures:
             v = as_double(df[m])
-            aggs += [F.avg(v).alias(f"avg_{m}"), F.count(v).alias(f"n_{m}")]
+            if weight is None:
+                aggs += [F.avg(v).alias(f"avg_{m}"), F.count(v).alias(f"n_{m}")]
+            else:
+                w = F.when(v.isNotNull(), df[weight])
+                aggs += [(F.sum(v * df[weight]) / F.sum(w)).alias(f"avg_{m}"),
+                         F.coalesce(F.sum(w), F.lit(0).cast("long")).alias(f"n_{m}")]
         return df.groupBy(*keys).agg(*aggs).withColumn("calculated_at", run_timestamp(run_ts))
     return transform
 
 
+def joined_batch_means(dim: DataFrame, broadcast: bool, key: str = ATHLETE_KEY,
+                       keys: Sequence[str] = STAT_KEYS, measures: Sequence[str] = MEASURES,
+                       run_ts=None) -> Callable[[DataFrame], DataFrame]:
+    """Per-batch join to ``dim`` and :func:`batch_means`, for :func:`per_batch`.
+
+    ``broadcast`` is decided once by the caller (a measured check). Without
+    it, each batch's events are first counted per key and event-side group
+    columns, and only the counts are joined (a hot key becomes a few rows);
+    inside ``foreachBatch`` the join is a batch query, so adaptive execution
+    also applies.
+    """
+    def transform(batch: DataFrame) -> DataFrame:
+        if broadcast:
+            joined = enrich(batch, dim, key, "inner", broadcast=True)
+            return batch_means(keys, measures, run_ts)(joined)
+        events = drop_shared_columns(batch, dim, key)
+        event_keys = [k for k in keys if k in events.columns]
+        counts = events.groupBy(key, *event_keys).agg(F.count(F.lit(1)).alias("_events"))
+        joined = enrich(counts, dim, key, "inner", broadcast=False, drop_shared=False)
+        return batch_means(keys, measures, run_ts, weight="_events")(joined)
+    return transform
+
+
 def run_microbatch_stats(events: DataFrame, transform: Callable[[DataFrame], DataFrame],
                          sinks: Sequence[Sink], checkpoint: str,
                          trigger: str | None = "available_now") -> StreamingQuery:

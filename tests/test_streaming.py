@@ -248,3 +248,20 @@ def test_fan_out_error_in_one_parallel_sink_fails_the_batch(spark):
     with pytest.raises(OSError, match="sink unavailable"):
         fan_out(good, bad)(spark.range(3), 0)
     assert written == [3]  # the other sink still ran; the batch is replayed as a whole
+
+
+def test_joined_batch_means_counts_first_equals_row_join(spark):
+    from lakestream.streaming import joined_batch_means
+
+    dim = spark.createDataFrame(
+        [(1, "M", "USA", "180", "80"), (5, "M", "UKR", "na", "90"), (7, "F", "NOR", None, "60.5")],
+        "athlete_id int, sex string, country_noc string, height string, weight string")
+    # athlete 1 holds most events (a hot key); athlete 9 has no dimension row
+    rows = [(1, "Swim", "Gold")] * 30 + [(5, "Swim", "Gold"), (7, "Row", None), (7, "Row", None), (9, "Row", None)]
+    batch = _events(spark, rows)
+    cols = ["sport", "medal", "sex", "country_noc", "avg_height", "n_height", "avg_weight", "n_weight"]
+    by_rows = joined_batch_means(dim, True, run_ts=RUN_TS)(batch).select(cols)
+    by_counts = joined_batch_means(dim, False, run_ts=RUN_TS)(batch).select(cols)
+    assert sorted(map(str, by_rows.collect())) == sorted(map(str, by_counts.collect()))
+    # UKR ('na') and NOR (NULL): groups without a numeric height, averaged as NULL over 0 values
+    assert by_counts.filter("n_height = 0 and avg_height is null").count() == 2
