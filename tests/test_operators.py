@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakestream.operators import (clean_string_columns, coerce_numeric, dedup_rows, distinct_values,
@@ -170,3 +172,33 @@ def test_weighted_means_equal_means_of_expanded_rows(spark):
     got = sorted(map(tuple, weighted_means(df, "n", ["g"], ["height", "weight"], ts_col=None).collect()),
                  key=str)
     assert str(got) == str(want)  # str() so NaN == NaN
+
+
+# text → value as try_cast(x as double) gives it, for the strings generated below
+_AS_DOUBLE = {"150": 150.0, "180.5": 180.5, "-5": -5.0, "NaN": float("nan"), "Infinity": float("inf"),
+              "na": None, "": None, None: None}
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.sampled_from(sorted(_AS_DOUBLE, key=str)),
+                          st.integers(1, 5)), min_size=1, max_size=25))
+def test_weighted_means_property(spark, rows):
+    import math
+
+    from lakestream.operators import weighted_means
+
+    df = spark.createDataFrame(rows, "g string, height string, n long")
+    got = {r.g: r.avg_height for r in weighted_means(df, "n", ["g"], ["height"], ts_col=None).collect()}
+    want = {}
+    for g in {r[0] for r in rows}:
+        pairs = [(_AS_DOUBLE[h], n) for gg, h, n in rows if gg == g and _AS_DOUBLE[h] is not None]
+        want[g] = sum(v * n for v, n in pairs) / sum(n for _, n in pairs) if pairs else None
+    assert got.keys() == want.keys()
+    for g, w in want.items():
+        a = got[g]
+        if w is None:
+            assert a is None
+        elif math.isnan(w):
+            assert math.isnan(a)
+        else:
+            assert a == w or math.isclose(a, w, rel_tol=1e-12), (g, a, w)
