@@ -23,7 +23,7 @@ from lakestream.functions import clean_text, parse_json_column, run_timestamp  #
 from lakestream.operators import (clean_string_columns, coerce_numeric, decode_messages,  # noqa: E402
                                   dedup_rows, distinct_values, enrich, fits_broadcast, group_means,
                                   indicator_columns, latest_per_key, numeric_rows, parse_json,
-                                  profile, quarantine_unparsed, row_count, to_envelope)
+                                  preview, profile, quarantine_unparsed, row_count, to_envelope)
 from lakestream.plans import (BIO_TABLE, RESULTS_TABLE, enriched_stats, gold_stats,  # noqa: E402
                               landing_to_bronze, publish_to_files, run_medallion)
 from lakestream.schemas import (ATHLETE_KEY, BATCH_COL, GOLD_SCHEMA, MEASURES,  # noqa: E402
@@ -163,6 +163,12 @@ def q_profile(spark: SparkSession, sf: str) -> DataFrame:
     return profile(table(spark, sf, "lineitem"))
 
 
+def q_preview(spark: SparkSession, sf: str) -> DataFrame:
+    """The first rows of a table (the look ``show`` gives), in key order so any
+    engine shows the same rows; a top-k, so no full sort is shuffled."""
+    return preview(table(spark, sf, "orders").orderBy("o_orderkey"), 5)
+
+
 def q_row_count(spark: SparkSession, sf: str) -> DataFrame:
     return row_count(table(spark, sf, "orders"))
 
@@ -311,6 +317,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "indicator_columns": q_indicator_columns,
         "run_timestamp": q_run_timestamp,
         "profile": q_profile,
+        "preview": q_preview,
         "row_count": q_row_count,
         "csv_to_bronze": q_csv_to_bronze,
         "parquet_overwrite": q_parquet_overwrite,
@@ -466,6 +473,7 @@ select id, source, case when k is null then 'quarantined' else 'parsed' end as s
         "indicator_columns": _indicator_sql(),
         "run_timestamp": f'select r_regionkey, r_name, {_TS} as "timestamp" from region',
         "profile": _profile_sql(),
+        "preview": "select * from orders order by o_orderkey limit 5",
         "row_count": 'select count(*) as "rows" from orders',
         "csv_to_bronze": """select cast(s_suppkey as integer) as s_suppkey, s_name,
             s_nationkey, s_acctbal from supplier""",
