@@ -133,8 +133,9 @@ def batch_means(keys: Sequence[str], measures: Sequence[str] = MEASURES,
     return transform
 
 
-def joined_batch_means(dim: DataFrame, broadcast: bool, key: str = ATHLETE_KEY,
-                       keys: Sequence[str] = STAT_KEYS, measures: Sequence[str] = MEASURES,
+def joined_batch_means(dim: DataFrame | Callable[[], DataFrame], broadcast: bool,
+                       key: str = ATHLETE_KEY, keys: Sequence[str] = STAT_KEYS,
+                       measures: Sequence[str] = MEASURES,
                        run_ts=None) -> Callable[[DataFrame], DataFrame]:
     """Per-batch join to ``dim`` and :func:`batch_means`, for :func:`per_batch`.
 
@@ -142,9 +143,15 @@ def joined_batch_means(dim: DataFrame, broadcast: bool, key: str = ATHLETE_KEY,
     it, each batch's events are first counted per key and event-side group
     columns, and only the counts are joined (a hot key becomes a few rows);
     inside ``foreachBatch`` the join is a batch query, so adaptive execution
-    also applies.
+    also applies. ``dim`` may be a function that reads the dimension: it is
+    then read again for every micro-batch, so rows added to a file-based
+    dimension between batches are joined by the later batches.
     """
     def transform(batch: DataFrame) -> DataFrame:
+        dim_now = dim() if callable(dim) else dim
+        return _joined_means(batch, dim_now)
+
+    def _joined_means(batch: DataFrame, dim: DataFrame) -> DataFrame:
         if broadcast:
             joined = enrich(batch, dim, key, "inner", broadcast=True)
             return batch_means(keys, measures, run_ts)(joined)
