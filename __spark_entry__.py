@@ -39,6 +39,14 @@ from lakestream.streaming import (await_done, batch_means, combine_batch_means,
                                   joined_batch_means, message_files_sink, parquet_history_sink,
                                   parse_results, per_batch, run_enrichment, start)
 
+try:  # the training-data operators are an optional part
+    from lakestream.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("lakestream.llm", "corpus_pipeline"):
+        raise
+    llm_queries = None
+
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_TS = "2024-01-01 00:00:00"
 DIGITS = 6
@@ -298,6 +306,10 @@ def q_stream_static_inner(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _lake_queries() | (llm_queries.queries() if llm_queries else {})
+
+
+def _lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "gold_stats": q_gold_stats,
         "gold_stats_skewed": q_gold_stats_skewed,
@@ -441,6 +453,10 @@ def _profile_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _lake_sql() | (llm_queries.oracle_sql() if llm_queries else {})
+
+
+def _lake_sql() -> dict[str, str]:
     return {
         "gold_stats": _gold_sql(_FACT),
         "gold_stats_skewed": _gold_sql(_FACT_SKEWED),
