@@ -21,6 +21,7 @@ import gc
 import heapq
 import json
 import re
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -55,6 +56,11 @@ def byte_letters() -> list[str]:
     return [chr(b if b in own else next(rest)) for b in range(256)]
 
 
+def pack(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordBpe:
     """A tokenizer file whose BPE model marks word ends; ``encode`` gives token ids of lower-cased words."""
 
@@ -137,10 +143,10 @@ class WordBpe:
         out, at, n, known, reach = [], 0, len(letters), self.proposed.get, self.reach.get
         whole = letters + _STOP
         while at < n:
-            for to in range(min(n + 1, at + reach(whole[at:at + 2], 1)), at, -1):
-                if to != n and (token := known(whole[at:to])) is not None:
-                    out.append(token)
-                    break
+            to = min(n + 1, at + reach(whole[at:at + 2], 1))
+            while (token := known(whole[at:to])) is None or to == n:
+                to -= 1
+            out.append(token)
             at = to
         return out
 
@@ -223,7 +229,7 @@ class Encoder:
     def __init__(self, path: str):
         self.bpe = WordBpe(path)
         #: special tokens have a line feed before them, which no chunk can hold
-        self.fixed = {"\n" + t: (np.array([i], "<u4").tobytes(), t) for t, i in self.bpe.special.items()}
+        self.fixed = {"\n" + t: (pack([i]), t) for t, i in self.bpe.special.items()}
         self.new: dict[str, tuple[bytes, str]] = {}
         self.old: dict[str, tuple[bytes, str]] = {}
 
@@ -242,7 +248,7 @@ class Encoder:
         split = [(c,) if c.isalpha() else find(c) for c in todo]
         words = list({w for ws in split for w in ws if w not in new})
         for w, ids in zip(words, self.bpe.encode_words(words) if words else ()):
-            new[w] = np.array(ids, "<u4").tobytes(), " ".join([texts[i] for i in ids])
+            new[w] = pack(ids), " ".join([texts[i] for i in ids])
         for c, ws in zip(todo, split):
             if len(ws) != 1 or ws[0] != c:
                 own = [new[w] for w in ws]
@@ -273,7 +279,9 @@ _encoders: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
-        gc.freeze()  # the tables stay; no collection needs to walk them
+        # the tables stay, and what is kept of texts has no cycles: collections needn't walk them often
+        gc.freeze()
+        gc.set_threshold(200_000, 50, 1000)
     return _encoders[path]
 
 

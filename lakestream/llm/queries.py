@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestream.llm._batches import table
+from lakestream.llm._ship import ship
 from lakestream.llm.bpe import bpe_encode
+from lakestream.llm.language_hd import fit_profiles, predict_language
+from lakestream.llm.quality_crf import fit_crf, quality_rules
+from lakestream.llm.toxicity import fit_ordinal, toxicity
 
 #: The tokenizer file of op3, a parameter of the operator.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -21,8 +25,36 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules(docs, fit_crf(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity(docs, fit_ordinal(docs, table(spark, sf_dir, "labels")))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn(
+        "held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
+    profiles = fit_profiles(docs.where(~F.col("held_out")))
+    found = predict_language(docs, profiles)
+    return found.select("doc_id", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).alias("held_out"),
+                        "lang_pred", "score")
+
+
+def _shipped(query: Callable) -> Callable:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_bpe": op3_bpe}
+    found = (op3_bpe, op6_quality, op8_toxicity, op10_language)
+    return {q.__name__: _shipped(q) for q in found}
 
 
 def oracle_sql() -> dict[str, str]:
