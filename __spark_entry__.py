@@ -41,7 +41,7 @@ from lakestream.streaming import (await_done, batch_means, combine_batch_means,
 
 try:  # the training-data operators are an optional part
     from lakestream.llm import queries as llm_queries  # noqa: E402
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if missing.name not in ("lakestream.llm", "corpus_pipeline"):
         raise
     llm_queries = None
