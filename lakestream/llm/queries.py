@@ -12,7 +12,9 @@ from lakestream.llm._batches import table
 from lakestream.llm._ship import ship
 from lakestream.llm.bpe import bpe_encode
 from lakestream.llm.language_hd import fit_profiles, predict_language
+from lakestream.llm.probminhash import near_duplicates
 from lakestream.llm.quality_crf import fit_crf, quality_rules
+from lakestream.llm.suffix_dedup import remove_repeats
 from lakestream.llm.toxicity import fit_ordinal, toxicity
 
 #: The tokenizer file of op3, a parameter of the operator.
@@ -30,11 +32,21 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs, fit_crf(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity(docs, fit_ordinal(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn(
         "held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
@@ -53,7 +65,7 @@ def _shipped(query: Callable) -> Callable:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op3_bpe, op6_quality, op8_toxicity, op10_language)
+    found = (op3_bpe, op6_quality, op7_suffix_dedup, op8_toxicity, op9_near_duplicates, op10_language)
     return {q.__name__: _shipped(q) for q in found}
 
 
