@@ -15,6 +15,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def key_of(docs: DataFrame, id_col: str, text_col: str) -> F.Column:
+    """A key of each row: its id where ids are integers, none null or repeated, else a hash of id and text."""
+    plain = dict(docs.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint")
+    if plain:
+        ids = docs.select(F.col(id_col).alias("id"))
+        plain = ids.groupBy("id").agg(F.count("*").alias("n")).where("id is null or n > 1").isEmpty()
+    return F.col(id_col).cast("long") if plain else F.xxhash64(id_col, text_col)
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id``, ``text`` and ``key``."""
+    key = key_of(docs, id_col, text_col)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), key.alias("key"))
+
+
+def near(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, to be broadcast if it has at most ``rows`` rows (counted first); else joins shuffle it."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def components(links: DataFrame) -> DataFrame:
     """``id``, ``label``: the least id that links (``a``, ``b``) lead to, for each id with a link.
 

@@ -11,14 +11,28 @@ from pyspark.sql import functions as F
 from lakestream.llm._batches import table
 from lakestream.llm._ship import ship
 from lakestream.llm.bpe import bpe_encode
+from lakestream.llm.decontaminate import benchmark_leaks
 from lakestream.llm.language_hd import fit_profiles, predict_language
+from lakestream.llm.packing import pack_tokens
 from lakestream.llm.probminhash import near_duplicates
 from lakestream.llm.quality_crf import fit_crf, quality_rules
 from lakestream.llm.suffix_dedup import remove_repeats
+from lakestream.llm.token_counts import apply_edits, token_trees
 from lakestream.llm.toxicity import fit_ordinal, toxicity
+from lakestream.llm.url_rules import filter_urls
 
 #: The tokenizer file of op3, a parameter of the operator.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+#: The rank file of op1 and op5, and the id after each document (one that the file leaves free).
+BYTE_RANKS, SEPARATOR = public_tokenizers.path("byte_bpe_50k.tiktoken"), 50256
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_tokens(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN, SEPARATOR)
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +41,26 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every text before and after three edits: an insert, a deletion and a replacement, placed by a hash of the id."""
+    size = F.length(F.coalesce("text", F.lit("")))
+    place = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), size + 1).alias("at")
+    part = lambda k, at, n: F.substr(F.coalesce("text", F.lit("")), F.lit(at), F.lit(n)).alias("put")
+    long = lambda n: F.lit(n).cast("long").alias("cut")
+    edits = F.array(F.struct(place(1), long(0), part(1, 1, 40)), F.struct(place(2), long(60), F.lit("").alias("put")),
+                    F.struct(place(3), long(25), part(3, 11, 30)))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", edits.alias("edits"))
+    counted = apply_edits(token_trees(docs, BYTE_RANKS, public_tokenizers.PATTERN, edits_col="edits"),
+                          BYTE_RANKS, public_tokenizers.PATTERN)
+    return counted.select("doc_id", F.col("n_tokens_before").alias("n_tokens"), F.col("n_tokens").alias("n_tokens_edited"),
+                          F.length("text").cast("long").alias("n_chars_edited"), "encoded_chars",
+                          F.sha2(F.encode("text", "UTF-8"), 256).alias("edited_sha256"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules(docs, fit_crf(docs, table(spark, sf_dir, "labels")))
@@ -65,7 +99,8 @@ def _shipped(query: Callable) -> Callable:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op3_bpe, op6_quality, op7_suffix_dedup, op8_toxicity, op9_near_duplicates, op10_language)
+    found = (op1_packing, op2_decontamination, op3_bpe, op4_url_filter, op5_token_counts, op6_quality,
+             op7_suffix_dedup, op8_toxicity, op9_near_duplicates, op10_language)
     return {q.__name__: _shipped(q) for q in found}
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from lakestream.llm import _batches as B
 from lakestream.llm._hashing import Prefix
-from lakestream.llm._tables import written
+from lakestream.llm._tables import keyed, written
 
 LENGTH = 400
 #: Positions among which one is sampled, and bytes of the fingerprint that picks it.
@@ -231,16 +231,6 @@ def _judged_strings(ranked: DataFrame) -> DataFrame:
         border.where(F.col("kind") == _ALONE).join(twice, "rank", "left_semi").select("key", "at"))
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows with a ``key`` of their own: the id where ids are integers, none null or repeated, else a hash of id and text."""
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    plain = dict(docs.dtypes)["id"] in ("bigint", "int", "smallint", "tinyint")
-    if plain:
-        ids = docs.select("id")
-        plain = ids.groupBy("id").agg(F.count("*").alias("n")).where("id is null or n > 1").isEmpty()
-    return docs.withColumn("key", F.col("id").cast("long") if plain else F.xxhash64("id", "text"))
-
-
 def _packed(docs: DataFrame) -> DataFrame:
     """Texts as compressed bytes, which take less of a shuffle than what Spark's own compression makes of rows."""
 
@@ -260,7 +250,7 @@ def _packed(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                    window: int = WINDOW) -> DataFrame:
     """Per row: the id, ``n_bytes``, ``n_removed``, ``spans`` (starts and ends of what is removed), ``kept`` (bytes)."""
-    docs = _keyed(docs, id_col, text_col)
+    docs = keyed(docs, id_col, text_col)
     anchors = written(_judged_anchors(_anchors(docs.select("key", "text"), length, window)), "anchors")
     undecided = anchors.where("ranked")
     lists = undecided.groupBy("key").agg(F.collect_set("at").alias("undecided"))
