@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from lakestream.llm import _batches as B
 from lakestream.llm._hashing import mix
 from lakestream.llm._shingles import WORDS, bags, shingles, word_hashes
-from lakestream.llm._tables import components, written
+from lakestream.llm._tables import components, near, written
 
 SIMILARITY = 0.8
 #: Registers of a sketch, and those of a band: 20 bands of 4 find all but 3 of 100,000 pairs of similarity 0.8.
@@ -125,11 +125,9 @@ def _kind(docs: DataFrame) -> str:
 
 def _compared(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """``a``, ``b``, ``far``: 1 - similarity of the texts of each pair, exactly. ``b`` may be in very many pairs."""
-    n = pairs.count()
-    near = F.broadcast if n <= BROADCAST_PAIRS else (lambda df: df)
-    left = docs.join(near(pairs), docs["id"] == pairs["a"]).select("a", "b", F.col("text").alias("text_a"))
+    left = docs.join(near(pairs, BROADCAST_PAIRS), docs["id"] == pairs["a"]).select("a", "b", F.col("text").alias("text_a"))
     ends = pairs.select(F.col("b").alias("id")).distinct()
-    right = docs.join(near(ends), "id").select(F.col("id").alias("end"), F.col("text").alias("text_b"))
+    right = docs.join(near(ends, BROADCAST_PAIRS), "id").select(F.col("id").alias("end"), F.col("text").alias("text_b"))
 
     def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
         return bags(*shingles(*word_hashes(pa.array([text], pa.large_string())), size))[1:]
@@ -211,9 +209,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _beyond(links: DataFrame, failed: DataFrame, labels: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     """Pairs that share a band and a leader b, of which only one is similar to b, and that the metric can't rule out."""
     turned = lambda df: df.select("a", "b", "far").union(df.select("b", "a", "far"))
-    near = turned(links).select("b", F.col("a").alias("x"), F.col("far").alias("near"))
+    close = turned(links).select("b", F.col("a").alias("x"), F.col("far").alias("near"))
     off = turned(failed).where(F.col("far") <= 2 * (1 - threshold)).select("b", F.col("a").alias("y"), F.col("far").alias("off"))
-    both = near.join(off, "b").where(F.col("off") - F.col("near") <= 1 - threshold + 1e-9).select("x", "y").distinct()
+    both = close.join(off, "b").where(F.col("off") - F.col("near") <= 1 - threshold + 1e-9).select("x", "y").distinct()
     for c in ("x", "y"):
         label = labels.select(F.col("id").alias(c), F.col("label").alias(f"class_{c}"))
         both = both.join(label, c, "left")
@@ -221,3 +219,19 @@ def _beyond(links: DataFrame, failed: DataFrame, labels: DataFrame, reps: DataFr
     band = {c: reps.select(F.col("id").alias(c), F.col("bands").alias(f"bands_{c}")) for c in ("x", "y")}
     both = both.join(band["x"], "x").join(band["y"], "y").where(F.arrays_overlap("bands_x", "bands_y"))
     return both.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+
+
+def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
+    """One row of each class of near-duplicates, the one with the least id, with all columns; rows without an id stay.
+
+    Of several rows with that id one stays; which one isn't defined.
+    """
+    classes = near_duplicates(docs, id_col, text_col, threshold)
+    gone = written(classes.where("not kept").select(F.col(id_col).alias("gone id")), "copies")
+    kept = docs.join(near(gone, BROADCAST_PAIRS), F.col(id_col) == F.col("gone id"), "left_anti")
+    repeated = docs.groupBy(F.col(id_col).alias("id")).agg(F.count("*").alias("n")).where("id is not null and n > 1")
+    if repeated.isEmpty():
+        return kept
+    names = kept.columns
+    one = kept.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.first(F.struct(*names)).alias("row"))
+    return one.select(*[F.col(f"row.`{c}`").alias(c) for c in names]).union(kept.where(F.col(id_col).isNull()))

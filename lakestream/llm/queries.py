@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,8 +102,8 @@ def _shipped(query: Callable) -> Callable:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_packing, op2_decontamination, op3_bpe, op4_url_filter, op5_token_counts, op6_quality,
              op7_suffix_dedup, op8_toxicity, op9_near_duplicates, op10_language)
-    return {q.__name__: _shipped(q) for q in found}
+    return {q.__name__: _shipped(q) for q in found} | {"pipeline": _shipped(corpus_pipeline.run)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from lakestream.llm import _batches as B
 from lakestream.llm._hashing import Prefix
-from lakestream.llm._tables import keyed, written
+from lakestream.llm._tables import key_of, keyed, written
 
 LENGTH = 400
 #: Positions among which one is sampled, and bytes of the fingerprint that picks it.
@@ -105,9 +105,10 @@ def _anchors(docs: DataFrame, length: int, window: int) -> DataFrame:
                         text = Sampled(data[a:b], window)
                         at = text.anchors
                         at = at[at + length - window + 1 <= n]
-                        yield (text.prefix.hash(at, at + length - window + 1),
-                               text.prefix.hash(np.maximum(at - window + 1, 0), np.minimum(at + length, n)),
-                               np.full(len(at), key), at)
+                        low = np.maximum(at - window + 1, 0)
+                        # with the anchor's place in it, or two anchors near a text's ends had the same bytes around them
+                        around = text.prefix.hash(low, np.minimum(at + length, n)) + (at - low).astype(np.uint64)
+                        yield text.prefix.hash(at, at + length - window + 1), around, np.full(len(at), key), at
 
         yield from _chunks(parts(), ["core", "around", "key", "at"])
 
@@ -231,6 +232,17 @@ def _judged_strings(ranked: DataFrame) -> DataFrame:
         border.where(F.col("kind") == _ALONE).join(twice, "rank", "left_semi").select("key", "at"))
 
 
+def covered(n: int, wholes: pa.Scalar, starts: pa.Scalar, length: int, window: int) -> np.ndarray:
+    """Which of a text's ``n`` bytes its repeats cover."""
+    step = np.zeros(n + 1, np.int32)
+    for places, before in ((wholes, window - 1), (starts, 0)):
+        if places.is_valid and len(places):
+            at = places.values.to_numpy()
+            np.add.at(step, np.maximum(at - before, 0), 1)
+            np.add.at(step, np.minimum(at + length, n), -1)
+    return np.cumsum(step[:-1]) > 0
+
+
 def _packed(docs: DataFrame) -> DataFrame:
     """Texts as compressed bytes, which take less of a shuffle than what Spark's own compression makes of rows."""
 
@@ -251,16 +263,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    window: int = WINDOW) -> DataFrame:
     """Per row: the id, ``n_bytes``, ``n_removed``, ``spans`` (starts and ends of what is removed), ``kept`` (bytes)."""
     docs = keyed(docs, id_col, text_col)
+    return _removed(docs, _spans(docs, length, window), length, window, id_col)
+
+
+def _spans(docs: DataFrame, length: int, window: int) -> DataFrame:
+    """For each ``key`` that has repeats: anchors all of whose strings repeat (``wholes``), and single ``starts``."""
     anchors = written(_judged_anchors(_anchors(docs.select("key", "text"), length, window)), "anchors")
     undecided = anchors.where("ranked")
     lists = undecided.groupBy("key").agg(F.collect_set("at").alias("undecided"))
-    near = F.broadcast if undecided.count() <= BROADCAST_ANCHORS else (lambda df: df)
-    strings = _judged_strings(_strings(docs.join(near(lists), "key").select("key", "text", "undecided"), length, window))
+    # a list is no longer than its text has anchors, so their number bounds what is broadcast
+    few = undecided.limit(BROADCAST_ANCHORS + 1).count() <= BROADCAST_ANCHORS
+    strings = _judged_strings(_strings(docs.join(F.broadcast(lists) if few else lists, "key").select("key", "text", "undecided"), length, window))
     places = anchors.where("whole").select("key", "at", F.lit(True).alias("whole")).union(
         strings.select("key", "at", F.lit(False)))
-    spans = places.groupBy("key").agg(F.collect_list(F.expr("if(whole, at, null)")).alias("wholes"),
+    return places.groupBy("key").agg(F.collect_list(F.expr("if(whole, at, null)")).alias("wholes"),
                                       F.collect_list(F.expr("if(whole, null, at)")).alias("starts"))
 
+
+def _removed(docs: DataFrame, spans: DataFrame, length: int, window: int, id_col: str) -> DataFrame:
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
@@ -270,13 +290,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 for packed, wholes, starts in zip(*columns):
                     data = np.frombuffer(unpack.decompress(packed.as_py()), np.uint8)
                     n = len(data)
-                    step = np.zeros(n + 1, np.int32)
-                    for places, before, after in ((wholes, window - 1, length), (starts, 0, length)):
-                        if places.is_valid and len(places):
-                            at = places.values.to_numpy()
-                            np.add.at(step, np.maximum(at - before, 0), 1)
-                            np.add.at(step, np.minimum(at + after, n), -1)
-                    out = np.cumsum(step[:-1]) > 0
+                    out = covered(n, wholes, starts, length, window)
                     turn = np.flatnonzero(np.diff(np.concatenate([[False], out, [False]]).astype(np.int8)))
                     size.append(n)
                     removed.append(int(out.sum()))
@@ -290,3 +304,33 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kind = docs.schema["id"].dataType.simpleString()
     return _packed(docs).join(spans, "key", "left").select("id", "packed", "wholes", "starts").mapInArrow(
         run, f"`{id_col}` {kind}, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
+                    window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` with what is left of their texts; rows of whose text nothing is left go.
+
+    Bytes of characters that a removal cut apart go too. Other columns stay as they are.
+    """
+    key = key_of(docs, id_col, text_col)
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), key.alias("key"))
+    spans = written(_spans(own, length, window), "spans").toDF("span key", "span wholes", "span starts")
+    cut = docs.join(spans, key == F.col("span key"), "left").drop("span key")
+    names = docs.columns
+    at = names.index(text_col)
+
+    def run(batches):
+        for part in B.slices(batches, text_col):
+            texts, keep = B.column(part, text_col).to_pylist(), []
+            wholes, starts = B.column(part, "span wholes"), B.column(part, "span starts")
+            for i, text in enumerate(texts):
+                if wholes[i].is_valid:
+                    data = np.frombuffer(text.encode(), np.uint8)
+                    out = covered(len(data), wholes[i], starts[i], length, window)
+                    texts[i] = data[~out].tobytes().decode("utf-8", "ignore")
+                keep.append(not (wholes[i].is_valid and not texts[i]))
+            columns = [B.column(part, c) for c in names]
+            columns[at] = pa.array(texts, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep))
+
+    return cut.mapInArrow(run, docs.schema)

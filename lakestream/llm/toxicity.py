@@ -168,3 +168,16 @@ def toxicity(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col:
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"`{id_col}` {kind}, severity double, grade int, rejected boolean")
+
+
+def without_toxic(docs: DataFrame, model: Ordinal, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that aren't rejected, with all their columns."""
+
+    def run(batches):
+        seen: dict[str, tuple[int, ...]] = {}
+        for part in B.slices(batches, text_col):
+            score = np.array([sum(model.weights[i] * np.log1p(n) for i, n in model.counts(t, seen).items())
+                              for t in B.column(part, text_col).to_pylist()], float)
+            yield part.filter(pa.array(model.above(score)[:, 0] < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)

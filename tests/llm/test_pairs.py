@@ -1,0 +1,274 @@
+"""Near-duplicates, repeated passages and benchmark leaks against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import sys
+from collections import Counter, defaultdict
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import regex
+
+sys.path.insert(0, str(Path(__file__).parent))
+from helpers import ODD, documents, long_text  # noqa: E402
+
+from lakestream.llm import queries as Q  # noqa: E402
+from lakestream.llm._ship import ship  # noqa: E402
+from lakestream.llm._tables import components  # noqa: E402
+from lakestream.llm.decontaminate import benchmark_leaks, without_leaks  # noqa: E402
+from lakestream.llm.probminhash import kept_documents, near_duplicates, similarity, sketches  # noqa: E402
+from lakestream.llm.suffix_dedup import remove_repeats, without_repeats  # noqa: E402
+
+SMALL = "/root/testdata/sf0.001"
+
+
+# --- near-duplicates ---------------------------------------------------------
+def bag(text):
+    w = re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").lower())
+    return Counter(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+
+
+def exact(a, b):
+    """Probability Jaccard by its definition."""
+    if not a or not b:
+        return 0.0
+    na, nb = a.total(), b.total()
+    p, q = (lambda e: a[e] / na), (lambda e: b[e] / nb)
+    return sum(1 / sum(max(p(e) / p(d), q(e) / q(d)) for e in a.keys() | b.keys()) for d in a.keys() & b.keys())
+
+
+def classes(texts):
+    """The least id of each id's class, by all pairs that share a shingle."""
+    bags, inverted, top = {k: bag(t) for k, t in texts.items()}, defaultdict(list), {k: k for k in texts}
+    for k, s in bags.items():
+        for x in s:
+            inverted[x].append(k)
+    pairs = {(a, b) for ks in inverted.values() for a in ks for b in ks if a < b}
+
+    def root(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a, b in sorted(pairs):
+        # no pair below half can reach 0.8, and few pairs are left to compute
+        if len(bags[a].keys() & bags[b].keys()) * 2 >= max(len(bags[a]), len(bags[b])) and exact(bags[a], bags[b]) >= 0.8 - 1e-9:
+            x, y = sorted((root(a), root(b)))
+            top[y] = x
+    return {k: root(k) for k in texts}
+
+
+def test_similarity_is_probability_jaccard():
+    pick = random.Random(3)
+    for _ in range(200):
+        a, b = (Counter(pick.choices("abcdef", k=pick.randint(1, 12))) for _ in range(2))
+        arrays = [(np.array(sorted(ord(x) for x in c)), np.array([c[x] for x in sorted(c)])) for c in (a, b)]
+        assert similarity(*arrays) == pytest.approx(exact(a, b))
+
+
+def test_sketches_estimate_probability_jaccard():
+    pick = np.random.default_rng(5)
+    keys = pick.integers(1, 1 << 62, 60, dtype=np.uint64)
+    weight = pick.integers(1, 6, (2, 60)).astype(float)
+    weight[0, :10] = weight[1, -12:] = 0
+    doc, at = np.nonzero(weight)
+    m = 4000
+    got = sketches(doc, keys[at], weight[doc, at], 2, m)
+    bags = [Counter({int(k): w for k, w in zip(keys, row) if w}) for row in weight]
+    assert (got[0] == got[1]).mean() == pytest.approx(exact(*bags), abs=0.04)
+
+
+def test_components_follow_chains(spark):
+    links = [(i, i + 1) for i in range(0, 40)] + [(101, 100), (102, 101), (7, 7)]
+    got = {r["id"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
+
+
+def test_op9_equals_all_pairs(spark):
+    ship(spark)
+    texts = {r["doc_id"]: r["text"] for r in Q.table(spark, SMALL, "documents").collect()}
+    assert {r["doc_id"]: r["class_id"] for r in Q.op9_near_duplicates(spark, SMALL).collect()} == classes(texts)
+
+
+def variants(n, seed):
+    """Texts around some bases with more and more changed words, so that similarities lie on both sides of 0.8."""
+    pick, out = random.Random(seed), {}
+    for base in range(3):
+        words = long_text(120, 100 * seed + base).split()
+        for _ in range(n):
+            own = list(words)
+            for _ in range(pick.randint(0, 6)):
+                own[pick.randrange(len(own))] = f"x{pick.random()}"
+            out[len(out) + 10] = " ".join(own)
+    return out
+
+
+def test_no_link_is_lost_in_borderline_groups(spark):
+    ship(spark)
+    texts = variants(25, 1)
+    got = near_duplicates(documents(spark, texts.items()))
+    assert {r["doc_id"]: r["class_id"] for r in got.collect()} == classes(texts)
+
+
+def test_near_duplicates_odd_rows(spark):
+    ship(spark)
+    docs = documents(spark, [*ODD, (20, "Same words, here and there; twice over!"), (21, "a")])
+    got = {r["doc_id"]: (r["class_id"], r["kept"]) for r in near_duplicates(docs).collect()}
+    assert got == {i: (i, True) for i in (1, 2, 3, 4, 5, 6, 8, 9)} | {7: (6, False), 20: (6, False), 21: (5, False)}
+    kept = kept_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(
+        ["1", "2", "3", "4", "5", "6", "8", "9", "None", "None"])
+    assert near_duplicates(docs.limit(0)).count() == 0 and kept_documents(docs.limit(0)).count() == 0
+
+
+# --- repeated passages -------------------------------------------------------
+def removed(texts, length):
+    """What is left of each text, and its removed spans, from all strings of the length."""
+    data = [(t or "").encode() for t in texts]
+    count = Counter(b[i:i + length] for b in data for i in range(len(b) - length + 1))
+    out = []
+    for b in data:
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - length + 1):
+            if count[b[i:i + length]] > 1:
+                gone[i:i + length] = True
+        turns = np.flatnonzero(np.diff(np.concatenate([[0], gone, [0]])))
+        out.append((bytes(np.frombuffer(b, np.uint8)[~gone]), list(zip(turns[::2].tolist(), turns[1::2].tolist()))))
+    return out
+
+
+def test_op7_equals_brute_force(spark):
+    ship(spark)
+    docs = Q.table(spark, SMALL, "documents").collect()
+    expected = {r["doc_id"]: x for r, x in zip(docs, removed([r["text"] for r in docs], 400))}
+    rows = Q.op7_suffix_dedup(spark, SMALL).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        kept, spans = expected[r["doc_id"]]
+        assert (r["n_removed"], r["n_spans"]) == (sum(b - a for a, b in spans), len(spans))
+        assert r["kept_sha256"] == hashlib.sha256(kept).hexdigest()
+        assert r["n_bytes"] == len(kept) + r["n_removed"]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_repeats_of_mixed_texts(spark, seed):
+    """Pieces shared by some texts, cut at odd places, runs of one letter and short periods; tiny Arrow batches."""
+    ship(spark)
+    pick = random.Random(seed)
+    pool = [long_text(60, seed * 50 + i) for i in range(6)] + ["z" * 150, "xy" * 90, "é" * 80]
+    rows = []
+    for i in range(30):
+        parts = []
+        for _ in range(pick.randint(1, 4)):
+            piece = pick.choice(pool)
+            a = pick.randrange(len(piece))
+            parts.append(piece[a:a + pick.randint(1, len(piece))])
+        rows.append((i, pick.choice(["", " ", f"{i} "]).join(parts)))
+    rows += [rows[3], (None, rows[4][1]), (None, None)]
+    docs = documents(spark, rows)
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(conf)
+    spark.conf.set(conf, "7")
+    try:
+        got = remove_repeats(docs, length=60, window=24).collect()
+    finally:
+        spark.conf.set(conf, old)
+    expected = removed([t for _, t in rows], 60)
+    assert sorted((str(r["doc_id"]), bytes(r["kept"]), [(s["start"], s["end"]) for s in r["spans"]]) for r in got) == sorted(
+        (str(i), *x) for (i, _), x in zip(rows, expected))
+
+
+def test_repeats_odd_rows(spark):
+    ship(spark)
+    docs = documents(spark, [*ODD, (30, long_text(100, 8)), (31, "é" * 300)])
+    expected = removed([r["text"] for r in docs.collect()], 400)
+    got = remove_repeats(docs).collect()
+    assert sorted((r["n_bytes"], bytes(r["kept"])) for r in got) == sorted(
+        (len(k) + sum(b - a for a, b in s), k) for k, s in expected)
+    rest = without_repeats(docs)
+    assert rest.columns == docs.columns
+    left = {r["doc_id"]: r["text"] for r in rest.collect()}
+    assert 30 not in left and 31 not in left and left[1] is None and left[2] == ""
+    assert remove_repeats(docs.limit(0)).count() == 0 and without_repeats(docs.limit(0)).count() == 0
+
+
+# --- benchmark leaks ---------------------------------------------------------
+def words(text):
+    return regex.findall(r"[\p{L}\p{N}]+", (text or "").lower())
+
+
+def leaks(docs, items, threshold=0.8):
+    """Best window of each pair, by all windows of the item's size (shorter texts: the whole)."""
+    out = {}
+    for d, text in docs:
+        w = words(text)
+        for i, t in items:
+            item = words(t)
+            k = min(5, len(item))
+            grams = lambda x: Counter(tuple(x[j:j + k]) for j in range(len(x) - k + 1))
+            own = grams(item)
+            if not item or not own.keys() & grams(w).keys():
+                continue
+            for s in range(max(1, len(w) - len(item) + 1)):
+                window = grams(w[s:s + len(item)])
+                value = (own & window).total() / max(1, (own | window).total())
+                if value >= threshold and value > out.get((d, i), (0, 0))[0]:
+                    out[d, i] = value, s
+    return out
+
+
+def test_op2_equals_all_windows(spark):
+    ship(spark)
+    docs = [(r["doc_id"], r["text"]) for r in Q.table(spark, SMALL, "documents").collect()]
+    items = [(r["item_id"], r["text"]) for r in Q.table(spark, SMALL, "benchmark").collect()]
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start_word"]) for r in Q.op2_decontamination(spark, SMALL).collect()}
+    assert got == leaks(docs, items) and got
+
+
+def test_leaks_with_changes_and_odd_rows(spark):
+    item = long_text(40, 77)
+    w = item.split()
+    near, far = list(w), list(w)
+    near[2] = far[5] = far[20] = far[33] = "changed"
+    rows = [*ODD, (40, long_text(50, 1) + " " + item.upper() + ". " + long_text(5, 2)), (41, " ".join(near)), (42, " ".join(far)),
+            (43, item + " " + item), (44, " ".join(w[:-1])), (None, "so " + item), (45, "tiny words"), (46, " ".join(w[1:] + ["end"]))]
+    docs = documents(spark, rows)
+    items = [(1, item), (2, item), (3, "tiny"), (4, None), (5, ""), (6, "...")]
+    bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, key string")
+    got = benchmark_leaks(docs, bench)
+    assert {(r["doc_id"], r["item_id"]): (r["similarity"], r["start_word"]) for r in got.collect()} == leaks(rows, items)
+    clean = without_leaks(docs, bench)
+    assert clean.columns == docs.columns
+    dirty = {d for d, _ in leaks(rows, items)}
+    assert sorted(str(r["doc_id"]) for r in clean.collect()) == sorted(
+        str(d) for d, t in rows if d not in dirty or d is None and t != "so " + item)
+    assert benchmark_leaks(docs.limit(0), bench).count() == 0
+    assert benchmark_leaks(docs, bench.limit(0)).count() == 0
+    assert without_leaks(docs, bench.limit(0)).count() == len(rows)
+
+
+def test_op2_plan_has_no_python(spark):
+    import contextlib
+    import io
+
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        Q.op2_decontamination(spark, SMALL).explain("formatted")
+        Q.op4_url_filter(spark, SMALL).explain("formatted")
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", out.getvalue())
+
+
+def test_shared_arrow_helpers():
+    from lakestream.llm import _batches as B
+
+    batch = pa.record_batch({"text": pa.array(["ab", None, "", "cdé"] * 3)})
+    parts = list(B.slices([batch], "text", 5))
+    assert [x for p in parts for x in p.column(0).to_pylist()] == batch.column(0).to_pylist()
+    data, at = B.utf8(batch.column(0).slice(3, 5))
+    assert [bytes(data[a:b]).decode() for a, b in zip(at, at[1:])] == ["cdé", "ab", "", "", "cdé"]
