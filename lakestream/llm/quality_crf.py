@@ -61,7 +61,7 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> Lines:
     n = len(offsets) - 1
     zeros = np.zeros(n, np.int64)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    if not len(data):
+    if not (~_SPACE[data]).any():
         return Lines(dict.fromkeys(names, zeros), zeros[:0], zeros[:0], np.zeros((0, len(FEATURES))))
     full = np.flatnonzero(np.diff(offsets))
     begins = np.zeros(len(data) + 1, bool)
