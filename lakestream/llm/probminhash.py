@@ -9,15 +9,16 @@ register with the probability Jaccard similarity
 set Jaccard where no shingle repeats.
 
 Texts of equal words are one representative (the least id). Registers go into
-bands; representatives with an equal band meet in its bucket. No bucket is
-expanded into pairs: in its first round the least member is its leader, in round
-k about 2^(k-1) of the open ones are, and every open member is compared exactly
-with the leaders. Members
-similar to a leader are settled, the others stay open for the next round, until
-no bucket has two. As 1 - similarity is a metric, a settled member can only be
-similar to one that its leader wasn't if the distances allow it; those few
-pairs are compared at the end. Classes are the connected components of all
-similar pairs, so no link found by a band is lost.
+bands; representatives with an equal band meet in its bucket. First every member
+is compared exactly with its bucket's leader, the one that shares most buckets
+with others (of near copies of one text, most likely that text); similar ones
+are linked, and linked ones make up classes. Buckets whose members are of one
+class are done. Members of the others get a second, longer sketch; those of
+different classes are compared by it, in blocks of bounded size inside tasks. A
+pair leaves its task only if the sketches agree in a share of registers that is
+at most four standard errors below the threshold, and only from the first band
+that it shares. These pairs are compared exactly, and the classes are the
+connected components of all similar pairs.
 
 Results on odd rows: a null text, or one without words, is a class of its own;
 an id that several rows have is one document (its texts are in one class); rows
@@ -27,12 +28,11 @@ columns aren't carried.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lakestream.llm import _batches as B
 from lakestream.llm._hashing import mix
@@ -40,8 +40,12 @@ from lakestream.llm._shingles import WORDS, bags, shingles, word_hashes
 from lakestream.llm._tables import components, near, written
 
 SIMILARITY = 0.8
-#: Registers of a sketch, and those of a band: 20 bands of 4 find all but 3 of 100,000 pairs of similarity 0.8.
-REGISTERS, BAND = 80, 4
+#: Registers of a sketch, and those of a band: 24 bands of 5 find all but 7 of 100,000 pairs of similarity 0.8.
+REGISTERS, BAND = 120, 5
+#: Registers of the second sketch (a byte of each is kept: unequal ones look equal once in 256 times).
+FINE = 640
+#: Members of a bucket that are compared with as many others at a time.
+BLOCK = 512
 SLICE = 4 << 20
 #: Pairs (two ids each) up to this number are broadcast to the texts; more are joined by a shuffle.
 BROADCAST_PAIRS = 500_000
@@ -119,6 +123,75 @@ def _signatures(docs: DataFrame, size: int, m: int, band: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {_kind(docs)}, h1 long, h2 long, bands array<long>")
 
 
+def _fine(docs: DataFrame, size: int, m: int = FINE) -> DataFrame:
+    def run(batches):
+        for part in B.slices(batches, "text", SLICE):
+            of, key, count = bags(*shingles(*word_hashes(B.column(part, "text")), size))
+            sketch = (mix(sketches(of, key, count.astype(float), part.num_rows, m)) & np.uint64(255)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([B.column(part, "id"), pa.array([x.tobytes() for x in sketch], pa.binary())],
+                                             names=["id", "sketch"])
+
+    return docs.select("id", "text").mapInArrow(run, f"id {_kind(docs)}, sketch binary")
+
+
+def _close(members: DataFrame, floor: float) -> DataFrame:
+    """Pairs ``a`` < ``b`` of different ``label`` in a bucket whose sketches agree in a share ``floor`` of the registers.
+
+    Pairs that share several buckets come from that of the first band.
+
+    A bucket is dealt into blocks by a hash; each pair of blocks is one group of
+    at most about ``2 * BLOCK`` rows.
+    """
+    size = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(size, "bucket").withColumn("own", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+                         "own", "id", "label", "bands", "sketch")
+
+    def pairs(group: pa.RecordBatch):
+        ids, label = B.column(group, "id").to_pylist(), np.unique(B.column(group, "label").to_pylist(), return_inverse=True)[1]
+        own, sketch = B.ints(group, "own"), B.column(group, "sketch")
+        matrix = np.stack([np.frombuffer(x.as_py(), np.uint8) for x in sketch])
+        across = B.ints(group, "x")[0] != B.ints(group, "y")[0]
+        bands = np.stack(B.column(group, "bands").to_numpy(zero_copy_only=False))
+        need, here = floor * matrix.shape[1], B.ints(group, "bucket")[0]
+        for i in range(len(ids) - 1):
+            fit = label[i + 1:] != label[i]
+            if across:
+                fit &= own[i + 1:] != own[i]
+            at = np.flatnonzero(fit) + i + 1
+            at = at[(matrix[at] == matrix[i]).sum(1) >= need]
+            first = bands[i][(bands[at] == bands[i]).argmax(1)] if len(at) else at
+            for j in at[first == here]:
+                yield min(ids[i], ids[j]), max(ids[i], ids[j])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            held = batch if held is None else pa.concat_batches([held, batch.select(held.schema.names)])
+            keys = np.stack([B.ints(held, c) for c in ("bucket", "x", "y")], 1)
+            ends = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            begin = 0
+            for end in ends:
+                found = list(pairs(held.slice(begin, end - begin)))
+                if found:
+                    yield _pairs(found, kind)
+                begin = end
+            held = held.slice(begin)
+        if held is not None and held.num_rows:
+            yield _pairs(list(pairs(held)), kind)
+
+    kind = members.schema["id"].dataType
+    name = kind.simpleString()
+    return dealt.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y").mapInArrow(
+        run, f"a {name}, b {name}")
+
+
+def _pairs(found: list, kind) -> pa.RecordBatch:
+    a, b = zip(*found) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(x, to_arrow_type(kind)) for x in (a, b)], names=["a", "b"])
+
+
 def _kind(docs: DataFrame) -> str:
     return docs.schema["id"].dataType.simpleString()
 
@@ -157,45 +230,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = signed.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
     reps = written(reps, "representatives")
     entries = reps.select("id", F.explode("bands").alias("bucket")).distinct()
-    # what is open in buckets of two or more
-    shared = entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1")
-    open_ = written(entries.join(shared, "bucket"), "open")
-    found, failed, rounds = [], [], 0
-    while not open_.isEmpty():
-        # the least id leads, and from the second round on about 2^k others by a hash
-        lead = F.col("id") == F.col("least")
-        if rounds:
-            lead = lead | (F.pmod(F.xxhash64("id", F.lit(rounds)), F.col("n")) < (1 << rounds))
-        ahead = open_.where(lead).select("bucket", F.col("id").alias("b"))
-        meet = open_.withColumn("leads", lead).join(ahead, "bucket").where(
-            "id <> b and (not leads or id > b)").select("bucket", F.col("id").alias("a"), "b")
-        meet = written(meet, "meetings")
-        pairs = meet.select("a", "b").distinct()
-        if found:  # judged already, in another bucket or round
-            known = reduce(DataFrame.unionAll, [*found, *failed]).select("a", "b")
-            known = known.union(known.select("b", "a"))
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        judged = written(_compared(written(pairs, "pairs"), docs, size), "judged")
-        found.append(judged.where(F.col("far") <= 1 - threshold + 1e-9))
-        failed.append(judged.where(F.col("far") > 1 - threshold + 1e-9))
-        alike = reduce(DataFrame.unionAll, found).select("a", "b")
-        alike = alike.union(alike.select("b", "a")).distinct()
-        settled = meet.join(alike, ["a", "b"], "left_semi").select("bucket", F.col("a").alias("id"))
-        gone = settled.union(ahead.select("bucket", F.col("b").alias("id"))).distinct()
-        left = open_.select("bucket", "id").join(gone, ["bucket", "id"], "left_anti")
-        more = left.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1")
-        open_ = written(left.join(more, "bucket"), "open")
-        rounds += 1
-    links = reduce(DataFrame.unionAll, found) if found else None
-    if links is None:
-        labels = reps.select("id", F.col("id").alias("label")).limit(0)
-    else:
-        links = written(links, "similar")
-        labels = components(links)
-        beyond = _beyond(links, reduce(DataFrame.unionAll, failed), labels, reps, threshold)
-        extra = written(_compared(written(beyond, "beyond"), docs, size), "judged").where(F.col("far") <= 1 - threshold + 1e-9)
-        if not extra.isEmpty():
-            labels = components(links.unionAll(extra))
+    crowd = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    entries = written(entries.join(crowd, "bucket"), "entries")
+    fame = entries.groupBy("id").agg(F.sum("n").alias("fame"))
+    chief = entries.join(fame, "id").groupBy("bucket").agg(F.max(F.struct("fame", "id")).alias("top"))
+    stars = entries.join(chief, "bucket").where("id <> top.id").select(F.col("id").alias("a"), F.col("top.id").alias("b"))
+    judged = written(_compared(written(stars.distinct(), "pairs"), docs, size), "judged")
+    alike = F.col("far") <= 1 - threshold + 1e-9
+    links = judged.where(alike)
+    label = components(links)
+    members = entries.select("id", "bucket").join(label, "id", "left").select(
+        "id", "bucket", F.coalesce("label", "id").alias("label"))
+    mixed = members.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
+    members = written(members.join(mixed.select("bucket"), "bucket"), "mixed")
+    few = members.select("id").distinct()
+    fine = _fine(docs.join(near(few, BROADCAST_PAIRS), "id"), size).groupBy("id").agg(F.first("sketch").alias("sketch"))
+    bands = reps.groupBy("id").agg(F.first("bands").alias("bands"))
+    members = members.join(bands, "id").join(fine, "id")
+    floor = threshold - 4 * (threshold * (1 - threshold) / FINE) ** 0.5
+    known = judged.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = _close(members, floor).distinct().join(known, ["a", "b"], "left_anti")
+    more = written(_compared(written(more, "pairs"), docs, size), "judged").where(alike)
+    labels = label if more.isEmpty() else components(links.unionAll(more))
     # several texts of one id: one class
     member = signed.select("id", "h1", "h2").distinct().join(reps.select("h1", "h2", F.col("id").alias("rep")), ["h1", "h2"])
     member = member.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").select(
@@ -206,21 +262,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), "class_id", (F.col("id") == F.col("class_id")).alias("kept"))
 
 
-def _beyond(links: DataFrame, failed: DataFrame, labels: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """Pairs that share a band and a leader b, of which only one is similar to b, and that the metric can't rule out."""
-    turned = lambda df: df.select("a", "b", "far").union(df.select("b", "a", "far"))
-    close = turned(links).select("b", F.col("a").alias("x"), F.col("far").alias("near"))
-    off = turned(failed).where(F.col("far") <= 2 * (1 - threshold)).select("b", F.col("a").alias("y"), F.col("far").alias("off"))
-    both = close.join(off, "b").where(F.col("off") - F.col("near") <= 1 - threshold + 1e-9).select("x", "y").distinct()
-    for c in ("x", "y"):
-        label = labels.select(F.col("id").alias(c), F.col("label").alias(f"class_{c}"))
-        both = both.join(label, c, "left")
-    both = both.where("class_x is distinct from class_y")
-    band = {c: reps.select(F.col("id").alias(c), F.col("bands").alias(f"bands_{c}")) for c in ("x", "y")}
-    both = both.join(band["x"], "x").join(band["y"], "y").where(F.arrays_overlap("bands_x", "bands_y"))
-    return both.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-
-
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
     """One row of each class of near-duplicates, the one with the least id, with all columns; rows without an id stay.
 
