@@ -17,19 +17,19 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.types import (IntegerType, StringType, StructField,  # noqa: E402
-                               StructType, TimestampNTZType)
+                               StructType)
 
-from lakestream.functions import clean_text, parse_json_column, run_timestamp  # noqa: E402
+from lakestream.functions import KEEP_PATTERN, clean_text, parse_json_column, run_timestamp  # noqa: E402
 from lakestream.operators import (clean_string_columns, coerce_numeric, decode_messages,  # noqa: E402
                                   dedup_rows, distinct_values, enrich, fits_broadcast, group_means,
-                                  indicator_columns, latest_per_key, numeric_rows, parse_json,
+                                  indicator_columns, indicator_map, indicator_name, latest_per_key, numeric_rows, parse_json,
                                   preview, profile, quarantine_unparsed, row_count, to_envelope)
 from lakestream.plans import (BIO_TABLE, RESULTS_TABLE, enriched_stats, gold_stats,  # noqa: E402
                               landing_to_bronze, publish_to_files, run_medallion)
 from lakestream.schemas import (ATHLETE_KEY, BATCH_COL, GOLD_SCHEMA, MEASURES,  # noqa: E402
                                 RESULT_EVENT_SCHEMA, STAT_KEYS)
 from lakestream.session import scratch_path  # noqa: E402
-from lakestream.sources import (read_layer, read_messages, read_messages_stream,  # noqa: E402
+from lakestream.sources import (files_per_batch, read_layer, read_messages, read_messages_stream,  # noqa: E402
                                 write_csv, write_layer)
 from lakestream.sources.athletes import (athlete_inputs, bio_view,  # noqa: E402
                                          skewed_results_view, table)
@@ -37,7 +37,7 @@ from lakestream.sources.files import BRONZE, GOLD  # noqa: E402
 from lakestream.sources.topics import write_messages  # noqa: E402
 from lakestream.streaming import (await_done, batch_means, combine_batch_means, fan_out,  # noqa: E402
                                   joined_batch_means, message_files_sink, parquet_history_sink,
-                                  parse_results, per_batch, run_enrichment, start)
+                                  parse_results, per_batch, run_enrichment, run_rejected, start)
 
 try:  # the training-data operators are an optional part
     from lakestream.llm import queries as llm_queries  # noqa: E402
@@ -50,12 +50,9 @@ except ImportError as missing:
 SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_TS = "2024-01-01 00:00:00"
 DIGITS = 6
-STREAM_TIMEOUT_S = 1800
-# Messages per topic file and files per micro-batch for the file-backed topic
-# (the rate cap): each micro-batch is a bounded slice of at most 10 000
-# messages, so every scale runs several batches and carries state across them.
-ROWS_PER_FILE = 5000
-FILES_PER_TRIGGER = 2
+# Micro-batches that a stream makes of its whole topic, at any size: batches
+# grow with the data, and every stream carries state over several of them.
+BATCHES = 8
 
 
 # --------------------------------------------------------------------------
@@ -78,14 +75,14 @@ def q_gold_stats_skewed(spark: SparkSession, sf: str) -> DataFrame:
     """A third of the facts on one key, every fact joined: the hot-key split join."""
     orders, customer, nation = (table(spark, sf, n) for n in ("orders", "customer", "nation"))
     return gold_stats(skewed_results_view(orders), bio_view(customer, nation), run_ts=RUN_TS,
-                      digits=DIGITS, broadcast=False, skew="split", pre_aggregate=False)
+                      digits=DIGITS, broadcast=False, skew="split")
 
 
 def q_gold_stats_preagg(spark: SparkSession, sf: str) -> DataFrame:
     """Same facts without a broadcast: counts per key and group are joined instead of facts."""
     orders, customer, nation = (table(spark, sf, n) for n in ("orders", "customer", "nation"))
     return gold_stats(skewed_results_view(orders), bio_view(customer, nation), run_ts=RUN_TS,
-                      digits=DIGITS, broadcast=False, pre_aggregate="auto")
+                      digits=DIGITS, broadcast=False, pre_aggregate=True)
 
 
 def q_enrich_left_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,9 +155,20 @@ def q_distinct_values(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_indicator_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """One-hot columns; the few values of each come from the table that has the column, before the join."""
     results, bio = athlete_inputs(spark, sf)
+    known = distinct_values(results, ["medal", "sport"]).union(distinct_values(bio, ["sex"]))
+    vocabulary = [(r["column"], r["value"]) for r in known.collect()]
     joined = enrich(results, bio, ATHLETE_KEY)
-    return indicator_columns(joined, ["medal", "sex", "sport"], keep=["result_id", "athlete_id"])
+    return indicator_columns(joined, ["medal", "sex", "sport"], vocabulary, keep=["result_id", "athlete_id"])
+
+
+def q_indicator_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Indicators as a map, here a row for each entry; no vocabulary is needed."""
+    results, _ = athlete_inputs(spark, sf)
+    mapped = indicator_map(results, ["medal", "event"], keep=["result_id"])
+    return mapped.select("result_id", F.explode("indicators").alias("entry", "flag")).select(
+        "result_id", "entry.column", "entry.value", "flag")
 
 
 def q_run_timestamp(spark: SparkSession, sf: str) -> DataFrame:
@@ -191,6 +199,23 @@ def q_csv_to_bronze(spark: SparkSession, sf: str) -> DataFrame:
     return read_layer(spark, root, BRONZE, "supplier")
 
 
+def _csv_roundtrip(spark: SparkSession, sf: str, name: str, **csv) -> DataFrame:
+    root, source = scratch_path(spark, f"csv-{name}"), table(spark, sf, name)
+    write_csv(source, f"{root}/landing/{name}.csv", exact=True)
+    landing_to_bronze(spark, f"{root}/landing", root, [name], {name: source.schema}, {"exact": True, **csv})
+    return read_layer(spark, root, BRONZE, name)
+
+
+def q_csv_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with line breaks and quotes through CSV, value for value."""
+    return _csv_roundtrip(spark, sf, "documents", multi_line=True)
+
+
+def q_csv_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Timestamps with microseconds and JSON text through CSV, in files that Spark can split."""
+    return _csv_roundtrip(spark, sf, "events")
+
+
 def q_parquet_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "overwrite")
     part = table(spark, sf, "part")
@@ -208,6 +233,17 @@ def q_medallion_run(spark: SparkSession, sf: str) -> DataFrame:
     return read_layer(spark, root, GOLD, "avg_stats")
 
 
+def q_medallion_run_excluded(spark: SparkSession, sf: str) -> DataFrame:
+    """Measures left as they are by the cleaner, NULLs kept, given schemas, no inference pass."""
+    root = scratch_path(spark, "medallion")
+    results, bio = athlete_inputs(spark, sf)
+    write_csv(bio, f"{root}/landing/{BIO_TABLE}.csv", exact=True)
+    write_csv(results, f"{root}/landing/{RESULTS_TABLE}.csv", exact=True)
+    run_medallion(spark, f"{root}/landing", root, run_ts=RUN_TS, digits=DIGITS, exclude={BIO_TABLE: MEASURES},
+                  null_text=None, schemas={BIO_TABLE: bio.schema, RESULTS_TABLE: results.schema}, csv={"exact": True})
+    return read_layer(spark, root, GOLD, "avg_stats")
+
+
 # --------------------------------------------------------------------------
 # Topics (file-backed stand-in with the Kafka key/value envelope)
 # --------------------------------------------------------------------------
@@ -221,90 +257,160 @@ def q_decode_messages(spark: SparkSession, sf: str) -> DataFrame:
 def q_publish_messages(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "topic-results")
     results, _ = athlete_inputs(spark, sf)
-    publish_to_files(results, path, rows_per_file=ROWS_PER_FILE)
+    publish_to_files(results, path)
     return decode_messages(read_messages(spark, path), RESULT_EVENT_SCHEMA).drop("key")
 
 
 # --------------------------------------------------------------------------
 # Streams: each runs with availableNow over the whole published topic
 # --------------------------------------------------------------------------
-def _publish(spark: SparkSession, df: DataFrame, name: str) -> str:
+def _topic(spark: SparkSession, df: DataFrame, name: str, batches: int = BATCHES) -> DataFrame:
+    """The rows published to a file-backed topic, as a stream of about ``batches`` micro-batches."""
     path = scratch_path(spark, name)
-    publish_to_files(df, path, rows_per_file=ROWS_PER_FILE)
-    return path
+    publish_to_files(df, path, rows_per_file=max(1, -(-df.count() // batches)))
+    return read_messages_stream(spark, path, files_per_batch(spark, path, batches))
 
 
-def _run_enrichment(spark: SparkSession, sf: str) -> tuple[str, str]:
-    results, bio = athlete_inputs(spark, sf)
-    topic = _publish(spark, results, "topic-results")
+def _run_enrichment(spark: SparkSession, results: DataFrame, bio: DataFrame,
+                    broadcast: bool | str = "checked") -> tuple[str, str]:
     history, out_topic = scratch_path(spark, "history"), scratch_path(spark, "topic-out")
-    messages = read_messages_stream(spark, topic, FILES_PER_TRIGGER)
-    query = run_enrichment(messages, bio, [parquet_history_sink(history), message_files_sink(out_topic)],
-                           scratch_path(spark, "ckpt"), run_ts=RUN_TS, digits=DIGITS)
-    await_done(query, STREAM_TIMEOUT_S)
+    query = run_enrichment(_topic(spark, results, "topic-results"), bio,
+                           [parquet_history_sink(history), message_files_sink(out_topic)],
+                           scratch_path(spark, "ckpt"), run_ts=RUN_TS, digits=DIGITS, broadcast=broadcast)
+    await_done(query)
     return history, out_topic
 
 
 def q_stream_enrich(spark: SparkSession, sf: str) -> DataFrame:
-    history, _ = _run_enrichment(spark, sf)
+    history, _ = _run_enrichment(spark, *athlete_inputs(spark, sf))
+    return latest_per_key(spark.read.parquet(history), STAT_KEYS, BATCH_COL).drop(BATCH_COL)
+
+
+def q_stream_enrich_skewed(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the events on one key and no broadcast: the salted stream join."""
+    orders, customer, nation = (table(spark, sf, n) for n in ("orders", "customer", "nation"))
+    history, _ = _run_enrichment(spark, skewed_results_view(orders), bio_view(customer, nation), broadcast=False)
     return latest_per_key(spark.read.parquet(history), STAT_KEYS, BATCH_COL).drop(BATCH_COL)
 
 
 def q_fan_out_messages(spark: SparkSession, sf: str) -> DataFrame:
-    _, out_topic = _run_enrichment(spark, sf)
-    schema = StructType([*[f if f.name != "timestamp" else StructField("timestamp", TimestampNTZType())
-                           for f in GOLD_SCHEMA.fields], StructField(BATCH_COL, StringType())])
+    _, out_topic = _run_enrichment(spark, *athlete_inputs(spark, sf))
+    schema = StructType([*GOLD_SCHEMA.fields, StructField(BATCH_COL, StringType())])
     msgs = decode_messages(read_messages(spark, out_topic), schema).drop("key")
-    msgs = msgs.withColumn(BATCH_COL, F.col(BATCH_COL).cast("int"))
     return latest_per_key(msgs, STAT_KEYS, BATCH_COL).drop(BATCH_COL)
 
 
 def q_stream_events_stats(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events")
-    topic = _publish(spark, events, "topic-events")
-    parsed = parse_json(read_messages_stream(spark, topic, FILES_PER_TRIGGER), events.schema)
+    parsed = parse_json(_topic(spark, events, "topic-events"), events.schema)
     stats = group_means(parsed, ["event_type"], ["value"], digits=DIGITS, ts_col=None)
     history = scratch_path(spark, "history")
-    await_done(start(stats, fan_out(parquet_history_sink(history)), scratch_path(spark, "ckpt")),
-               STREAM_TIMEOUT_S)
+    await_done(start(stats, fan_out(parquet_history_sink(history)), scratch_path(spark, "ckpt")))
     return latest_per_key(spark.read.parquet(history), ["event_type"], BATCH_COL).drop(BATCH_COL)
 
 
 def q_microbatch_stats(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events")
-    topic = _publish(spark, events, "topic-events")
-    parsed = parse_json(read_messages_stream(spark, topic, FILES_PER_TRIGGER), events.schema)
+    parsed = parse_json(_topic(spark, events, "topic-events"), events.schema)
     history = scratch_path(spark, "history")
     fn = per_batch(batch_means(["event_type"], ["value"], run_ts=RUN_TS), parquet_history_sink(history))
-    await_done(start(parsed, fn, scratch_path(spark, "ckpt"), "append"), STREAM_TIMEOUT_S)
+    await_done(start(parsed, fn, scratch_path(spark, "ckpt"), "append"))
     return combine_batch_means(spark.read.parquet(history), ["event_type"], ["value"], DIGITS)
 
 
 def q_microbatch_join_stats(spark: SparkSession, sf: str) -> DataFrame:
     results, bio = athlete_inputs(spark, sf)
-    topic = _publish(spark, results, "topic-results")
     dim = numeric_rows(bio, MEASURES)
     hint = fits_broadcast(dim)  # decided once, not per micro-batch
-    events = parse_results(read_messages_stream(spark, topic, FILES_PER_TRIGGER))
+    events = parse_results(_topic(spark, results, "topic-results"))
     history = scratch_path(spark, "history")
     fn = per_batch(joined_batch_means(dim, hint, run_ts=RUN_TS), parquet_history_sink(history))
-    await_done(start(events, fn, scratch_path(spark, "ckpt"), "append"), STREAM_TIMEOUT_S)
+    await_done(start(events, fn, scratch_path(spark, "ckpt"), "append"))
     return combine_batch_means(spark.read.parquet(history), STAT_KEYS, MEASURES, DIGITS)
 
 
 def q_stream_static_inner(spark: SparkSession, sf: str) -> DataFrame:
     results, bio = athlete_inputs(spark, sf)
-    topic = _publish(spark, results, "topic-results")
-    events = parse_results(read_messages_stream(spark, topic, FILES_PER_TRIGGER))
+    events = parse_results(_topic(spark, results, "topic-results"))
     dim = numeric_rows(bio, MEASURES)
     joined = enrich(dim, events.select("athlete_id", "result_id", "sport", "medal"), ATHLETE_KEY,
-                    "inner", broadcast=False, drop_shared=False)
+                    "inner", drop_shared=False)
     history = scratch_path(spark, "history")
     await_done(start(joined, fan_out(parquet_history_sink(history)), scratch_path(spark, "ckpt"),
-                     "append"), STREAM_TIMEOUT_S)
+                     "append"))
     return spark.read.parquet(history).drop(BATCH_COL)
 
 
+def q_history_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Running averages over more than ten micro-batches, read from messages that tag their batch with text."""
+    events = table(spark, sf, "events")
+    parsed = parse_json(_topic(spark, events, "topic-events", 12), events.schema)
+    stats = group_means(parsed, ["event_type"], ["value"], digits=DIGITS, ts_col=None)
+    out_topic = scratch_path(spark, "topic-out")
+    await_done(start(stats, fan_out(message_files_sink(out_topic)), scratch_path(spark, "ckpt")))
+    schema = "event_type string, avg_value double, batch_id string"
+    msgs = decode_messages(read_messages(spark, out_topic), _schema(schema)).drop("key")
+    return latest_per_key(msgs, ["event_type"], BATCH_COL).drop(BATCH_COL)
+
+
+def q_replayed_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-batch averages in an append-only history that has every second batch twice, as after replays."""
+    events = table(spark, sf, "events")
+    parsed = parse_json(_topic(spark, events, "topic-events"), events.schema)
+    out_topic = scratch_path(spark, "topic-out")
+    fn = per_batch(batch_means(["event_type"], ["value"], run_ts=RUN_TS), message_files_sink(out_topic))
+    await_done(start(parsed, fn, scratch_path(spark, "ckpt"), "append"))
+    once = read_messages(spark, out_topic)
+    schema = "event_type string, avg_value double, n_value long, batch_id string"
+    history = decode_messages(once, _schema(schema)).drop("key")
+    history = history.unionByName(history.where(F.col(BATCH_COL).cast("int") % 2 == 0))
+    return combine_batch_means(history, ["event_type"], ["value"], DIGITS)
+
+
+def q_stream_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """Half of the events, a stop, the other half, a restart on the same checkpoint, and a run without new messages."""
+    events = table(spark, sf, "events")
+    path, history, ckpt = (scratch_path(spark, n) for n in ("topic-events", "history", "ckpt"))
+    for part in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1, F.lit(False)):
+        publish_to_files(events.where(part), path)
+        parsed = parse_json(read_messages_stream(spark, path), events.schema)
+        stats = group_means(parsed, ["event_type"], ["value"], digits=DIGITS, ts_col=None)
+        await_done(start(stats, fan_out(parquet_history_sink(history)), ckpt))
+    return latest_per_key(spark.read.parquet(history), ["event_type"], BATCH_COL).drop(BATCH_COL)
+
+
+def q_late_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    """A dimension that gains rows between two runs of a stream: later events join to them, earlier ones don't."""
+    results, bio = athlete_inputs(spark, sf)
+    path, dims, history, ckpt = (scratch_path(spark, n) for n in ("topic-results", "dimension", "history", "ckpt"))
+    schema = bio.schema
+    for rest in (0, 1):
+        bio.where(F.col(ATHLETE_KEY) % 2 == rest).write.mode("append").parquet(dims)
+        publish_to_files(results.where(F.col("result_id") % 2 == rest), path)
+        read = lambda: numeric_rows(spark.read.schema(schema).parquet(dims), MEASURES)
+        fn = per_batch(joined_batch_means(read, False, run_ts=RUN_TS), parquet_history_sink(history))
+        await_done(start(parse_results(read_messages_stream(spark, path)), fn, ckpt, "append"))
+    return combine_batch_means(spark.read.parquet(history), STAT_KEYS, MEASURES, DIGITS)
+
+
+def q_stream_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of events (JSON), raw pages (not JSON) and nations (broken UTF-8): those that a sink of their own gets."""
+    props = table(spark, sf, "events").select(F.encode("props", "UTF-8").alias("value"))
+    pages = table(spark, sf, "pages").select(F.encode("html", "UTF-8").alias("value"))
+    broken = table(spark, sf, "nation").select(
+        F.concat(F.unhex(F.lit("FF")), F.encode("n_name", "UTF-8")).alias("value"))
+    path, out = scratch_path(spark, "topic-mixed"), scratch_path(spark, "rejected")
+    write_messages(props.union(pages).union(broken), path)
+    schema = StructType([StructField("k", IntegerType())])
+    await_done(run_rejected(read_messages_stream(spark, path), [parquet_history_sink(out)], scratch_path(spark, "ckpt"),
+                            schema=schema))
+    return spark.read.parquet(out).select("value", "is_utf8")
+
+
+def _schema(ddl: str) -> StructType:
+    return StructType.fromDDL(ddl)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return _lake_queries() | (llm_queries.queries() if llm_queries else {})
 
@@ -342,6 +448,16 @@ def _lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "microbatch_stats": q_microbatch_stats,
         "microbatch_join_stats": q_microbatch_join_stats,
         "stream_static_inner": q_stream_static_inner,
+        "csv_documents": q_csv_documents,
+        "csv_events": q_csv_events,
+        "medallion_run_excluded": q_medallion_run_excluded,
+        "indicator_map": q_indicator_map,
+        "stream_enrich_skewed": q_stream_enrich_skewed,
+        "history_latest": q_history_latest,
+        "replayed_batches": q_replayed_batches,
+        "stream_restart": q_stream_restart,
+        "late_dimension": q_late_dimension,
+        "stream_rejected": q_stream_rejected,
     }
 
 
@@ -374,13 +490,20 @@ _FACT_SKEWED = _fact("case when o_orderkey % 3 = 0 then 1 else cast(o_custkey as
 _DIM_NUMERIC = f"""select * from ({_DIM}) where try_cast(height as double) is not null
   and try_cast(weight as double) is not null"""
 _TS = f"timestamp '{RUN_TS}'"
-_KEEP = r"""'[^a-zA-Z0-9,.\\"'']'"""
+_KEEP = "'" + KEEP_PATTERN.replace("'", "''") + "'"  # the cleaner's pattern as an SQL literal
 
 
 def _c(x: str) -> str:
     return f"regexp_replace(coalesce({x}, 'None'), {_KEEP}, '', 'g')"
 
 
+def _c0(x: str) -> str:
+    return f"regexp_replace({x}, {_KEEP}, '', 'g')"
+
+
+_EVENT_MEANS = "select event_type, round(avg(value), 6) as avg_value from events group by event_type"
+
+
 def _gold_sql(fact: str) -> str:
     return f"""
 select sport, medal, sex, country_noc,
@@ -418,7 +541,7 @@ def _indicator_sql() -> str:
     flags = []
     for col, values in (("medal", _STATUSES + [None]), ("sex", _SEGMENTS), ("sport", _PRIORITIES)):
         for v in values:
-            name = f"{col}_{str(v).replace(' ', '_')}"
+            name = indicator_name(col, v)
             test = f"{col} is null" if v is None else f"{col} = '{v}'"
             flags.append(f'case when {test} then 1 else 0 end as "{name}"')
     return f"select result_id, athlete_id, {', '.join(flags)} from ({_JOINED})"
@@ -515,4 +638,33 @@ group by sport, medal, sex, country_noc""",
         "stream_static_inner": f"""select d.athlete_id, d.sex, d.country_noc, d.height, d.weight,
             f.result_id, f.sport, f.medal
             from ({_DIM_NUMERIC}) d join ({_FACT}) f on f.athlete_id = d.athlete_id""",
+        "csv_documents": "select * from documents",
+        "csv_events": "select * from events",
+        "medallion_run_excluded": f"""
+select sport, medal, sex, country_noc,
+  round(avg(try_cast(height as double)), 6) as avg_height,
+  round(avg(try_cast(weight as double)), 6) as avg_weight,
+  {_TS} as "timestamp"
+from (select f.sport, f.medal, d.sex, d.country_noc, d.height, d.weight
+      from (select athlete_id, {_c0('sport')} as sport, {_c0('medal')} as medal from ({_FACT})) f
+      join (select distinct athlete_id, {_c0('sex')} as sex, {_c0('country_noc')} as country_noc, height, weight
+            from ({_DIM})) d on f.athlete_id = d.athlete_id)
+where sex is not null and country_noc is not null and sport is not null
+group by sport, medal, sex, country_noc""",
+        "indicator_map": f"""select result_id, 'medal' as "column", medal as value, 1 as flag from ({_FACT})
+            union all select result_id, 'event', event, 1 from ({_FACT})""",
+        "stream_enrich_skewed": _ENRICH_LEFT.replace(_FACT, _FACT_SKEWED),
+        "history_latest": _EVENT_MEANS,
+        "replayed_batches": _EVENT_MEANS,
+        "stream_restart": _EVENT_MEANS,
+        "late_dimension": f"""
+select sport, medal, sex, country_noc,
+  round(avg(try_cast(height as double)), 6) as avg_height,
+  round(avg(try_cast(weight as double)), 6) as avg_weight
+from (select f.sport, f.medal, d.sex, d.country_noc, d.height, d.weight
+      from ({_FACT}) f join ({_DIM_NUMERIC}) d on f.athlete_id = d.athlete_id
+      where f.result_id % 2 = 1 or d.athlete_id % 2 = 0)
+group by sport, medal, sex, country_noc""",
+        "stream_rejected": """select html as value, true as is_utf8 from pages
+            union all select chr(65533) || n_name, false from nation""",
     }

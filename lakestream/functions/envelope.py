@@ -41,8 +41,13 @@ def parse_json_column(c: Column | str, schema: StructType | str) -> Column:
 
 
 def utf8_text(c: Column | str) -> Column:
-    """Bytes decoded as UTF-8 text (NULL stays NULL)."""
-    return F.decode(to_col(c), "UTF-8")
+    """Bytes decoded as UTF-8 text (NULL stays NULL); broken sequences become U+FFFD instead of failing the job."""
+    return F.make_valid_utf8(to_col(c).cast("string"))
+
+
+def is_utf8(c: Column | str) -> Column:
+    """Whether bytes are valid UTF-8 (NULL stays NULL): the flag by which broken messages are set apart."""
+    return F.is_valid_utf8(to_col(c).cast("string"))
 
 
 def utf8_bytes(c: Column | str) -> Column:

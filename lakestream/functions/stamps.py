@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 def run_timestamp(run_ts: str | _dt.datetime | None = None) -> Column:
     """The computation time of a run.
 
-    ``current_timestamp()`` is evaluated once per query (once per micro-batch
+    ``localtimestamp()`` is evaluated once per query (once per micro-batch
     in a stream), so every row of one run carries the same value. Passing
-    ``run_ts`` pins it to a literal zone-less timestamp, for reproducible runs
-    and tests.
+    ``run_ts`` pins it to a literal, for reproducible runs and tests. Both are
+    zone-less (TIMESTAMP_NTZ, the session's local time), so the type of a
+    table doesn't depend on the argument.
     """
     if run_ts is None:
-        return F.current_timestamp()
+        return F.localtimestamp()
     return F.lit(run_ts).cast("timestamp_ntz")
 
 

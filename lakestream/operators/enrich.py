@@ -10,8 +10,9 @@ Join strategy, in order:
 3. Otherwise a shuffle join on the key. With adaptive execution on, Spark
    still converts it to a broadcast join when the *measured* shuffle size of
    the dimension is small, and splits oversized (skewed) partitions of the
-   facts. ``skew="split"`` instead finds the hot keys up front and joins
-   them through a broadcast of only their dimension rows, shuffling the rest.
+   facts. ``skew="split"`` instead finds the hot keys up front, in one pass,
+   and spreads their facts over several tasks by a salt. Streams, where
+   adaptive execution doesn't run, are always salted.
 """
 
 from __future__ import annotations
@@ -23,21 +24,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType, DateType,
-                               DecimalType, DoubleType, FloatType, IntegerType, LongType,
-                               MapType, ShortType, StringType, StructType, TimestampNTZType,
-                               TimestampType)
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCASTABLE_HOW = {"inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi",
                      "semi", "left_anti", "leftanti", "anti"}
 
-_FIXED_WIDTH = {
-    ByteType: 1, ShortType: 2, IntegerType: 4, LongType: 8, FloatType: 4, DoubleType: 8,
-    BooleanType: 1, DateType: 4, TimestampType: 8, TimestampNTZType: 8, DecimalType: 16,
-}
-
-
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
@@ -75,17 +67,10 @@ def _variable_bytes(df: DataFrame) -> Column:
 def estimate_size(df: DataFrame) -> SizeEstimate:
     """Rows and approximate in-memory bytes of ``df``, from one distributed pass.
 
-    Bytes follow Spark's binary row layout: a null bitmap, one 8-byte word
-    per field, plus the variable-length payload of strings, binaries and
-    nested values. The pass is a plain aggregate (map-side partial sums).
+    Bytes are 16 for each field and the length of strings, binaries and (as
+    JSON) nested values. The pass is a plain aggregate (map-side partial sums).
     """
-    n = len(df.columns)
-    fixed = 8 * ((n + 63) // 64) + 8 * n
-    for field in df.schema.fields:
-        width = _FIXED_WIDTH.get(type(field.dataType))
-        if width is None and not isinstance(field.dataType, (StringType, BinaryType, StructType,
-                                                             ArrayType, MapType)):
-            fixed += 8
+    fixed = 16 * len(df.columns)
     row = df.agg(F.count(F.lit(1)).alias("rows"),
                  F.sum(_variable_bytes(df)).alias("var")).first()
     rows = int(row["rows"] or 0)
@@ -97,66 +82,96 @@ def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES)
     return estimate_size(df).bytes <= max_bytes
 
 
-def _hot_keys(facts: DataFrame, keys: list[str], hot_key_share: float) -> list:
-    """Keys holding at least ``hot_key_share`` of all facts (at most 1/share keys)."""
-    total = facts.count()
-    if total == 0:
-        return []
-    threshold = max(1, math.ceil(total * hot_key_share))
-    counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    limit = math.floor(1 / hot_key_share) + 1
-    hot = counts.filter(F.col("_n") >= threshold).select(*keys).limit(limit).collect()
-    # Keys with a NULL part never match in an equi-join; they stay on the shuffle side.
-    return [r for r in hot if all(v is not None for v in r)]
+def hot_keys(facts: DataFrame, key: str | Sequence[str], share: float = 0.01) -> DataFrame:
+    """Keys holding at least ``share`` of all facts: at most ``1 / share`` rows, from one pass over the facts."""
+    keys = _keys(key)
+    counts = facts.select(*keys).groupingSets([[F.col(k) for k in keys], []], *keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_all"))
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    # the row of all facts comes first; a key of so large a share is among the next 1 / share
+    top = counts.where((F.col("_all") > 0) | known).orderBy(F.desc("_n"), F.desc("_all")).limit(
+        math.floor(1 / share) + 1).collect()
+    least = math.ceil(top[0]["_n"] * share) if top else 0
+    rows = [tuple(r[k] for k in keys) for r in top[1:] if r["_n"] >= least]
+    return facts.sparkSession.createDataFrame(rows, facts.select(*keys).schema)
+
+
+def salted_join(facts: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str = "inner",
+                salts: int = 16, hot: DataFrame | None = None) -> DataFrame:
+    """A shuffle join in which a key's facts meet in ``salts`` tasks instead of one.
+
+    Each fact gets a salt by a hash of its other columns, and the dimension one
+    row for each salt. ``hot`` (from :func:`hot_keys`) restricts that to those
+    keys, so the rest of the dimension isn't multiplied; without it every key is
+    salted, as in streams, whose keys can't be counted. Facts with a NULL key
+    match nothing and are spread likewise. The facts are read once.
+    """
+    keys = _keys(key)
+    rest = [c for c in facts.columns if c not in keys]
+    salt = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int") if rest else F.lit(0)
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    if hot is None:
+        left, right = facts.withColumn("_salt", salt), dim.withColumn("_salt", F.explode(every))
+    else:
+        marked = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
+        null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        left = facts.join(marked, keys, "left").withColumn(
+            "_salt", F.when(F.col("_hot") | null, salt).otherwise(0)).drop("_hot")
+        right = dim.join(marked, keys, "left").withColumn(
+            "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))).drop("_hot")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
 def split_hot_join(facts: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str = "inner",
-                   hot_key_share: float = 0.01,
-                   max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Join with hot keys split out.
-
-    Facts of keys that hold at least ``hot_key_share`` of all rows are joined
-    against a broadcast of just those keys' dimension rows; all other facts
-    take the shuffle join. No row is dropped or sampled; the union is the
-    exact join result.
+                   hot_key_share: float = 0.01, salts: int = 16) -> DataFrame:
+    """Join with the facts of hot keys spread over ``salts`` tasks each (see :func:`salted_join`).
+
+    Keys are hot from ``hot_key_share`` of all facts up; one counting pass finds
+    them. No row is dropped or sampled, and nothing but the hot keys is broadcast.
     """
-    keys = _keys(key)
-    hot_rows = _hot_keys(facts, keys, hot_key_share)
-    if not hot_rows:
-        return facts.join(dim, keys, how)
-    spark = facts.sparkSession
-    hot = spark.createDataFrame(hot_rows, schema=facts.select(*keys).schema)
-    dim_hot = dim.join(F.broadcast(hot), keys, "left_semi")
-    if not fits_broadcast(dim_hot, max_broadcast_bytes):
-        return facts.join(dim, keys, how)
-    facts_hot = facts.join(F.broadcast(hot), keys, "left_semi")
-    facts_cold = facts.join(F.broadcast(hot), keys, "left_anti")
-    joined_hot = facts_hot.join(F.broadcast(dim_hot), keys, how)
-    joined_cold = facts_cold.join(dim, keys, how)
-    return joined_hot.unionByName(joined_cold)
+    return salted_join(facts, dim, key, how, salts, hot_keys(facts, key, hot_key_share))
 
 
 def enrich(facts: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str = "inner",
            broadcast: bool | str = "checked",
            max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
            skew: str = "adaptive", hot_key_share: float = 0.01,
-           drop_shared: bool = True) -> DataFrame:
+           drop_shared: bool = True, keep: str = "dimension", salts: int = 16) -> DataFrame:
     """Join facts to a dimension on ``key`` (USING semantics, one key column).
 
-    ``drop_shared`` removes from the facts every non-key column the dimension
-    also has, so the dimension's values win. ``broadcast``: ``True`` (always
-    hint), ``"checked"`` (hint after measuring), ``False`` (never hint).
+    ``drop_shared`` removes a non-key column that both sides have from one of
+    them: the facts, so the dimension's values win, or with ``keep="facts"``
+    the dimension. ``broadcast``: ``True`` (the caller vouches for the size),
+    ``"checked"`` (broadcast after measuring), ``False`` (never).
     ``skew``: ``"adaptive"`` (leave splitting to adaptive execution) or
     ``"split"`` (explicit hot-key split, see :func:`split_hot_join`).
+
+    Either side may be a stream. A streaming dimension can't be measured or
+    broadcast: the static facts are, in an inner join, if they are small
+    enough. Adaptive execution doesn't run in streams, so a stream that is
+    joined without a broadcast is salted.
     """
     keys = _keys(key)
-    if drop_shared:
+    if broadcast not in (True, False, "checked"):
+        raise ValueError(f"broadcast must be True, False or 'checked', not {broadcast!r}")
+    if keep not in ("dimension", "facts"):
+        raise ValueError(f"keep must be 'dimension' or 'facts', not {keep!r}")
+    if drop_shared and keep == "facts":
+        dim = drop_shared_columns(dim, facts, keys)
+    elif drop_shared:
         facts = drop_shared_columns(facts, dim, keys)
-    can_broadcast = how.lower() in BROADCASTABLE_HOW
+    if dim.isStreaming and not facts.isStreaming and how.lower() == "inner":
+        names = [*keys, *[c for d in (facts, dim) for c in d.columns if c not in keys]]
+        small = broadcast is True or broadcast == "checked" and fits_broadcast(facts, max_broadcast_bytes)
+        joined = dim.join(F.broadcast(facts), keys) if small else salted_join(dim, facts, keys, "inner", salts)
+        return joined.select(*names)
+    can_broadcast = how.lower() in BROADCASTABLE_HOW and not dim.isStreaming
     if can_broadcast and broadcast is True:
         return facts.join(F.broadcast(dim), keys, how)
     if can_broadcast and broadcast == "checked" and fits_broadcast(dim, max_broadcast_bytes):
         return facts.join(F.broadcast(dim), keys, how)
     if skew == "split" and how.lower() in {"inner", "left", "left_outer", "leftouter"}:
-        return split_hot_join(facts, dim, keys, how, hot_key_share, max_broadcast_bytes)
+        return split_hot_join(facts, dim, keys, how, hot_key_share, salts)
+    if facts.isStreaming and not dim.isStreaming and how.lower() in {"inner", "left", "left_outer", "leftouter"}:
+        return salted_join(facts, dim, keys, how, salts)
     return facts.join(dim, keys, how)

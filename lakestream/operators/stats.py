@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from lakestream.functions import as_double, run_timestamp
 from lakestream.schemas import MEASURES, STAT_KEYS, TIMESTAMP_COL
@@ -72,51 +73,45 @@ def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def indicator_name(column: str, value) -> str:
-    """``<column>_<value>`` with spaces turned into underscores."""
-    return f"{column}_{str(value).replace(' ', '_')}"
+    """``<column>__<value>``; anything but ASCII letters, digits, ``.`` and ``-`` as ``_<hex>_``, NULL as ``_null_``.
 
-
-def indicator_vocabulary(df: DataFrame, cols: Sequence[str], max_values: int = 1024) -> list[tuple[str, str | None]]:
-    """The sorted (column, value) vocabulary, fetched only when it is small.
-
-    Raises when there are more than ``max_values`` pairs: wide indicator
-    columns are then the wrong shape; :func:`indicator_map` handles any
-    cardinality without a vocabulary.
+    Different values have different names: the text ``None`` and NULL, ``a b`` and ``a_b``.
     """
-    rows = distinct_values(df, cols).limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        raise ValueError(f"more than {max_values} distinct values in {list(cols)}; "
-                         "use indicator_map for high-cardinality columns")
-    order = {c: i for i, c in enumerate(cols)}
-    return sorted(((r["column"], r["value"]) for r in rows),
-                  key=lambda cv: (order[cv[0]], cv[1] is None, cv[1] or ""))
+    if value is None:
+        return f"{column}___null_"
+    return f"{column}__" + "".join(
+        c if c.isascii() and (c.isalnum() or c in ".-") else f"_{ord(c):x}_" for c in str(value))
 
 
-def indicator_columns(df: DataFrame, cols: Sequence[str],
-                      vocabulary: Iterable[tuple[str, str | None]] | None = None,
-                      max_values: int = 1024, keep: Sequence[str] | None = None) -> DataFrame:
-    """One-hot columns ``<column>_<value>`` (1 when the row has that value, else 0).
+def indicator_columns(df: DataFrame, cols: Sequence[str], vocabulary: Iterable[tuple[str, str | None]],
+                      keep: Sequence[str] | None = None) -> DataFrame:
+    """One-hot columns named by :func:`indicator_name` (1 when the row has that value, else 0).
 
-    The vocabulary comes from :func:`distinct_values` unless given. ``keep``
-    lists input columns to carry along (default: all).
+    ``vocabulary`` lists the (column, value) pairs that get a column, such as
+    the rows of :func:`distinct_values` of columns known to have few values;
+    :func:`indicator_map` is the form for any number of values. ``keep`` lists
+    input columns to carry along (default: all).
     """
-    vocab = list(vocabulary) if vocabulary is not None else indicator_vocabulary(df, cols, max_values)
-    carried = [df[c] for c in (df.columns if keep is None else keep)]
+    order = {c: i for i, c in enumerate(cols)}
+    vocab = sorted({(c, v) for c, v in vocabulary if c in order},
+                   key=lambda cv: (order[cv[0]], cv[1] is None, cv[1] or ""))
+    carried = list(df.columns if keep is None else keep)
+    names = carried + [indicator_name(c, v) for c, v in vocab]
+    if len({n.lower() for n in names}) < len(names):
+        raise ValueError(f"indicator names clash with each other or with columns: {sorted(names)}")
     flags = []
     for c, v in vocab:
-        hit = df[c].isNull() if v is None else df[c].cast("string") == F.lit(v)
+        hit = df[c].isNull() if v is None else df[c].cast("string").eqNullSafe(F.lit(v))
         flags.append(F.when(hit, 1).otherwise(0).alias(indicator_name(c, v)))
-    return df.select(*carried, *flags)
+    return df.select(*[df[c] for c in carried], *flags)
 
 
 def indicator_map(df: DataFrame, cols: Sequence[str], map_col: str = "indicators",
                   keep: Sequence[str] | None = None) -> DataFrame:
-    """Indicators as a map ``{<column>_<value>: 1}`` per row, for any cardinality."""
-    names = [F.concat(F.lit(f"{c}_"), F.regexp_replace(F.coalesce(df[c].cast("string"), F.lit("None")),
-                                                       " ", "_")) for c in cols]
+    """Indicators as a map ``{(column, value): 1}`` per row, for any number of values; NULL is a value."""
     entries = []
-    for n in names:
-        entries += [n, F.lit(1)]
+    for c in dict.fromkeys(cols):
+        entries += [F.struct(F.lit(c).alias("column"), df[c].cast("string").alias("value")), F.lit(1)]
     carried = [df[c] for c in (df.columns if keep is None else keep)]
     return df.select(*carried, F.create_map(*entries).alias(map_col))
 
@@ -146,10 +141,16 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 def latest_per_key(history: DataFrame, keys: Sequence[str], order_col: str = "batch_id") -> DataFrame:
     """For an append-only history of updates, the newest row per key.
 
+    Text in ``order_col`` (the sinks tag batches with text) is ordered as the
+    number it holds: batch 10 is newer than batch 9.
+
     Uses ``max_by`` in a grouped aggregate (map-side partial), so a key with
     a very long history is reduced in every map task before the shuffle.
     Ties on ``order_col`` (a replayed batch) resolve to one of the equal rows.
     """
     values = [c for c in history.columns if c not in set(keys)]
-    latest = F.max_by(F.struct(*[history[c] for c in values]), history[order_col]).alias("_latest")
+    order = history[order_col]
+    if isinstance(history.schema[order_col].dataType, StringType):
+        order = F.struct(order.try_cast("decimal(38,0)"), order)
+    latest = F.max_by(F.struct(*[history[c] for c in values]), order).alias("_latest")
     return history.groupBy(*[history[k] for k in keys]).agg(latest).select(*keys, "_latest.*")

@@ -30,7 +30,7 @@ NOT_NULL_KEYS = ("sex", "country_noc", "sport")
 
 def gold_stats(results: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, run_ts=None,
                digits: int | None = None, broadcast: bool | str = "checked",
-               skew: str = "adaptive", pre_aggregate: bool | str = "auto") -> DataFrame:
+               skew: str = "adaptive", pre_aggregate: bool = False) -> DataFrame:
     """Average height and weight per (sport, medal, sex, country_noc).
 
     Inner join on ``key`` (the dimension's copy of shared columns wins),
@@ -39,16 +39,17 @@ def gold_stats(results: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, run_t
 
     Join plans: a dimension that measures below the broadcast bound is
     broadcast, so the facts are never shuffled for the join and the one
-    shuffle carries partial aggregates. Otherwise (``pre_aggregate="auto"``)
+    shuffle carries partial aggregates. With ``pre_aggregate=True``
     the facts are first counted per (key, fact-side group columns), inside
     every map task before the shuffle, and only those counts are joined and
     averaged with the counts as weights: the join shuffle carries one row per
     athlete and group instead of every fact, and a key holding a third of all
-    facts arrives as a handful of rows. ``pre_aggregate=False`` joins every
-    fact (then ``skew`` applies to the fact rows).
+    facts arrives as a handful of rows. By default every fact is joined (then
+    ``skew`` applies to the fact rows); the choice is the caller's, so it never
+    changes with the size of the data.
     """
-    hint = fits_broadcast(used_dimension_columns(bio, key)) if broadcast == "checked" else bool(broadcast)
-    if _eager(results, bio, hint, pre_aggregate):
+    hint = _hint(used_dimension_columns(bio, key), broadcast)
+    if _eager(results, bio, pre_aggregate):
         return _pre_aggregated_means(results, bio, key, "inner", run_ts, digits, hint, skew)
     joined = enrich(results, bio, key, "inner", broadcast=hint, skew=skew)
     numeric = coerce_numeric(joined, MEASURES)
@@ -56,6 +57,12 @@ def gold_stats(results: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, run_t
     return group_means(kept, STAT_KEYS, MEASURES, run_ts=run_ts, digits=digits)
 
 
+def _hint(dim: DataFrame, broadcast: bool | str) -> bool:
+    if broadcast not in (True, False, "checked"):
+        raise ValueError(f"broadcast must be True, False or 'checked', not {broadcast!r}")
+    return fits_broadcast(dim) if broadcast == "checked" else broadcast
+
+
 _WEIGHT = "_facts"
 
 
@@ -66,11 +73,9 @@ def used_dimension_columns(dim: DataFrame, key: str = ATHLETE_KEY) -> DataFrame:
 
 
 
-def _eager(facts: DataFrame, dim: DataFrame, broadcast: bool, pre_aggregate: bool | str) -> bool:
-    """Aggregate before the join? Only for batch facts, measures from the dimension,
-    and (by default) only when the dimension is not broadcast."""
-    wanted = pre_aggregate is True or (pre_aggregate == "auto" and not broadcast)
-    return wanted and not facts.isStreaming and all(m in dim.columns for m in MEASURES)
+def _eager(facts: DataFrame, dim: DataFrame, pre_aggregate: bool) -> bool:
+    """Aggregate before the join? Only for batch facts, with measures from the dimension."""
+    return pre_aggregate and not facts.isStreaming and all(m in dim.columns for m in MEASURES)
 
 
 def _pre_aggregated_means(facts: DataFrame, dim: DataFrame, key: str, how: str, run_ts,
@@ -86,19 +91,18 @@ def _pre_aggregated_means(facts: DataFrame, dim: DataFrame, key: str, how: str,
 
 def enriched_stats(events: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, run_ts=None,
                    digits: int | None = None, broadcast: bool | str = "checked",
-                   finite_only: bool = False, pre_aggregate: bool | str = "auto") -> DataFrame:
+                   finite_only: bool = False, pre_aggregate: bool = False) -> DataFrame:
     """The stream's statistic, usable on a batch or a streaming ``events`` frame.
 
     Dimension rows need *both* measures numeric; events are left-joined to
     them and rows without sex, country or sport are dropped (which makes the
-    join an inner one), then averaged per group. On batch events with a
-    dimension that is not broadcast, events are counted per key and group
-    before the join, as in :func:`gold_stats`; a stream always joins events
-    (one stateful aggregation per query in update mode).
+    join an inner one), then averaged per group. ``pre_aggregate`` counts batch
+    events per key and group before the join, as in :func:`gold_stats`; a stream
+    always joins events (one stateful aggregation per query in update mode).
     """
     dim = numeric_rows(bio, MEASURES, finite_only=finite_only)
-    hint = fits_broadcast(used_dimension_columns(dim, key)) if broadcast == "checked" else bool(broadcast)
-    if _eager(events, dim, hint, pre_aggregate):
+    hint = _hint(used_dimension_columns(dim, key), broadcast)
+    if _eager(events, dim, pre_aggregate):
         return _pre_aggregated_means(events, dim, key, "left", run_ts, digits, hint, "adaptive")
     joined = enrich(events, dim, key, "left", broadcast=hint)
     kept = require_not_null(joined.select(*STAT_KEYS, *MEASURES), NOT_NULL_KEYS)
@@ -107,11 +111,15 @@ def enriched_stats(events: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, ru
 
 def landing_to_bronze(spark: SparkSession, landing_dir: str, root: str,
                       tables: Iterable[str] = LAKE_TABLES,
-                      schemas: Mapping[str, object] | None = None) -> list[str]:
-    """Each ``{landing_dir}/{table}.csv`` (header, inferred or given types) → bronze."""
+                      schemas: Mapping[str, object] | None = None,
+                      csv: Mapping[str, object] | None = None) -> list[str]:
+    """Each ``{landing_dir}/{table}.csv`` (header, inferred or given types) → bronze.
+
+    ``csv``: keyword arguments of :func:`lakestream.sources.read_csv`.
+    """
     paths = []
     for t in tables:
-        df = read_csv(spark, f"{landing_dir.rstrip('/')}/{t}.csv", schema=(schemas or {}).get(t))
+        df = read_csv(spark, f"{landing_dir.rstrip('/')}/{t}.csv", schema=(schemas or {}).get(t), **(csv or {}))
         paths.append(write_layer(df, root, BRONZE, t))
     return paths
 
@@ -132,7 +140,7 @@ def silver_to_gold(spark: SparkSession, root: str, bio_table: str = BIO_TABLE,
                    results_table: str = RESULTS_TABLE, gold_table: str = GOLD_TABLE,
                    run_ts=None, digits: int | None = None,
                    broadcast: bool | str = "checked", skew: str = "adaptive",
-                   pre_aggregate: bool | str = "auto") -> str:
+                   pre_aggregate: bool = False) -> str:
     """Join the silver tables, average per group, write ``gold/{gold_table}``.
 
     ``broadcast``, ``skew`` and ``pre_aggregate`` choose the plan as in :func:`gold_stats`.
@@ -147,10 +155,19 @@ def silver_to_gold(spark: SparkSession, root: str, bio_table: str = BIO_TABLE,
 def run_medallion(spark: SparkSession, landing_dir: str, root: str,
                   tables: Sequence[str] = LAKE_TABLES, run_ts=None, digits: int | None = None,
                   schemas: Mapping[str, object] | None = None,
-                  broadcast: bool | str = "checked", skew: str = "adaptive") -> str:
-    """The three jobs strictly in order; safe to re-run (every layer is overwritten)."""
-    landing_to_bronze(spark, landing_dir, root, tables, schemas)
-    bronze_to_silver(spark, root, tables)
-    bio_table, results_table = tables[0], tables[1]
+                  broadcast: bool | str = "checked", skew: str = "adaptive", pre_aggregate: bool = False,
+                  exclude: Mapping[str, Sequence[str]] | None = None, null_text: str | None = "None",
+                  bio_table: str = BIO_TABLE, results_table: str = RESULTS_TABLE,
+                  csv: Mapping[str, object] | None = None) -> str:
+    """The three jobs strictly in order; safe to re-run (every layer is overwritten).
+
+    ``exclude`` names columns of a table that the cleaner leaves as they are (it
+    takes signs and dots out of numbers in text), ``null_text`` is what it makes
+    of NULL (None: NULL stays), and ``csv`` has keyword arguments of
+    :func:`lakestream.sources.read_csv`. ``tables`` may list more than the two
+    that gold is made of.
+    """
+    landing_to_bronze(spark, landing_dir, root, tables, schemas, csv)
+    bronze_to_silver(spark, root, tables, exclude, null_text)
     return silver_to_gold(spark, root, bio_table, results_table, run_ts=run_ts, digits=digits,
-                          broadcast=broadcast, skew=skew)
+                          broadcast=broadcast, skew=skew, pre_aggregate=pre_aggregate)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (BinaryType, DoubleType, IntegerType, LongType,
-                               StringType, StructField, StructType, TimestampType)
+                               StringType, StructField, StructType, TimestampNTZType)
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the original jobs for identical results):
@@ -42,7 +42,7 @@ GOLD_SCHEMA = StructType([
     StructField("country_noc", StringType(), True),
     StructField("avg_height", DoubleType(), True),
     StructField("avg_weight", DoubleType(), True),
-    StructField("timestamp", TimestampType(), True),
+    StructField("timestamp", TimestampNTZType(), True),
 ])
 
 # Envelope of a topic message (Kafka's key/value columns).

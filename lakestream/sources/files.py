@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -14,16 +14,45 @@ def layer_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
 
+# What makes a written table read back value for value: quotes doubled inside
+# quotes, blanks kept, NULL apart from empty text (a text that is just \N reads
+# as NULL), all six fractional digits of timestamps.
+EXACT_CSV = {
+    "escape": '"',
+    "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             header: bool = True, infer: bool = True) -> DataFrame:
+             header: bool = True, infer: bool = True, exact: bool = False, multi_line: bool = False,
+             bad_rows: str = "PERMISSIVE", bad_row_column: str | None = None,
+             options: Mapping[str, str] | None = None) -> DataFrame:
     """Read delimited text with a header row.
 
+    ``exact`` reads what :func:`write_csv` writes with ``exact``, and ``multi_line`` text
+    with line breaks inside quotes; a file is then one task, so land many
+    files. ``bad_rows`` is Spark's parse mode: keep rows that don't fit the
+    schema (``PERMISSIVE``, their text in ``bad_row_column`` if the schema has
+    it), drop them (``DROPMALFORMED``) or stop (``FAILFAST``). ``options`` are
+    added last.
+
     With no ``schema``, types are inferred (an extra pass over the files);
     at scale pass an explicit schema to read the data once. Plain text files
     are split over many tasks; a gzip file is read by one task, so land large
     tables as many files or uncompressed.
     """
-    reader = spark.read.option("header", header)
+    reader = spark.read.option("header", header).option("mode", bad_rows)
+    if exact:
+        reader = reader.options(**EXACT_CSV)
+    if multi_line:
+        reader = reader.option("multiLine", True)
+    if bad_row_column:
+        reader = reader.option("columnNameOfCorruptRecord", bad_row_column)
+    reader = reader.options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -31,8 +60,13 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return reader.csv(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", exact: bool = False,
+              options: Mapping[str, str] | None = None) -> None:
+    """Write with a header row; ``exact``: so that ``read_csv(..., exact=True, multi_line=True)`` gives the same values."""
+    writer = df.write.mode(mode).option("header", True)
+    if exact:
+        writer = writer.options(**EXACT_CSV)
+    writer.options(**(options or {})).csv(path)
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:

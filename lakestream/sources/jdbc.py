@@ -56,11 +56,10 @@ def write_jdbc(df: DataFrame, options: dict[str, str], mode: str = "append",
                max_connections: int | None = 64) -> None:
     """Append (by default) rows to a table; each task writes its own partition.
 
-    ``max_connections`` caps the concurrent connections (Spark narrows the
-    partitions without a shuffle before writing), so a wide job does not open
-    thousands of connections against one database.
+    ``max_connections`` caps the concurrent connections, so a wide job does not
+    open thousands against one database. The rows are dealt anew to so many
+    tasks, so what computes them isn't narrowed to that number.
     """
-    writer = df.write.format("jdbc").options(**options).mode(mode)
     if max_connections and "numPartitions" not in options:
-        writer = writer.option("numPartitions", str(max_connections))
-    writer.save()
+        df = df.repartition(max_connections)
+    df.write.format("jdbc").options(**options).mode(mode).save()

@@ -24,20 +24,26 @@ def kafka_options(bootstrap_servers: str | Sequence[str], security_protocol: str
     if sasl_mechanism:
         opts["kafka.sasl.mechanism"] = sasl_mechanism
     if username is not None:
+        # Fixed format: the login line of Kafka's client, text in quotes.
         opts["kafka.sasl.jaas.config"] = (
-            f'{PLAIN_LOGIN} required username="{username}" password="{password or ""}";')
+            f'{PLAIN_LOGIN} required username="{_quoted(username)}" password="{_quoted(password or "")}";')
     opts.update({k: str(v) for k, v in extra.items()})
     return opts
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace('"', '\\"')
+
+
 def read_topic_stream(spark: SparkSession, options: dict[str, str], topic: str,
                       starting_offsets: str = "earliest",
-                      max_offsets_per_trigger: int | None = 1000,
+                      max_offsets_per_trigger: int | None = None,
                       min_partitions: int | None = None) -> DataFrame:
     """A topic as a stream of ``key``/``value`` bytes (plus offsets metadata).
 
     ``startingOffsets`` applies only on the first start; afterwards the
-    checkpoint decides. ``maxOffsetsPerTrigger`` caps each micro-batch.
+    checkpoint decides. ``max_offsets_per_trigger`` caps each micro-batch for
+    the caller who wants that; by default a batch takes what there is.
     ``min_partitions`` splits the offsets of large topic partitions over more
     tasks, so a topic partition holding a large share of the messages is not
     read by one task.

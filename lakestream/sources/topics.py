@@ -43,14 +43,22 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_messages_stream(spark: SparkSession, path: str,
-                         max_files_per_trigger: int | None = 1000) -> DataFrame:
+                         max_files_per_trigger: int | None = None,
+                         max_bytes_per_trigger: str | int | None = None) -> DataFrame:
     """The topic folder as a stream; new files are picked up as they land.
 
-    ``max_files_per_trigger`` is the rate cap (the file counterpart of
-    ``maxOffsetsPerTrigger``): a first start over a large backlog runs as many
-    bounded micro-batches instead of one batch of everything. ``None`` lifts it.
+    By default a micro-batch takes all there is. For a first start over a large
+    backlog, ``max_bytes_per_trigger`` (such as ``"100g"``) or
+    ``max_files_per_trigger`` (see :func:`files_per_batch`) cuts it into several.
     """
     reader = spark.readStream.schema(MESSAGE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return reader.parquet(path)
+
+
+def files_per_batch(spark: SparkSession, path: str, batches: int) -> int:
+    """Files a micro-batch takes if the topic's present files are to make about ``batches`` of them."""
+    return max(1, -(-len(read_messages(spark, path).inputFiles()) // batches))

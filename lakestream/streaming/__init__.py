@@ -4,7 +4,7 @@ from lakestream.streaming.enrichment import (DimensionTooLarge, await_done, batc
                                              broadcast_guard, combine_batch_means,
                                              joined_batch_means, parse_results,
                                              read_history, run_enrichment, run_microbatch_stats,
-                                             start, start_console)
+                                             run_rejected, start, start_console)
 from lakestream.streaming.fanout import (fan_out, jdbc_sink, kafka_sink, message_files_sink,
                                          parquet_history_sink, per_batch)
 
@@ -12,5 +12,5 @@ __all__ = [
     "DimensionTooLarge", "await_done", "batch_means", "broadcast_guard", "combine_batch_means",
     "fan_out", "jdbc_sink", "joined_batch_means", "kafka_sink", "message_files_sink",
     "parquet_history_sink", "parse_results", "per_batch", "read_history", "run_enrichment",
-    "run_microbatch_stats", "start", "start_console",
+    "run_microbatch_stats", "run_rejected", "start", "start_console",
 ]

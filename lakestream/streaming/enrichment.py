@@ -17,17 +17,18 @@ later batches.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakestream.functions import as_double, run_timestamp
+from lakestream.functions import as_double, is_utf8, parse_json_column, run_timestamp, utf8_text
 from lakestream.operators import (drop_shared_columns, enrich, estimate_size, fits_broadcast,
                                   parse_json)
 from lakestream.operators.enrich import DEFAULT_MAX_BROADCAST_BYTES
 from lakestream.plans.medallion import enriched_stats, used_dimension_columns
-from lakestream.schemas import ATHLETE_KEY, MEASURES, RESULT_EVENT_SCHEMA, STAT_KEYS
+from lakestream.schemas import ATHLETE_KEY, BATCH_COL, MEASURES, RESULT_EVENT_SCHEMA, STAT_KEYS
 from lakestream.streaming.fanout import BatchFunction, Sink, fan_out, per_batch
 
 
@@ -86,18 +87,22 @@ def run_enrichment(messages: DataFrame, bio: DataFrame, sinks: Sequence[Sink], c
                    broadcast: bool | str = "checked", trigger: str | None = "available_now",
                    finite_only: bool = False, refresh_dimension: bool = True,
                    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-                   recheck_every: int | None = None) -> StreamingQuery:
+                   recheck_every: int | None = 10,
+                   rejected: Sequence[Sink] | None = None) -> StreamingQuery:
     """The whole streaming job; returns the running query (callers may await it).
 
     ``refresh_dimension=False`` persists the dimension once instead of
     re-reading it every micro-batch (no freshness, less load on its source).
     ``broadcast="checked"`` measures the dimension when the query starts;
-    with ``recheck_every=N`` a re-read dimension that was broadcast is
-    measured again every N micro-batches (see :func:`broadcast_guard`).
-    Adaptive execution does not run inside streams, so without a broadcast a
-    hot key's events of one micro-batch meet in one task; the rate cap bounds
-    that load.
+    a re-read dimension that was broadcast is measured again every
+    ``recheck_every`` micro-batches (see :func:`broadcast_guard`; None: never).
+    For a dimension that may outgrow the bound pass ``broadcast=False`` from the
+    start: the join is then salted, so a hot key's events meet in several tasks.
+    ``rejected`` are sinks for messages that aren't JSON of the expected shape,
+    written by a query of their own (see :func:`run_rejected`).
     """
+    if rejected:
+        run_rejected(messages, rejected, f"{checkpoint}-rejected", trigger)
     if not refresh_dimension:
         bio = bio.persist()
     used = used_dimension_columns(bio, key)
@@ -111,6 +116,21 @@ def run_enrichment(messages: DataFrame, bio: DataFrame, sinks: Sequence[Sink], c
     return start(stats, batch_fn, checkpoint, "update", trigger)
 
 
+def run_rejected(messages: DataFrame, sinks: Sequence[Sink], checkpoint: str,
+                 trigger: str | None = "available_now", schema=RESULT_EVENT_SCHEMA) -> StreamingQuery:
+    """Deliver the messages that the schema makes nothing of, as text with a flag for broken UTF-8.
+
+    Columns ``key``, ``value`` (broken bytes as U+FFFD) and ``is_utf8``. A message
+    is rejected if every field of the parsed value is NULL, or its bytes are
+    broken.
+    """
+    text = messages.select(utf8_text("key").alias("key"), utf8_text("value").alias("value"),
+                           F.coalesce(is_utf8("value"), F.lit(True)).alias("is_utf8"),
+                           parse_json_column("value", schema).alias("data"))
+    empty = reduce(lambda a, b: a & b, [F.col(f"data.`{f}`").isNull() for f in schema.fieldNames()])
+    return start(text.where(empty | ~F.col("is_utf8")).drop("data"), fan_out(*sinks), checkpoint, "append", trigger)
+
+
 def batch_means(keys: Sequence[str], measures: Sequence[str] = MEASURES,
                 run_ts=None, weight: str | None = None) -> Callable[[DataFrame], DataFrame]:
     """Per-batch averages with the non-NULL count behind each one.
@@ -172,7 +192,13 @@ def run_microbatch_stats(events: DataFrame, transform: Callable[[DataFrame], Dat
 
 def combine_batch_means(history: DataFrame, keys: Sequence[str],
                         measures: Sequence[str] = MEASURES, digits: int | None = None) -> DataFrame:
-    """Merge per-batch averages into overall averages, weighting by counts."""
+    """Merge per-batch averages into overall averages, weighting by counts.
+
+    A batch that an append-only history holds twice (a replay) counts once: one
+    row is taken per keys and batch, where the history tells batches apart.
+    """
+    if BATCH_COL in history.columns:
+        history = history.dropDuplicates([*keys, BATCH_COL])
     aggs = []
     for m in measures:
         a = F.sum(F.col(f"avg_{m}") * F.col(f"n_{m}")) / F.sum(F.col(f"n_{m}"))

@@ -8,8 +8,9 @@ batch (re-reading the source and re-running the join and aggregation), and
 Delivery is at-least-once: after a failure Spark replays the last batch with
 the same ``batch_id``. The Parquet history sink overwrites that batch's
 partition, so it stays exact; append-only sinks (Kafka, JDBC, message
-files) may hold the batch twice, and readers keep the newest row per key
-(:func:`lakestream.operators.latest_per_key`), where a replay is harmless.
+files) may hold the batch twice. Readers that keep the newest row per key
+(:func:`lakestream.operators.latest_per_key`) or one row per key and batch
+(:func:`lakestream.streaming.combine_batch_means`) aren't changed by that.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark import InheritableThread, StorageLevel
 from pyspark.sql import DataFrame
 
 from lakestream.functions import batch_tag
-from lakestream.operators import to_envelope
+from lakestream.operators import estimate_size, to_envelope
 from lakestream.schemas import BATCH_COL
 from lakestream.sources.jdbc import write_jdbc
 from lakestream.sources.kafka import write_topic
@@ -31,11 +32,10 @@ BatchFunction = Callable[[DataFrame, int], None]
 
 
 def parquet_history_sink(path: str) -> Sink:
-    """Each batch into its own ``batch_id=N`` partition, replaced on replay."""
+    """Each batch into its own ``batch_id=N`` partition, replaced on replay, also by an empty batch."""
     def write(df: DataFrame, batch_id: int) -> None:
-        out = df if BATCH_COL in df.columns else df.withColumn(BATCH_COL, batch_tag(batch_id))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COL).parquet(path))
+        df.drop(BATCH_COL).write.mode("overwrite").parquet(f"{path}/{BATCH_COL}={batch_id}")
+    write.replaces = True
     return write
 
 
@@ -89,27 +89,34 @@ def _write_all(sinks: tuple[Sink, ...], df: DataFrame, batch_id: int, parallel:
 
 
 def fan_out(*sinks: Sink, tag: bool = True, skip_empty: bool = True,
-            rows_per_file: int | None = 1_000_000,
+            bytes_per_task: int | None = 16 << 20,
             storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
             parallel: bool = True) -> BatchFunction:
     """A ``foreachBatch`` function writing every micro-batch to all ``sinks``.
 
-    The batch is computed once (persisted), counted once (which also serves
-    the empty-batch check), and narrowed without a shuffle to about one
-    partition per ``rows_per_file`` rows, so a batch of a few changed groups
-    does not become one tiny file per state partition in every sink. The
-    sinks then write concurrently (``parallel``), each reading the cached batch.
+    The batch is computed once (persisted) and measured once (which also serves
+    the empty-batch check). Its partitions are joined without a shuffle until
+    each holds about ``bytes_per_task`` (None: never), so a batch of a few
+    changed groups isn't one tiny file per state partition in every sink, and a
+    large one keeps its writers. The sinks then write concurrently
+    (``parallel``), each reading the cached batch. An empty batch is skipped by
+    all sinks but those that replace what an earlier run of it left.
     """
-    def run(batch_df: DataFrame, batch_id: int) -> None:
+    def run(batch_df: DataFrame, batch_id: int, came_from: DataFrame | None = None) -> None:
         cached = batch_df.withColumn(BATCH_COL, batch_tag(batch_id)) if tag else batch_df
         cached.persist(storage)
         try:
-            rows = cached.count()
-            if skip_empty and rows == 0:
-                return
+            size = estimate_size(cached)
+            to = sinks
+            # one row may be a total over nothing: then the batch itself is looked at
+            empty = size.rows == 0 or size.rows == 1 and came_from is not None and came_from.isEmpty()
+            if skip_empty and empty:
+                to = tuple(s for s in sinks if getattr(s, "replaces", False))
             # coalesce never raises the partition count, so small batches shrink only
-            out = cached.coalesce(max(1, -(-rows // rows_per_file))) if rows_per_file else cached
-            _write_all(sinks, out, batch_id, parallel)
+            out = cached.coalesce(max(1, -(-size.bytes // bytes_per_task))) if bytes_per_task else cached
+            if skip_empty and empty:
+                out = out.limit(0)
+            _write_all(to, out, batch_id, parallel)
         finally:
             cached.unpersist()
     return run
@@ -119,12 +126,11 @@ def per_batch(transform: Callable[[DataFrame], DataFrame], *sinks: Sink,
               skip_empty: bool = True, tag: bool = True) -> BatchFunction:
     """Run a batch computation on each micro-batch alone, then fan out its result.
 
-    No state is carried between batches: each result describes one batch.
+    No state is carried between batches: each result describes one batch. The
+    batch is read once, and looked at again only if its result has one row or none.
     """
-    writer = fan_out(*sinks, tag=tag, skip_empty=False)
+    writer = fan_out(*sinks, tag=tag, skip_empty=skip_empty)
 
     def run(batch_df: DataFrame, batch_id: int) -> None:
-        if skip_empty and batch_df.isEmpty():
-            return
-        writer(transform(batch_df), batch_id)
+        writer(transform(batch_df), batch_id, batch_df)
     return run

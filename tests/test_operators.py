@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakestream.operators import (clean_string_columns, coerce_numeric, dedup_rows, distinct_values,
                                   drop_shared_columns, enrich, estimate_size, group_means,
-                                  indicator_columns, indicator_map, indicator_vocabulary,
+                                  indicator_columns, indicator_map,
                                   latest_per_key, numeric_rows, profile, quarantine_unparsed,
                                   require_not_null, split_hot_join)
 
@@ -69,7 +69,7 @@ def test_estimate_size_counts_rows_and_text(spark):
     df = spark.createDataFrame([(1, "abcd"), (2, None)], "a int, s string")
     est = estimate_size(df)
     assert est.rows == 2
-    assert est.bytes == 2 * (8 + 16) + 4
+    assert est.bytes == 2 * 2 * 16 + 4
 
 
 def test_enrich_checked_broadcast_and_fallback(spark):
@@ -128,14 +128,19 @@ def test_distinct_values_one_pass(spark):
 
 def test_indicator_columns_and_map(spark):
     df = spark.createDataFrame([(1, "Gold", "Men s"), (2, None, "Women")], "id int, medal string, sex string")
-    wide = indicator_columns(df, ["medal", "sex"], keep=["id"])
-    assert wide.columns == ["id", "medal_Gold", "medal_None", "sex_Men_s", "sex_Women"]
-    assert [tuple(r) for r in wide.orderBy("id").collect()] == [(1, 1, 0, 1, 0), (2, 0, 1, 0, 1)]
-    m = indicator_map(df, ["medal", "sex"], keep=["id"]).orderBy("id").collect()
-    assert m[0].indicators == {"medal_Gold": 1, "sex_Men_s": 1}
-    assert m[1].indicators == {"medal_None": 1, "sex_Women": 1}
+    df = df.union(spark.createDataFrame([(3, "None", "Men_s")], df.schema))
+    pairs = [tuple(r) for r in distinct_values(df, ["medal", "sex"]).collect()]
+    wide = indicator_columns(df, ["medal", "sex"], pairs, keep=["id"])
+    assert wide.columns == ["id", "medal__Gold", "medal__None", "medal___null_", "sex__Men_20_s", "sex__Men_5f_s", "sex__Women"]
+    assert [tuple(r) for r in wide.orderBy("id").collect()] == [
+        (1, 1, 0, 0, 1, 0, 0), (2, 0, 0, 1, 0, 0, 1), (3, 0, 1, 0, 0, 1, 0)]
+    m = [{tuple(k): v for k, v in r.indicators.items()}
+         for r in indicator_map(df, ["medal", "sex", "sex"], keep=["id"]).orderBy("id").collect()]
+    assert m[0] == {("medal", "Gold"): 1, ("sex", "Men s"): 1}
+    assert m[1] == {("medal", None): 1, ("sex", "Women"): 1}
+    assert m[2] == {("medal", "None"): 1, ("sex", "Men_s"): 1}
     with pytest.raises(ValueError):
-        indicator_vocabulary(spark.range(50).select(F.col("id").alias("x")), ["x"], max_values=10)
+        indicator_columns(df.withColumn("medal__Gold", F.lit(1)), ["medal"], pairs)
 
 
 def test_profile_single_pass(spark):

@@ -27,8 +27,9 @@ def test_flagship_prunes_pushes_broadcasts_and_shuffles_once(spark):
 def test_skewed_split_never_broadcasts_facts(spark):
     text = plan(entry.q_gold_stats_skewed(spark, SF_SMALL), "formatted")
     tree = text.split("\n\n")[0]
-    assert "Union" in tree and "SortMergeJoin" in tree
-    # the only broadcasts are the hot keys, their dimension rows and the 25 nations
+    assert "SortMergeJoin" in tree and "Union" not in tree and "_salt" in text
+    assert len(re.findall(r"\) Scan parquet[^\n]*\nOutput[^\n]*o_orderkey", text)) == 1  # one scan of the facts
+    # the only broadcasts are the hot keys (for each side) and the 25 nations
     found = re.findall(r"\(\d+\) BroadcastExchange\nInput \[\d+\]: \[([^\]]*)\]", text)
     assert len(found) >= 3, found
     for cols in found:
