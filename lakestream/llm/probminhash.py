@@ -46,7 +46,7 @@ REGISTERS, BAND = 120, 5
 FINE = 640
 #: Members of a bucket that are compared with as many others at a time.
 BLOCK = 512
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Pairs (two ids each) up to this number are broadcast to the texts; more are joined by a shuffle.
 BROADCAST_PAIRS = 500_000
 
