@@ -20,7 +20,7 @@ from lakestream.llm.quality_crf import fit_crf, quality_rules
 from lakestream.llm.suffix_dedup import remove_repeats
 from lakestream.llm.token_counts import apply_edits, token_trees
 from lakestream.llm.toxicity import fit_ordinal, toxicity
-from lakestream.llm.url_rules import filter_urls
+from lakestream.llm.url_rules import ALLOW, CONFIDENCE, RULES, SUPPORT, filter_urls
 
 #: The tokenizer file of op3, a parameter of the operator.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -43,7 +43,8 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_urls(table(spark, sf_dir, "pages"))
+    found = filter_urls(table(spark, sf_dir, "pages"))
+    return found.withColumn("mined", F.array_join("mined", " "))
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,5 +106,78 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: _shipped(q) for q in found} | {"pipeline": _shipped(corpus_pipeline.run)}
 
 
+#: All windows where a document has a shingle of an item, by the counts of their shingles.
+_OP2_SQL = r"""
+with d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from documents where text is not null),
+b as (select item_id, w, len(w) as n, least(5, len(w)) as k
+      from (select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from benchmark where text is not null)
+      where len(w) > 0),
+bs as (select item_id, n, k, i, array_to_string(w[i:i + k - 1], ' ') as s
+       from (select *, unnest(range(1, n - k + 2)) as i from b)),
+ds as (select doc_id, len(w) as m, k, i, array_to_string(w[i:i + k - 1], ' ') as s
+       from (select d.*, k, unnest(range(1, len(w) - k + 2)) as i from d, (select distinct k from b))),
+cand as (select distinct doc_id, item_id, n, bs.k, greatest(0, least(greatest(0, ds.i - bs.i), m - n)) as start
+       from ds join bs on ds.s = bs.s and ds.k = bs.k),
+win as (select doc_id, item_id, n, start, array_to_string(w[i:i + k - 1], ' ') as s, count(*) as c
+        from (select cand.*, d.w[start + 1:start + n] as w,
+                unnest(range(1, len(d.w[start + 1:start + n]) - k + 2)) as i from cand join d using (doc_id))
+        group by all),
+item as (select item_id, s, count(*) as c from bs group by all),
+met as (select doc_id, item_id, n, start, sum(win.c) as cw, sum(coalesce(least(win.c, item.c), 0)) as shared
+         from win left join item using (item_id, s) group by all),
+sim as (select doc_id, item_id, start, n, shared / (cw + total - shared) as similarity
+        from met join (select item_id, sum(c) as total from item group by all) using (item_id))
+select doc_id, item_id, cast(start as integer) as start_word, cast(n as integer) as n_words,
+  cast(similarity as double) as similarity
+from sim where similarity >= 0.8
+qualify row_number() over (partition by doc_id, item_id order by similarity desc, start) = 1"""
+
+#: All combinations of the tokens of the URLs that a listed rule fits, counted.
+_OP4_SQL = rf"""
+with p as (select page_id, coalesce(substr(url, nullif(position('://' in url), 0) + 3), '') as rest from pages),
+h as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path, regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) as query from p),
+r as (select rule, verdict, split_part(rule, '/', 1) as own, substr(rule, position('/' in rule)) as start
+      from (values {", ".join(map(str, RULES))}) as v(rule, verdict)),
+l as (select page_id, arg_max(rule, length(rule)) as rule, arg_max(verdict, length(rule)) as verdict
+      from h join r on (host = own or suffix(host, '.' || own)) and starts_with(path, start) group by page_id),
+s as (select page_id, list_filter(string_split(host, '.'), lambda x: x <> '') as labels, path, query from h),
+t as (select page_id, list_sort(list_distinct(list_concat(
+          list_transform(range(1, len(labels) + 1), lambda i: 'host:' || array_to_string(labels[i:], '.')),
+          list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: 'path:' || regexp_replace(x, '[0-9]+', '0', 'g')),
+          list_transform(list_filter(string_split(query, '&'), lambda x: x <> ''), lambda x: 'query:' || split_part(x, '=', 1))))) as tokens
+      from s),
+part as (select verdict, list_filter(tokens, lambda x, i: (m >> (i - 1)) & 1 = 1) as part
+         from (select tokens, verdict, unnest(range(1, 1 << len(tokens))) as m from t join l using (page_id))),
+n as (select count(*) as n from l),
+c as (select part, verdict, c / sum(c) over (partition by part) as confidence, c / n as support, c, n
+      from (select part, verdict, count(*) as c from part group by all), n),
+found as (select * from c where c >= ceil({SUPPORT} * n) and confidence >= {CONFIDENCE}),
+kept as (select * from found a where not exists (select 1 from found b where b.verdict = a.verdict
+           and b.confidence >= a.confidence and len(b.part) < len(a.part) and list_has_all(a.part, b.part))),
+best as (select page_id, k.verdict, array_to_string(part, ' ') as mined
+         from (select * from t where page_id not in (select page_id from l)) t join kept k on list_has_all(t.tokens, k.part)
+         qualify row_number() over (partition by page_id
+           order by confidence desc, support desc, len(part) desc, k.verdict desc, part desc) = 1)
+select page_id, host, path, rule, coalesce(l.verdict, best.verdict, '{ALLOW}') as verdict, mined
+from h left join l using (page_id) left join best using (page_id)"""
+
+#: Every 400-byte string, counted; bytes as pairs of hexadecimal digits.
+_OP7_SQL = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n from documents),
+w as (select doc_id, i, md5(substr(h, 2 * i + 1, 800)) as m from (select *, unnest(range(0, n - 399)) as i from d)),
+dup as (select doc_id, i from w where m in (select m from w group by m having count(*) > 1)),
+run as (select *, sum(fresh) over (partition by doc_id order by i) as g
+        from (select *, case when i <= lag(i) over (partition by doc_id order by i) + 400 then 0 else 1 end as fresh from dup)),
+span as (select doc_id, g, min(i) as a, max(i) + 400 as z from run group by all),
+cut as (select *, coalesce(lag(z) over (partition by doc_id order by a), 0) as before from span),
+part as (select doc_id, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) as head,
+           max(z) as z, sum(z - a) as removed, count(*) as spans from cut join d using (doc_id) group by all)
+select doc_id, n as n_bytes, cast(coalesce(removed, 0) as bigint) as n_removed, coalesce(spans, 0) as n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(z, 0) + 1))) as kept_sha256
+from d left join part using (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {"op2_decontamination": _OP2_SQL, "op4_url_filter": _OP4_SQL, "op7_suffix_dedup": _OP7_SQL} | own
