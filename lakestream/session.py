@@ -6,7 +6,9 @@ helpers here exist for tests, the benchmark and the entry module.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -96,13 +98,16 @@ def shared_dir(spark: SparkSession) -> str:
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
         current = sc.getCheckpointDir()
-        if current:
+        local = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
+        # a folder that the caller set must be one that every machine of a cluster sees
+        if current and (local or "://" in current and not current.startswith("file:")):
             return current
-        if not sc.master.startswith("local"):
+        if not local:
             # a machine-local folder would vanish with its executor; never guess one
             raise RuntimeError("set spark.checkpoint.dir to shared storage (e.g. an HDFS or "
                                "object-store folder) for streaming checkpoints and scratch tables")
         base = tempfile.mkdtemp(prefix="lakestream-ckpt-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         sc.setCheckpointDir(base)
         return sc.getCheckpointDir() or base
     return base.rstrip("/")
