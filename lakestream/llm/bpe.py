@@ -6,7 +6,7 @@ is checked for all neighbours of a batch at once, by undoing the merges on both
 sides of each border in the reverse of their order. Only words with a failing
 border are merged step by step.
 
-Words never cross white space, so each task keeps the tokens of the chunks
+Words never cross white space, so each task keeps, until it ends, the tokens of the chunks
 between white space that it has met (two bounded generations of them), and a
 text costs one look-up a chunk.
 
@@ -92,10 +92,11 @@ class WordBpe:
         self.joined = {r: z for r, z in self.merge.values()}
         self.rank = {p: r for p, (r, _) in self.merge.items()}
         self.proposed = self._proposed()
-        #: how far the tokens go that begin with the same two letters
+        #: how far the tokens go that begin with the same four letters; others end before the fourth
         self.reach: dict[str, int] = {}
         for t in self.proposed:
-            self.reach[t[:2]] = max(len(t), self.reach.get(t[:2], 0))
+            if len(t) > 3:
+                self.reach[t[:4]] = max(len(t), self.reach.get(t[:4], 0))
 
     def _proposed(self) -> dict[str, int]:
         """The tokens that merging their own letters gives; no other token can be in a result."""
@@ -143,7 +144,7 @@ class WordBpe:
         out, at, n, known, reach = [], 0, len(letters), self.proposed.get, self.reach.get
         whole = letters + _STOP
         while at < n:
-            to = min(n + 1, at + reach(whole[at:at + 2], 1))
+            to = min(n + 1, at + reach(whole[at:at + 4], 3))
             while (token := known(whole[at:to])) is None or to == n:
                 to -= 1
             out.append(token)
@@ -188,7 +189,8 @@ class WordBpe:
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Token ids of each word (a match of the word pattern)."""
-        letters = [w.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters) for w in words]
+        letters = [w if w.isascii() and w.isprintable() else
+                   w.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters) for w in words]
         out = [self._propose(x) for x in letters]
         flat = np.array([t for ids in out for t in ids], np.int64)
         word = np.repeat(np.arange(len(out)), [len(x) for x in out])
@@ -233,6 +235,9 @@ class Encoder:
         self.new: dict[str, tuple[bytes, str]] = {}
         self.old: dict[str, tuple[bytes, str]] = {}
 
+    def forget(self) -> None:
+        self.new, self.old = {}, {}
+
     def learn(self, chunks: set[str]) -> None:
         if len(self.new) + len(chunks) > CACHE_CHUNKS:
             self.old, self.new = self.new, {}
@@ -293,13 +298,16 @@ def bpe_encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_co
 
     def run(batches):
         own = encoder(vocab_path)
-        for part in B.slices(batches, "text"):
-            pairs = list(own.encode(B.column(part, "text").to_pylist()))
-            ids = [x[0] for x in pairs]
-            yield pa.RecordBatch.from_arrays(
-                [B.column(part, "id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                 pa.array(ids, pa.binary()), pa.array([x[1] for x in pairs], pa.string())],
-                names=[id_col, "n_tokens", "ids", "decoded"])
+        try:
+            for part in B.slices(batches, "text"):
+                pairs = list(own.encode(B.column(part, "text").to_pylist()))
+                ids = [x[0] for x in pairs]
+                yield pa.RecordBatch.from_arrays(
+                    [B.column(part, "id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                     pa.array(ids, pa.binary()), pa.array([x[1] for x in pairs], pa.string())],
+                    names=[id_col, "n_tokens", "ids", "decoded"])
+        finally:
+            own.forget()  # the worker lives on, and other stages need its memory
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(

@@ -169,7 +169,7 @@ class Crf:
 ALL_CONTENT = Crf(np.eye(len(FEATURES))[0], np.zeros((2, 2)))
 
 
-def fit(features: list[np.ndarray], labels: list[int], rounds: int = 200, rate: float = 0.1, l2: float = 1e-3) -> Crf:
+def fit(features: list[np.ndarray], labels: list[int], rounds: int = 600, rate: float = 0.2, l2: float = 1e-6) -> Crf:
     """Maximum likelihood by gradient ascent (Adam); a sequence's label holds for all its lines."""
     pieces = [(x[i:i + SEQUENCE], y) for x, y in zip(features, labels) for i in range(0, len(x), SEQUENCE)]
     if len({y for _, y in pieces}) < 2:
