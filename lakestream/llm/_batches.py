@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from lakestream.llm import _hashing
+
 #: Text bytes that an operator looks at together; a longer document comes alone.
 SLICE_BYTES = 1 << 20
 
@@ -41,6 +44,26 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, budget: int = SLICE_BYT
             at = to
 
 
+def task(run: Callable) -> Callable:
+    """A function for mapInArrow that gives the worker's unused memory back when a task ends.
+
+    Workers outlive tasks and stages; what their allocators keep would be
+    missing to the next stage's.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _hashing.forget()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return whole
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

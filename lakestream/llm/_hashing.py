@@ -24,6 +24,11 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return out[:n]
 
 
+def forget() -> None:
+    """Drops the kept tables."""
+    _tables.clear()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit values (a bijection)."""
     x = x ^ (x >> np.uint64(30))

@@ -311,7 +311,7 @@ def bpe_encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_co
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"`{id_col}` {kind}, n_tokens long, ids binary, decoded string")
+        B.task(run), f"`{id_col}` {kind}, n_tokens long, ids binary, decoded string")
 
 
 def bpe_decode(tokens: DataFrame, vocab_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -326,4 +326,4 @@ def bpe_decode(tokens: DataFrame, vocab_path: str, id_col: str = "doc_id", ids_c
 
     kind = tokens.schema[id_col].dataType.simpleString()
     return tokens.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(
-        run, f"`{id_col}` {kind}, decoded string")
+        B.task(run), f"`{id_col}` {kind}, decoded string")

@@ -149,7 +149,7 @@ def fit_profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
                 names=["lang", "at", "value"])
 
     parts = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna().mapInArrow(
-        run, "lang string, at int, value long")
+        B.task(run), "lang string, at int, value long")
     got = parts.groupBy("lang", "at").agg(F.sum("value").alias("value")).toArrow()
     rows: dict[str, np.ndarray] = {}
     for name, at, value in zip(*(got.column(c).to_pylist() for c in ("lang", "at", "value"))):
@@ -197,4 +197,4 @@ def predict_language(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id"
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"`{id_col}` {kind}, lang_pred string, score double")
+        B.task(run), f"`{id_col}` {kind}, lang_pred string, score double")

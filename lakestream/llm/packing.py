@@ -140,7 +140,7 @@ def pack_tokens(docs: DataFrame, ranks_path: str, pattern: str, separator: int,
             yield from packed()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "group long, row long, ids binary, cu_seqlens array<int>, positions binary, n_tokens int, "
+        B.task(run), "group long, row long, ids binary, cu_seqlens array<int>, positions binary, n_tokens int, "
              f"segment_ids array<{kind.simpleString()}>, segment_starts array<long>")
     # groups are numbered in each partition; the partition makes them unique
     return rows.withColumn("group", F.col("group") + F.spark_partition_id().cast("long") * F.lit(1 << 32))

@@ -46,7 +46,7 @@ REGISTERS, BAND = 120, 5
 FINE = 640
 #: Members of a bucket that are compared with as many others at a time.
 BLOCK = 512
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: Pairs (two ids each) up to this number are broadcast to the texts; more are joined by a shuffle.
 BROADCAST_PAIRS = 500_000
 
@@ -120,7 +120,7 @@ def _signatures(docs: DataFrame, size: int, m: int, band: int) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(keys[full].reshape(-1).view(np.int64)))],
                 names=["id", "h1", "h2", "bands"])
 
-    return docs.mapInArrow(run, f"id {_kind(docs)}, h1 long, h2 long, bands array<long>")
+    return docs.mapInArrow(B.task(run), f"id {_kind(docs)}, h1 long, h2 long, bands array<long>")
 
 
 def _fine(docs: DataFrame, size: int, m: int = FINE) -> DataFrame:
@@ -131,7 +131,7 @@ def _fine(docs: DataFrame, size: int, m: int = FINE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([B.column(part, "id"), pa.array([x.tobytes() for x in sketch], pa.binary())],
                                              names=["id", "sketch"])
 
-    return docs.select("id", "text").mapInArrow(run, f"id {_kind(docs)}, sketch binary")
+    return docs.select("id", "text").mapInArrow(B.task(run), f"id {_kind(docs)}, sketch binary")
 
 
 def _close(members: DataFrame, floor: float) -> DataFrame:
@@ -184,7 +184,7 @@ def _close(members: DataFrame, floor: float) -> DataFrame:
     kind = members.schema["id"].dataType
     name = kind.simpleString()
     return dealt.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y").mapInArrow(
-        run, f"a {name}, b {name}")
+        B.task(run), f"a {name}, b {name}")
 
 
 def _pairs(found: list, kind) -> pa.RecordBatch:
@@ -218,7 +218,7 @@ def _compared(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
 
     kind = _kind(docs)
     return left.join(right, left["b"] == right["end"]).select("a", "b", "text_a", "text_b").mapInArrow(
-        run, f"a {kind}, b {kind}, far double")
+        B.task(run), f"a {kind}, b {kind}, far double")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY,

@@ -223,7 +223,7 @@ def fit_crf(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_c
                                              names=["label", "lines"])
 
     sample = labelled_sample(docs, labels, label_col, per_class, id_col, text_col)
-    got = sample.select("label", "text").mapInArrow(run, "label int, lines binary").toArrow()
+    got = sample.select("label", "text").mapInArrow(B.task(run), "label int, lines binary").toArrow()
     rows = sorted((y, x) for y, x in zip(*(got.column(c).to_pylist() for c in ("label", "lines"))) if x)
     return fit([np.frombuffer(x, "<f8").reshape(-1, len(FEATURES)) for _, x in rows], [y for y, _ in rows])
 
@@ -246,5 +246,5 @@ def quality_rules(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col:
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"`{id_col}` {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+        B.task(run), f"`{id_col}` {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
              "base_failed boolean, content_share double, kept boolean")

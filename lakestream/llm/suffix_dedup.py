@@ -112,7 +112,7 @@ def _anchors(docs: DataFrame, length: int, window: int) -> DataFrame:
 
         yield from _chunks(parts(), ["core", "around", "key", "at"])
 
-    return docs.mapInArrow(run, "core long, around long, key long, at long")
+    return docs.mapInArrow(B.task(run), "core long, around long, key long, at long")
 
 
 def _same_as_next(batches, ranks: list[str]):
@@ -168,7 +168,7 @@ def _judged_anchors(ranked: DataFrame) -> DataFrame:
                                              names=["key", "at", "whole", "ranked"])
 
     return ranked.repartitionByRange("core", "around", "key", "at").sortWithinPartitions(
-        "core", "around", "key", "at").mapInArrow(run, "key long, at long, whole boolean, ranked boolean")
+        "core", "around", "key", "at").mapInArrow(B.task(run), "key long, at long, whole boolean, ranked boolean")
 
 
 def _strings(docs: DataFrame, length: int, window: int) -> DataFrame:
@@ -192,7 +192,7 @@ def _strings(docs: DataFrame, length: int, window: int) -> DataFrame:
 
         yield from _chunks(parts(), ["rank", "key", "at"])
 
-    return docs.mapInArrow(run, "rank long, key long, at long")
+    return docs.mapInArrow(B.task(run), "rank long, key long, at long")
 
 
 #: Kinds of rows of judged strings: repeated; alone at a partition border; a border's sign of more such rows.
@@ -225,7 +225,7 @@ def _judged_strings(ranked: DataFrame) -> DataFrame:
                  pa.array(kinds)], names=["key", "at", "rank", "kind"])
 
     judged = written(ranked.repartitionByRange("rank", "key", "at").sortWithinPartitions("rank", "key", "at").mapInArrow(
-        run, "key long, at long, rank long, kind int"), "strings")
+        B.task(run), "key long, at long, rank long, kind int"), "strings")
     border = judged.where(F.col("kind") > 0)
     twice = border.groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank")
     return judged.where(F.col("kind") == _REPEATED).select("key", "at").union(
@@ -256,7 +256,7 @@ def _packed(docs: DataFrame) -> DataFrame:
                  pa.array([pack(own[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())],
                 names=["id", "key", "packed"])
 
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, key long, packed binary")
+    return docs.mapInArrow(B.task(run), f"id {docs.schema['id'].dataType.simpleString()}, key long, packed binary")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -303,7 +303,7 @@ def _removed(docs: DataFrame, spans: DataFrame, length: int, window: int, id_col
 
     kind = docs.schema["id"].dataType.simpleString()
     return _packed(docs).join(spans, "key", "left").select("id", "packed", "wholes", "starts").mapInArrow(
-        run, f"`{id_col}` {kind}, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
+        B.task(run), f"`{id_col}` {kind}, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -333,4 +333,4 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep))
 
-    return cut.mapInArrow(run, docs.schema)
+    return cut.mapInArrow(B.task(run), docs.schema)

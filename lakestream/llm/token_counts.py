@@ -156,7 +156,7 @@ def token_trees(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "d
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), edits.alias("edits")).mapInArrow(
-        run, f"`{id_col}` {kind}, text string, n_tokens long, leaf_chars array<int>, leaf_tokens array<int>, edits {EDITS}")
+        B.task(run), f"`{id_col}` {kind}, text string, n_tokens long, leaf_chars array<int>, leaf_tokens array<int>, edits {EDITS}")
 
 
 def apply_edits(trees: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
@@ -184,5 +184,5 @@ def apply_edits(trees: DataFrame, ranks_path: str, pattern: str, id_col: str = "
                 names=[id_col, "text", "n_tokens", "leaf_chars", "leaf_tokens", "edits", "n_tokens_before", "encoded_chars"])
 
     kind = trees.schema[id_col].dataType.simpleString()
-    return trees.withColumnRenamed(id_col, "id").mapInArrow(run, f"`{id_col}` {kind}, text string, n_tokens long, leaf_chars array<int>, "
+    return trees.withColumnRenamed(id_col, "id").mapInArrow(B.task(run), f"`{id_col}` {kind}, text string, n_tokens long, leaf_chars array<int>, "
                                  f"leaf_tokens array<int>, edits {EDITS}, n_tokens_before long, encoded_chars long")

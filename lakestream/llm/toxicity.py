@@ -125,7 +125,7 @@ def fit_ordinal(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id
     expect = (a + b) / (n1 + n0)
     part = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
     g = 2 * (part(a, n1 * expect) + part(b, n0 * expect) + part(n1 - a, n1 * (1 - expect)) + part(n0 - b, n0 * (1 - expect)))
-    top = (sample.select("label", "text").mapInArrow(listed, "label int, feature string")
+    top = (sample.select("label", "text").mapInArrow(B.task(listed), "label int, feature string")
            .groupBy("feature").agg(F.sum(F.expr("label")).cast("double").alias("a"), F.sum(F.expr("1 - label")).cast("double").alias("b"))
            .where(a + b >= MIN_TEXTS).withColumn("g", g).where(F.col("g") >= MIN_G)
            .orderBy(F.desc("g"), "feature").limit(features).collect())
@@ -140,7 +140,7 @@ def fit_ordinal(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id
                 [B.column(part, "label"), pa.array([list(x) for x in own], pa.list_(pa.int32())),
                  pa.array([list(x.values()) for x in own], pa.list_(pa.int64()))], names=["label", "places", "counts"])
 
-    got = sample.select("label", "text").mapInArrow(vectors, "label int, places array<int>, counts array<long>").toArrow()
+    got = sample.select("label", "text").mapInArrow(B.task(vectors), "label int, places array<int>, counts array<long>").toArrow()
     rows = sorted((y, tuple(sorted(zip(p, c)))) for y, p, c in zip(
         *(got.column(k).to_pylist() for k in ("label", "places", "counts"))))
     label = np.array([y for y, _ in rows])
@@ -167,7 +167,7 @@ def toxicity(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col:
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"`{id_col}` {kind}, severity double, grade int, rejected boolean")
+        B.task(run), f"`{id_col}` {kind}, severity double, grade int, rejected boolean")
 
 
 def without_toxic(docs: DataFrame, model: Ordinal, text_col: str = "text") -> DataFrame:
@@ -180,4 +180,4 @@ def without_toxic(docs: DataFrame, model: Ordinal, text_col: str = "text") -> Da
                               for t in B.column(part, text_col).to_pylist()], float)
             yield part.filter(pa.array(model.above(score)[:, 0] < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(B.task(run), docs.schema)
