@@ -45,7 +45,7 @@ _NONE = np.int64(1 << 40)
 _STOP = "\n"
 #: Words up to so many letters are merged by plain list operations, longer ones with a heap.
 _SHORT = 64
-#: Chunks kept by a task in each of its two generations, and the longest one kept.
+#: Chunks kept by a task in each of its two generations (some 300 bytes each), and the longest one kept.
 CACHE_CHUNKS, CACHE_CHARS = 200_000, 100
 
 
@@ -234,12 +234,13 @@ class Encoder:
         self.fixed = {"\n" + t: (pack([i]), t) for t, i in self.bpe.special.items()}
         self.new: dict[str, tuple[bytes, str]] = {}
         self.old: dict[str, tuple[bytes, str]] = {}
+        self.keep = CACHE_CHUNKS
 
     def forget(self) -> None:
         self.new, self.old = {}, {}
 
     def learn(self, chunks: set[str]) -> None:
-        if len(self.new) + len(chunks) > CACHE_CHUNKS:
+        if len(self.new) + len(chunks) > self.keep:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
         todo = []
@@ -290,16 +291,20 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def bpe_encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bpe_encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text",
+               keep_chunks: int = CACHE_CHUNKS, slice_bytes: int = B.SLICE_BYTES) -> DataFrame:
     """Per row: the id, ``n_tokens``, ``ids`` (little-endian 32-bit, end to end) and ``decoded`` (text of the ids).
 
     ``vocab_path`` is the tokenizer file, which every executor must have there.
+    ``keep_chunks`` and ``slice_bytes`` (texts encoded together) trade a task's
+    memory for time; results don't depend on them.
     """
 
     def run(batches):
         own = encoder(vocab_path)
         try:
-            for part in B.slices(batches, "text"):
+            own.keep = keep_chunks
+            for part in B.slices(batches, "text", slice_bytes):
                 pairs = list(own.encode(B.column(part, "text").to_pylist()))
                 ids = [x[0] for x in pairs]
                 yield pa.RecordBatch.from_arrays(

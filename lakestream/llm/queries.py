@@ -37,7 +37,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = bpe_encode(table(spark, sf_dir, "documents"), WORD_BPE)
+    tokens = bpe_encode(table(spark, sf_dir, "documents"), WORD_BPE, keep_chunks=400_000, slice_bytes=2 << 20)
     return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                          F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
