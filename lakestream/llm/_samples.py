@@ -8,15 +8,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _known(labels: DataFrame, label_col: str, id_col: str) -> DataFrame:
+    """``id``, ``label``: rows without an id or label don't count; an id labelled twice has its larger label."""
+    return (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+            .dropna().groupBy("id").agg(F.max("label").alias("label")))
+
+
+def class_shares(labels: DataFrame, label_col: str, per_class: int, id_col: str = "doc_id") -> dict[int, float]:
+    """How many labelled ids one picked id of each class stands for in ``labelled_sample``."""
+    total = _known(labels, label_col, id_col).where("label in (0, 1)").groupBy("label").agg(F.count("*").alias("n"))
+    return {r["label"]: r["n"] / min(r["n"], per_class) for r in total.collect()}
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id``, ``text``, ``label``: at most ``per_class`` labelled ids of each class 0 and 1, by a hash of the id.
 
-    Rows without an id or label don't count; an id labelled twice has its larger
-    label. The picked ids are bounded, so they may be broadcast; documents aren't shuffled.
+    The picked ids are bounded, so they may be broadcast; documents aren't shuffled.
     """
-    known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
-             .dropna().groupBy("id").agg(F.max("label").alias("label")))
+    known = _known(labels, label_col, id_col)
     picked = reduce(DataFrame.unionAll, [
         known.where(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(per_class) for c in (0, 1)])
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")

@@ -10,7 +10,8 @@ many of their words are marked ones (telling features of toxic texts): fewer
 than a third, two thirds or all of the toxic texts of the sample have so many.
 
 Fitted on a bounded sample of labelled documents (``PER_CLASS``) and
-``FEATURES`` features; scoring covers whole texts. Results on odd rows: a null,
+``FEATURES`` features; a sampled document weighs as many as it stands for, so
+the classes have their shares of all labels. Scoring covers whole texts. Results on odd rows: a null,
 empty or wordless text scores as one without any feature; repeated rows each
 get their row; an empty table gives an empty result; without labels of both
 classes nothing is rejected and every severity is 0; other input columns
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestream.llm import _batches as B
-from lakestream.llm._samples import labelled_sample
+from lakestream.llm._samples import class_shares, labelled_sample
 
 #: Bounds of the sample: documents of each class, features kept, fewest texts with a feature.
 PER_CLASS, FEATURES, MIN_TEXTS = 5000, 4096, 4
@@ -79,12 +80,13 @@ class Ordinal:
 
 
 def fit_weights(rows: list[dict[int, float]], grade: np.ndarray, n: int, rounds: int = 600, rate: float = 0.1,
-                l2: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
-    """Maximum likelihood by gradient ascent (Adam); weights, thresholds."""
+                l2: float = 1e-4, stands_for: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Maximum likelihood by gradient ascent (Adam), each row as often as it ``stands_for``; weights, thresholds."""
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.array([i for r in rows for i in r], np.int64)
     val = np.log1p(np.array([v for r in rows for v in r.values()], float))
-    weight = 1 / max(1, len(rows))
+    weight = np.ones(len(rows)) if stands_for is None else np.asarray(stands_for, float)
+    weight = weight / max(weight.sum(), 1e-12)
     # the first threshold, then logarithms of the steps to the next
     params, m, v = np.concatenate([np.zeros(n), [1.0], np.zeros(GRADES - 1)]), 0.0, 0.0
     for step in range(1, rounds + 1):
@@ -144,10 +146,12 @@ def fit_ordinal(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id
     rows = sorted((y, tuple(sorted(zip(p, c)))) for y, p, c in zip(
         *(got.column(k).to_pylist() for k in ("label", "places", "counts"))))
     label = np.array([y for y, _ in rows])
+    share = class_shares(labels, label_col, per_class, id_col)
     evidence = np.array([sum(c for i, c in r if i in marked) for _, r in rows], float)
     cuts = np.quantile(evidence[label == 1], [k / GRADES for k in range(1, GRADES)])
     grade = np.where(label == 1, 1 + (evidence[:, None] > cuts).sum(1), 0)
-    model.weights, model.thresholds = fit_weights([dict(r) for _, r in rows], grade, len(top))
+    model.weights, model.thresholds = fit_weights(
+        [dict(r) for _, r in rows], grade, len(top), stands_for=np.array([share[y] for y in label.tolist()]))
     return model
 
 

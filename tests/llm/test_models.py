@@ -183,6 +183,25 @@ def test_op8_held_out(spark):
     assert {r["grade"] for r in rows} >= {0, 1, 2, 3}
 
 
+def test_op8_rejections_hold_when_classes_are_capped(spark):
+    ship(spark)
+    sf = "/root/testdata/sf0.1"
+    docs, labels = Q.table(spark, sf, "documents"), Q.table(spark, sf, "labels")
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    whole, capped = (
+        {r["doc_id"] for r in toxicity(docs, fit_ordinal(docs, labels, per_class=n)).where("rejected").collect()} for n in (5000, 400))
+    clean = [sum(toxic.get(i) == 0 for i in found) for found in (whole, capped)]
+    assert clean[1] <= 2 * clean[0] + 10
+    assert len(whole ^ capped) < 0.2 * len(whole)
+
+
+def test_a_row_weighs_what_it_stands_for():
+    rows, grade, times = [{}, {0: 1}, {0: 4}, {0: 9}, {0: 2}], np.array([0, 0, 1, 2, 3]), [7, 3, 1, 1, 2]
+    whole = fit_weights([r for r, n in zip(rows, times) for _ in range(n)], np.repeat(grade, times), 1)
+    short = fit_weights(rows, grade, 1, stands_for=np.array(times))
+    assert np.allclose(whole[0], short[0], atol=1e-4) and np.allclose(whole[1], short[1], atol=1e-4)
+
+
 def test_ordinal_weights_order_grades():
     rows = [{}, {0: 1}, {0: 5}, {0: 20}, {1: 9}] * 40
     grade = np.array([0, 1, 2, 3, 0] * 40)
