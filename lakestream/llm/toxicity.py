@@ -3,7 +3,8 @@
 P(grade >= k) = sigmoid(w . x - threshold_k) for every grade k, with one
 weight vector shared by all (ordered) thresholds. Features are words and word
 beginnings of 4 to 6 letters, valued log(1 + count). The expected severity is
-the sum of these probabilities; a text with P(grade >= 1) >= 1/2 is rejected.
+the sum of these probabilities; a text with P(grade >= 1) >= 1/2 and at least
+one marked feature is rejected (the labels' shares alone reject nothing).
 
 Labels say toxic or not. The grades of the sample's toxic texts come from how
 many of their words are marked ones (telling features of toxic texts): fewer
@@ -23,6 +24,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,7 @@ from lakestream.llm._samples import class_shares, labelled_sample
 PER_CLASS, FEATURES, MIN_TEXTS = 5000, 4096, 4
 GRADES = 3
 #: Least log-likelihood ratio (G squared) of a kept feature: by chance, fewer than one of ten million has it.
+#: Where none has so much: what by chance one of the features at hand has (``chance_g``).
 MIN_G = 30.0
 #: Words whose features a task remembers.
 KEEP = 200_000
@@ -48,17 +51,26 @@ def word_features(word: str) -> list[str]:
     return [word, *(word[:k] + "*" for k in (4, 5, 6) if len(word) > k)]
 
 
+def chance_g(n: int) -> float:
+    """The G squared that by chance one of ``n`` features reaches (chi-squared, one degree of freedom)."""
+    return NormalDist().inv_cdf(1 - 1 / (2 * max(2, n))) ** 2
+
+
 def words(text: str | None) -> Counter:
     return Counter(_WORDS.findall((text or "").lower()))
 
 
 @dataclass
 class Ordinal:
-    """index: place of each feature in weights; thresholds: one for each grade from 1 up, ascending."""
+    """index: place of each feature in weights; thresholds: one for each grade from 1 up, ascending.
+
+    marked: places of the telling features of toxic texts (None: all are).
+    """
 
     index: dict[str, int] = field(default_factory=dict)
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     thresholds: np.ndarray = field(default_factory=lambda: np.full(GRADES, np.inf))
+    marked: set[int] | None = None
 
     def counts(self, text: str | None, seen: dict[str, tuple[int, ...]]) -> Counter:
         """How often each feature occurs, by its place; ``seen`` remembers words."""
@@ -79,6 +91,14 @@ class Ordinal:
             return 1 / (1 + np.exp(self.thresholds - score[:, None]))
 
 
+    def judge(self, texts: list[str | None], seen: dict[str, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+        """``above`` of each text, and which ones are rejected."""
+        found = [self.counts(t, seen) for t in texts]
+        above = self.above(np.array([sum(self.weights[i] * np.log1p(n) for i, n in x.items()) for x in found], float))
+        telling = np.array([bool(x) if self.marked is None else not self.marked.isdisjoint(x) for x in found], bool)
+        return above, telling & (above[:, 0] >= 0.5)
+
+
 def fit_weights(rows: list[dict[int, float]], grade: np.ndarray, n: int, rounds: int = 600, rate: float = 0.1,
                 l2: float = 1e-4, stands_for: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Maximum likelihood by gradient ascent (Adam), each row as often as it ``stands_for``; weights, thresholds."""
@@ -127,12 +147,16 @@ def fit_ordinal(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id
     expect = (a + b) / (n1 + n0)
     part = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
     g = 2 * (part(a, n1 * expect) + part(b, n0 * expect) + part(n1 - a, n1 * (1 - expect)) + part(n0 - b, n0 * (1 - expect)))
-    top = (sample.select("label", "text").mapInArrow(B.task(listed), "label int, feature string")
-           .groupBy("feature").agg(F.sum(F.expr("label")).cast("double").alias("a"), F.sum(F.expr("1 - label")).cast("double").alias("b"))
-           .where(a + b >= MIN_TEXTS).withColumn("g", g).where(F.col("g") >= MIN_G)
-           .orderBy(F.desc("g"), "feature").limit(features).collect())
-    model = Ordinal({r["feature"]: i for i, r in enumerate(top)})
+    tested = (sample.select("label", "text").mapInArrow(B.task(listed), "label int, feature string")
+              .groupBy("feature").agg(F.sum(F.expr("label")).cast("double").alias("a"), F.sum(F.expr("1 - label")).cast("double").alias("b"))
+              .where(a + b >= MIN_TEXTS).withColumn("g", g))
+
+    def best(floor: float) -> list:
+        return tested.where(F.col("g") >= floor).orderBy(F.desc("g"), "feature").limit(features).collect()
+
+    top = best(MIN_G) or best(min(MIN_G, chance_g(tested.count())))
     marked = {i for i, r in enumerate(top) if r["a"] / n1 > r["b"] / n0}
+    model = Ordinal({r["feature"]: i for i, r in enumerate(top)}, marked=marked)
 
     def vectors(batches):
         seen: dict[str, tuple[int, ...]] = {}
@@ -161,12 +185,10 @@ def toxicity(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col:
     def run(batches):
         seen: dict[str, tuple[int, ...]] = {}
         for part in B.slices(batches, "text"):
-            score = np.array([sum(model.weights[i] * np.log1p(n) for i, n in model.counts(t, seen).items())
-                              for t in B.column(part, "text").to_pylist()], float)
-            above = model.above(score)
+            above, rejected = model.judge(B.column(part, "text").to_pylist(), seen)
             grade = (above >= 0.5).sum(1)
             yield pa.RecordBatch.from_arrays(
-                [B.column(part, "id"), pa.array(above.sum(1)), pa.array(grade.astype(np.int32)), pa.array(grade >= 1)],
+                [B.column(part, "id"), pa.array(above.sum(1)), pa.array(grade.astype(np.int32)), pa.array(rejected)],
                 names=[id_col, "severity", "grade", "rejected"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -180,8 +202,7 @@ def without_toxic(docs: DataFrame, model: Ordinal, text_col: str = "text") -> Da
     def run(batches):
         seen: dict[str, tuple[int, ...]] = {}
         for part in B.slices(batches, text_col):
-            score = np.array([sum(model.weights[i] * np.log1p(n) for i, n in model.counts(t, seen).items())
-                              for t in B.column(part, text_col).to_pylist()], float)
-            yield part.filter(pa.array(model.above(score)[:, 0] < 0.5))
+            _, rejected = model.judge(B.column(part, text_col).to_pylist(), seen)
+            yield part.filter(pa.array(~rejected))
 
     return docs.mapInArrow(B.task(run), docs.schema)

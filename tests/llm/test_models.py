@@ -195,6 +195,19 @@ def test_op8_rejections_hold_when_classes_are_capped(spark):
     assert len(whole ^ capped) < 0.2 * len(whole)
 
 
+def test_toxicity_of_few_labels(spark):
+    ship(spark)
+    # 24 labels, of which 14 are toxic: no feature can have a G squared of 30, and the labels' shares alone are above 1/2
+    rows = [(i, ("blorf " if i < 14 else "tiptop ") + long_text(20, i)) for i in range(24)] + [(50, "nothing known here"), (51, "a blorf")]
+    docs = documents(spark, rows)
+    model = fit_ordinal(docs, spark.createDataFrame([(i, int(i < 14)) for i in range(24)], "doc_id long, toxic int"))
+    assert {r["doc_id"] for r in toxicity(docs, model).where("rejected").collect()} == {*range(14), 51}
+    assert {r["doc_id"] for r in without_toxic(docs, model).collect()} == {*range(14, 24), 50}
+    plain = fit_ordinal(documents(spark, [(i, long_text(20, i)) for i in range(24)]),
+                        spark.createDataFrame([(i, int(i < 14)) for i in range(24)], "doc_id long, toxic int"))
+    assert not toxicity(docs, plain).where("rejected").count()
+
+
 def test_a_row_weighs_what_it_stands_for():
     rows, grade, times = [{}, {0: 1}, {0: 4}, {0: 9}, {0: 2}], np.array([0, 0, 1, 2, 3]), [7, 3, 1, 1, 2]
     whole = fit_weights([r for r, n in zip(rows, times) for _ in range(n)], np.repeat(grade, times), 1)
