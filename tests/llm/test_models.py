@@ -11,12 +11,14 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 from helpers import ODD, documents, long_text  # noqa: E402
 
 from lakestream.llm import queries as Q  # noqa: E402
 from lakestream.llm import url_rules as U  # noqa: E402
+from lakestream.llm._samples import labelled_sample  # noqa: E402
 from lakestream.llm._ship import ship  # noqa: E402
 from lakestream.llm.language_hd import Profiles, fit_profiles, predict_language, space  # noqa: E402
 from lakestream.llm.quality_crf import ALL_CONTENT, Crf, fit, fit_crf, quality_rules  # noqa: E402
@@ -105,6 +107,15 @@ def test_url_odd_rows(spark):
     assert {(r["rule"], r["verdict"]) for r in none} == {(None, "allow")}
 
 
+# --- samples of labelled documents -------------------------------------------
+def test_sample_has_one_row_of_an_id(spark):
+    docs = documents(spark, [(1, f"text {i % 40}") for i in range(100)] + [(2, None), (2, None), (3, "c"), (4, "c"), (None, "d")])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (5, 1)], "doc_id long, toxic int")
+    first, again = (labelled_sample(d, labels, "toxic", 10).collect() for d in (docs, docs.orderBy(F.desc("text"))))
+    assert sorted((r["id"], r["label"]) for r in first) == [(1, 1), (2, 0), (3, 0)]
+    assert sorted(first, key=str) == sorted(again, key=str)
+
+
 # --- line quality ------------------------------------------------------------
 def base(text):
     t = text or ""
