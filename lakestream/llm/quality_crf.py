@@ -26,8 +26,8 @@ from lakestream.llm import _batches as B
 from lakestream.llm._hashing import Prefix, mix
 from lakestream.llm._samples import labelled_sample
 
-#: Bounds of the fitted sample: documents of each class, lines of each, lines of a training sequence.
-PER_CLASS, SAMPLE_LINES, SEQUENCE = 1500, 512, 64
+#: Bound of the fitted sample: documents of each class, with all their lines; lines of a training sequence.
+PER_CLASS, SEQUENCE = 1500, 64
 MIN_CONTENT = 0.5
 #: Base rules: fewest words, and the most per cent of words in repeated windows.
 MIN_WORDS, MAX_REPEATED, WINDOW = 10, 20, 5
@@ -213,12 +213,12 @@ def fit(features: list[np.ndarray], labels: list[int], rounds: int = 600, rate:
 
 def fit_crf(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
             text_col: str = "text", per_class: int = PER_CLASS) -> Crf:
-    """Fits the model on at most ``per_class`` documents of each label, with ``SAMPLE_LINES`` lines each."""
+    """Fits the model on at most ``per_class`` documents of each label, with all their lines."""
 
     def run(batches):
         for part in B.slices(batches, "text"):
             lines = measure(*B.utf8(B.column(part, "text")))
-            rows = [lines.features[lines.doc == i][:SAMPLE_LINES].astype("<f8") for i in range(part.num_rows)]
+            rows = [lines.features[lines.doc == i].astype("<f8") for i in range(part.num_rows)]
             yield pa.RecordBatch.from_arrays([B.column(part, "label"), pa.array([x.tobytes() for x in rows], pa.binary())],
                                              names=["label", "lines"])
 

@@ -160,6 +160,17 @@ def test_quality_odd_rows(spark):
     assert fit_crf(docs, spark.createDataFrame([], "doc_id long, quality int")) is ALL_CONTENT
 
 
+def test_quality_is_fitted_on_the_end_of_long_texts(spark):
+    ship(spark)
+    plain = "\n".join(long_text(8, i) for i in range(600))
+    noise = "\n".join(f"#### {long_text(4, i).upper()} $$ | 77{i} !!!" for i in range(600))
+    docs = documents(spark, [*((i, plain if i < 4 else f"{plain}\n{noise}") for i in range(8)), (20, plain), (21, noise)])
+    model = fit_crf(docs, spark.createDataFrame([(i, int(i < 4)) for i in range(8)], "doc_id long, quality int"))
+    rows = {r["doc_id"]: r for r in quality_rules(docs, model).where("doc_id >= 20").collect()}
+    assert not rows[21]["base_failed"] and rows[21]["content_share"] < 0.1
+    assert rows[20]["content_share"] > 0.9
+
+
 def test_viterbi_finds_the_best_path():
     pick = np.random.default_rng(2)
     model = Crf(pick.normal(size=3), pick.normal(size=(2, 2)))
