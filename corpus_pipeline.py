@@ -3,7 +3,7 @@
 Each stage takes the documents that its predecessor kept and is judged on those.
 All but the last return the columns of the documents; the last returns their ids
 and tokens. Documents without an id can be no near-duplicate of another; they
-stay. A repeated id is one document: the first three stages let one row of it by.
+stay. Of rows with the same id and text one stays; different texts of an id are judged one by one.
 """
 
 from __future__ import annotations

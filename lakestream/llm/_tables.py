@@ -15,13 +15,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def plain_ids(docs: DataFrame, id_col: str) -> bool:
+    """Whether ids are integers, none null or repeated."""
+    if dict(docs.dtypes)[id_col] not in ("bigint", "int", "smallint", "tinyint"):
+        return False
+    ids = docs.select(F.col(id_col).alias("id"))
+    return ids.groupBy("id").agg(F.count("*").alias("n")).where("id is null or n > 1").isEmpty()
+
+
 def key_of(docs: DataFrame, id_col: str, text_col: str) -> F.Column:
-    """A key of each row: its id where ids are integers, none null or repeated, else a hash of id and text."""
-    plain = dict(docs.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint")
-    if plain:
-        ids = docs.select(F.col(id_col).alias("id"))
-        plain = ids.groupBy("id").agg(F.count("*").alias("n")).where("id is null or n > 1").isEmpty()
-    return F.col(id_col).cast("long") if plain else F.xxhash64(id_col, text_col)
+    """A key of each row: its id where ids are plain (``plain_ids``), else a hash of id and text."""
+    return F.col(id_col).cast("long") if plain_ids(docs, id_col) else F.xxhash64(id_col, text_col)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -21,8 +21,9 @@ that it shares. These pairs are compared exactly, and the classes are the
 connected components of all similar pairs.
 
 Results on odd rows: a null text, or one without words, is a class of its own;
-an id that several rows have is one document (its texts are in one class); rows
-without an id have no class; an empty table gives an empty result; other
+where ids repeat, rows are compared by a key of id and text, and an id with texts
+in several classes has the least of their ids (its texts are judged one by one in
+``kept_documents``); rows without an id have no class; an empty table gives an empty result; other
 columns aren't carried.
 """
 
@@ -37,7 +38,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from lakestream.llm import _batches as B
 from lakestream.llm._hashing import mix
 from lakestream.llm._shingles import WORDS, bags, shingles, word_hashes
-from lakestream.llm._tables import components, near, written
+from lakestream.llm._tables import components, near, plain_ids, written
 
 SIMILARITY = 0.8
 #: Registers of a sketch, and those of a band: 24 bands of 5 find all but 7 of 100,000 pairs of similarity 0.8.
@@ -221,11 +222,8 @@ def _compared(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
         B.task(run), f"a {kind}, b {kind}, far double")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY,
-                    size: int = WORDS, registers: int = REGISTERS, band: int = BAND) -> DataFrame:
-    """``id_col``, ``class_id`` (the least id of the class), ``kept`` (it is that id); a row for each id."""
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    kind = _kind(docs)
+def _labels(docs: DataFrame, threshold: float, size: int, registers: int, band: int) -> DataFrame:
+    """``id``, ``label`` (the least id of the class) of documents (``id``, ``text``) with different ids and words in the text."""
     signed = written(_signatures(docs, size, registers, band), "signatures")
     reps = signed.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
     reps = written(reps, "representatives")
@@ -252,27 +250,53 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = _close(members, floor).distinct().join(known, ["a", "b"], "left_anti")
     more = written(_compared(written(more, "pairs"), docs, size), "judged").where(alike)
     labels = label if more.isEmpty() else components(links.unionAll(more))
-    # several texts of one id: one class
-    member = signed.select("id", "h1", "h2").distinct().join(reps.select("h1", "h2", F.col("id").alias("rep")), ["h1", "h2"])
-    member = member.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").select(
+    member = signed.select("id", "h1", "h2").join(reps.select("h1", "h2", F.col("id").alias("rep")), ["h1", "h2"])
+    return member.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").select(
         "id", F.coalesce("label", "rep").alias("label"))
-    member = member.groupBy("id").agg(F.min("label").alias("label"))
-    everyone = docs.select("id").distinct()
-    out = everyone.join(member, "id", "left").select("id", F.coalesce("label", "id").alias("class_id"))
-    return out.select(F.col("id").alias(id_col), "class_id", (F.col("id") == F.col("class_id")).alias("kept"))
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, size: int = WORDS, registers: int = REGISTERS,
+             band: int = BAND) -> tuple[DataFrame, F.Column, bool]:
+    """``key`` (of each different row), ``id``, ``class_id`` and ``first``, the class's least id and the least key with
+    it; the expression of the key; whether the keys are the ids."""
+    docs = docs.where(F.col(id_col).isNotNull())
+    plain = plain_ids(docs, id_col)
+    key = F.col(id_col).cast("long") if plain else F.xxhash64(id_col, text_col)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), key.alias("key"))
+    if not plain:
+        # rows of one key are copies
+        rows = written(rows.dropDuplicates(["key"]), "texts")
+    label = _labels(rows.select(F.col("key").alias("id"), "text"), threshold, size, registers, band)
+    every = rows.select("key", "id").join(label.withColumnRenamed("id", "key"), "key", "left").select(
+        "key", "id", F.coalesce("label", "key").alias("label"))
+    if plain:
+        return every.select("key", "id", F.col("label").cast(dict(rows.dtypes)["id"]).alias("class_id"), F.col("label").alias("first")), key, True
+    every = written(every, "labels")
+    least = every.groupBy("label").agg(F.min(F.struct("id", "key")).alias("least"))
+    return every.join(least, "label").select(
+        "key", "id", F.col("least.id").alias("class_id"), F.col("least.key").alias("first")), key, False
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY,
+                    size: int = WORDS, registers: int = REGISTERS, band: int = BAND) -> DataFrame:
+    """``id_col``, ``class_id`` (the least id of the class), ``kept`` (it is that id); a row for each id."""
+    found, _, plain = _classes(docs, id_col, text_col, threshold, size, registers, band)
+    if not plain:
+        found = found.groupBy("id").agg(F.min("class_id").alias("class_id"))
+    return found.select(F.col("id").alias(id_col), "class_id", (F.col("id") == F.col("class_id")).alias("kept"))
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
-    """One row of each class of near-duplicates, the one with the least id, with all columns; rows without an id stay.
+    """One row of each class of near-duplicates, one with the least id, with all columns; rows without an id stay.
 
-    Of several rows with that id one stays; which one isn't defined.
+    Rows of one id with different texts are judged one by one; of rows with the same id and text the least one stays.
     """
-    classes = near_duplicates(docs, id_col, text_col, threshold)
-    gone = written(classes.where("not kept").select(F.col(id_col).alias("gone id")), "copies")
-    kept = docs.join(near(gone, BROADCAST_PAIRS), F.col(id_col) == F.col("gone id"), "left_anti")
-    repeated = docs.groupBy(F.col(id_col).alias("id")).agg(F.count("*").alias("n")).where("id is not null and n > 1")
-    if repeated.isEmpty():
-        return kept
-    names = kept.columns
-    one = kept.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.first(F.struct(*names)).alias("row"))
-    return one.select(*[F.col(f"row.`{c}`").alias(c) for c in names]).union(kept.where(F.col(id_col).isNull()))
+    found, key, plain = _classes(docs, id_col, text_col, threshold)
+    gone = written(found.where("key <> first").select(F.col("key").alias("gone key")), "copies")
+    gone = near(gone, BROADCAST_PAIRS)
+    if plain:
+        return docs.join(gone, key == F.col("gone key"), "left_anti")
+    names = docs.columns
+    kept = docs.where(F.col(id_col).isNotNull()).join(gone, key == F.col("gone key"), "left_anti")
+    one = kept.groupBy(key.alias("row key")).agg(F.min(F.struct(*names)).alias("row"))
+    return one.select(*[F.col(f"row.`{c}`").alias(c) for c in names]).union(docs.where(F.col(id_col).isNull()))

@@ -127,6 +127,17 @@ def test_near_duplicates_odd_rows(spark):
     assert near_duplicates(docs.limit(0)).count() == 0 and kept_documents(docs.limit(0)).count() == 0
 
 
+def test_texts_of_a_repeated_id_are_judged_one_by_one(spark):
+    ship(spark)
+    a, b, c, d = (long_text(80, 500 + i) for i in range(4))
+    near_b, near_c = f"{b} more", f"{c} more"
+    docs = documents(spark, [(1, a), (1, b), (1, c), (1, a), (2, d), (3, near_b), (4, near_c), (5, a), (None, a)])
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in kept_documents(docs).collect())
+    assert kept == sorted([("1", a), ("1", b), ("1", c), ("2", d), ("None", a)])
+    got = {r["doc_id"]: (r["class_id"], r["kept"]) for r in near_duplicates(docs).collect()}
+    assert got == {1: (1, True), 2: (2, True), 3: (1, False), 4: (1, False), 5: (1, False)}
+
+
 # --- repeated passages -------------------------------------------------------
 def removed(texts, length):
     """What is left of each text, and its removed spans, from all strings of the length."""
