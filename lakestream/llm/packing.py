@@ -144,3 +144,8 @@ def pack_tokens(docs: DataFrame, ranks_path: str, pattern: str, separator: int,
              f"segment_ids array<{kind.simpleString()}>, segment_starts array<long>")
     # groups are numbered in each partition; the partition makes them unique
     return rows.withColumn("group", F.col("group") + F.spark_partition_id().cast("long") * F.lit(1 << 32))
+
+
+def write_packed(packed: DataFrame, folder: str) -> None:
+    """The rows of ``pack_tokens`` as Parquet files in a shared folder, written by Spark's tasks."""
+    packed.write.mode("errorifexists").parquet(folder)

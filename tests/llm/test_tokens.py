@@ -201,3 +201,14 @@ def test_op5_equals_full_counts(spark):
     plain = apply_edits(token_trees(source, Q.BYTE_RANKS, P.PATTERN), Q.BYTE_RANKS, P.PATTERN)
     assert all(r["n_tokens"] == r["n_tokens_before"] and r["encoded_chars"] == 0 for r in plain.collect())
     assert apply_edits(trees.limit(0), Q.BYTE_RANKS, P.PATTERN).count() == 0
+
+
+def test_packed_rows_are_written(spark, scratch):
+    from lakestream.llm.packing import write_packed
+
+    ship(spark)
+    packed, folder = Q.op1_packing(spark, SMALL), scratch("packed")
+    write_packed(packed, folder)
+    back = spark.read.parquet(folder)
+    assert back.columns == packed.columns
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, packed.collect()))
