@@ -13,7 +13,10 @@ from lakestream.llm._batches import table
 from lakestream.llm._ship import ship
 from lakestream.llm.bpe import bpe_encode
 from lakestream.llm.decontaminate import benchmark_leaks
+from lakestream.llm.filter_audit import filter_audit
 from lakestream.llm.language_hd import fit_profiles, predict_language
+from lakestream.llm.merkle import merkle_manifest
+from lakestream.llm.mixing import MOST, SEED, SHARE, STRATA, WEIGHTS, mix
 from lakestream.llm.packing import pack_tokens
 from lakestream.llm.probminhash import near_duplicates
 from lakestream.llm.quality_crf import fit_crf, quality_rules
@@ -92,6 +95,23 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "lang_pred", "score")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest, checked against a copy whose n_chars is one too large in the rows of every seventh id by hash."""
+    docs = table(spark, sf_dir, "documents")
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    n_chars = F.col("n_chars").cast("decimal(38,0)")
+    found = merkle_manifest(docs, checked={"n_chars": F.when(touched, n_chars + 1).otherwise(n_chars)})
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def _shipped(query: Callable) -> Callable:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -102,7 +122,7 @@ def _shipped(query: Callable) -> Callable:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_packing, op2_decontamination, op3_bpe, op4_url_filter, op5_token_counts, op6_quality,
-             op7_suffix_dedup, op8_toxicity, op9_near_duplicates, op10_language)
+             op7_suffix_dedup, op8_toxicity, op9_near_duplicates, op10_language, op11_merkle, op12_filter_audit, op13_mixing)
     return {q.__name__: _shipped(q) for q in found} | {"pipeline": _shipped(corpus_pipeline.run)}
 
 
@@ -178,6 +198,119 @@ select doc_id, n as n_bytes, cast(coalesce(removed, 0) as bigint) as n_removed,
 from d left join part using (doc_id)"""
 
 
+_FIELD = "coalesce(octet_length(encode({0}::varchar)) || ':' || {0}::varchar, '-')"
+_LEAF = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+_CLAIM = _LEAF.replace("n_chars", "(n_chars + 1)")
+
+#: Levels of all trees by recursion, then each leaf's way up by recursion. crc32 by its bits.
+_OP11_SQL = f"""
+with recursive
+crc(doc_id, s, i, c) as (
+  select doc_id, doc_id::varchar, 0, 4294967295::bigint from (select distinct doc_id from documents where doc_id is not null)
+  union all select doc_id, s, i + 1, list_reduce(
+      [xor(c, ascii(s[i + 1])::bigint), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, y: xor(x >> 1, 3988292384 * (x & 1))) from crc where i < length(s)),
+leaf as (select doc_id, coalesce('=' || lang, '') as tree, sha256({_LEAF}) as leaf,
+           case when xor(c, 4294967295) % 7 = 0 and n_chars is not null then sha256({_CLAIM}) else sha256({_LEAF}) end as claim
+         from documents left join (select * from crc where i = length(s)) using (doc_id)),
+n0 as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf, claim) - 1 as pos,
+         count(*) over (partition by tree) as n from leaf),
+up(tree, level, pos, n, digest) as (
+  select tree, 0, pos, n, leaf from n0
+  union all select tree, level + 1, pos // 2, max((n + 1) // 2), sha256(string_agg(digest, '' order by pos))
+  from up where n > 1 group by tree, level, pos // 2),
+top as (select tree, level as depth, digest as subroot, row_number() over (order by tree) - 1 as place, count(*) over () as trees
+        from up where n = 1),
+up2(level, pos, n, digest) as (
+  select 0, place, trees, subroot from top
+  union all select level + 1, pos // 2, max((n + 1) // 2), sha256(string_agg(digest, '' order by pos))
+  from up2 where n > 1 group by level, pos // 2),
+root as (select level as height, digest as root from up2 where n = 1),
+nodes as (select tree, level, pos, digest from up where n > 1 union all select '/' || tree, level, pos, digest
+          from (select level, pos, digest from up2 where n > 1), (select tree from top)),
+f(row, tree, pos, level, d, sibs, first, depth) as (
+  select row_number() over (), tree, pos, 0, claim, '', leaf, depth from n0 join top using (tree)
+  union all select f.row, f.tree, f.pos // 2, f.level + 1,
+    sha256(case when s.digest is null then f.d when f.pos % 2 = 0 then f.d || s.digest else s.digest || f.d end),
+    f.sibs || coalesce(s.digest, ''), f.first, f.depth
+  from f left join nodes s on s.tree = f.tree and s.level = f.level and s.pos = xor(f.pos, 1) where f.level < f.depth),
+g(row, tree, pos, level, d, sibs) as (
+  select f.row, tree, place, 0, d, sibs from f join top using (tree) where level = f.depth
+  union all select g.row, g.tree, g.pos // 2, g.level + 1,
+    sha256(case when s.digest is null then g.d when g.pos % 2 = 0 then g.d || s.digest else s.digest || g.d end),
+    g.sibs || coalesce(s.digest, '')
+  from g left join nodes s on s.tree = '/' || g.tree and s.level = g.level and s.pos = xor(g.pos, 1)
+  where g.level < (select height from root)),
+ids as (select row_number() over () as row, doc_id, tree, leaf from n0 join top using (tree))
+select doc_id, leaf, subroot, root, sha256(sibs) as proof_sha256, d as folded_root, d = root as verified
+from g join ids using (row) join top on top.tree = g.tree, root where g.level = height"""
+
+#: Each document's filters as bits, counted; every order and step sums up the bits that it asks for.
+_OP12_SQL = r"""
+with recursive
+t as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text from documents),
+w as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w from t),
+m as (select part, doc_id in (select doc_id from labels where quality = 1) as good,
+        doc_id in (select doc_id from labels where toxic = 1) as toxic,
+        (len(w) < 50)::int + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::int
+        + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text))::int
+        + 8 * regexp_matches(text, '[#$%&*|]')::int
+        + 16 * coalesce(doc_id > min(doc_id) over (partition by text), false)::int as m from w),
+c as (select part, m, count(*) as n, count(*) filter (good) as g, count(*) filter (toxic) as x from m group by all),
+o(s, used) as (select '', 0 union all select s || chr(65 + i::int), used | (1 << i::int) from o, range(5) as r(i) where (used >> i::int) & 1 = 0),
+p as (select s as filter_order, step::int as step, ascii(s[step]) - 65 as f,
+        coalesce(list_sum(list_transform(range(1, step), lambda j: 1 << (ascii(s[j]) - 65))), 0)::int as before
+      from (select s, unnest(range(1, 6)) as step from o where length(s) = 5)),
+a as (select part, filter_order, step, f,
+        sum(n) filter (m & (before | (1 << f)) = 0) as kept, sum(n) filter (m & before = 0 and (m >> f) & 1 = 1) as removed,
+        sum(n) filter (m & before <> 0 and (m >> f) & 1 = 1) as redundant, sum(n) filter (m = 1 << f) as unique_fails,
+        sum(g) filter (m & before = 0 and (m >> f) & 1 = 1) as good_lost, sum(x) filter (m & before = 0 and (m >> f) & 1 = 1) as toxic_lost
+      from c, p group by all)
+select part, filter_order, step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed,
+  coalesce(redundant, 0)::bigint as redundant, coalesce(unique_fails, 0)::bigint as unique_fails,
+  coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
+  coalesce(sum(removed) over (partition by part, f), 0)::bigint as shapley
+from a"""
+
+
+def _op13_sql() -> str:
+    long, short = STRATA
+    cases = " ".join(f"when {i} then {w}" for i, w in enumerate(WEIGHTS))
+    take = "goal > 0 and 2 * before + size <= 2 * goal"
+    goal = "words * case when words_left > 0 then least(1.0::double, greatest(0.0::double, need / words_left)) else 0.0 end"
+    rounds = ""
+    for k in range(3):
+        left = "select source, rest as need, source_size::double as words_left from s" if k == 0 else f"""
+  select l.source, l.need - coalesce(took, 0) as need, l.words_left - l.words as words_left from g{k - 1} l left join (
+    select source, sum(size) as took from r join g{k - 1} using (source) where stratum = {k - 1} and {take} group by source) using (source)"""
+        rounds += f""",
+g{k} as (select *, {goal} as goal from (select l.*, coalesce(words, 0)::double as words from ({left}) l
+  left join (select source, sum(size) as words from r where stratum = {k} group by source) using (source)))"""
+    return f"""
+with recursive
+d as (select doc_id, coalesce('=' || source, '') as source, source as own,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+        md5('{SEED}:' || coalesce(doc_id::varchar, '-') || ':' || md5(coalesce(text, ''))) as draw from documents),
+b as (select source, any_value(own) as own, sum(size)::bigint as source_size from d group by source),
+w as (select source, source_size, case (row_number() over (order by own nulls last) - 1) % {len(WEIGHTS)} {cases} end::double as weight from b),
+v(i, level) as (
+  select 0, {SHARE} * sum(source_size) / sum(weight) from w
+  union all select i + 1, ({SHARE} * (select sum(source_size) from w)
+      - (select coalesce(sum(source_size * {MOST}), 0) from w where source_size * {MOST} <= level * weight))
+      / (select sum(weight) from w where source_size * {MOST} > level * weight)
+  from v where i < 100 and exists (select 1 from w where source_size * {MOST} > level * weight)),
+t as (select source, source_size, least((source_size * {MOST})::double, (select max(level) from v) * weight) as target from w),
+s as (select *, target - whole * source_size as rest
+      from (select *, case when source_size > 0 then floor(target / source_size) else 0 end::bigint as whole from t)),
+r as (select *, sum(size) over (partition by source, stratum order by draw, doc_id rows unbounded preceding) - size as before
+      from (select d.*, source_size, target, whole, rest, (size <= rest * {long})::int + (size <= rest * {short})::int as stratum
+            from d join s using (source))){rounds},
+g as ({" union all ".join(f"select source, {k} as stratum, goal from g{k}" for k in range(3))})
+select doc_id, size::bigint as size, source_size, target, ((whole + ({take})::int) * size)::bigint as taken
+from r join g using (source, stratum)"""
+
+
 def oracle_sql() -> dict[str, str]:
     own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return {"op2_decontamination": _OP2_SQL, "op4_url_filter": _OP4_SQL, "op7_suffix_dedup": _OP7_SQL} | own
+    return {"op2_decontamination": _OP2_SQL, "op4_url_filter": _OP4_SQL, "op7_suffix_dedup": _OP7_SQL,
+            "op11_merkle": _OP11_SQL, "op12_filter_audit": _OP12_SQL, "op13_mixing": _op13_sql()} | own
