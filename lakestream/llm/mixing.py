@@ -40,7 +40,7 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 #: Weights of the sources in their order, again and again; words of the mix for each one of the corpus; copies at most.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 #: Documents above these shares of a source's sampled words are drawn before shorter ones.
-STRATA = (1 / 16, 1 / 256)
+STRATA = (1, 1 / 4, 1 / 16, 1 / 64, 1 / 256)
 SEED = 20260101
 _BITS = 52
 

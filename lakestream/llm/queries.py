@@ -274,12 +274,11 @@ from a"""
 
 
 def _op13_sql() -> str:
-    long, short = STRATA
     cases = " ".join(f"when {i} then {w}" for i, w in enumerate(WEIGHTS))
     take = "goal > 0 and 2 * before + size <= 2 * goal"
     goal = "words * case when words_left > 0 then least(1.0::double, greatest(0.0::double, need / words_left)) else 0.0 end"
     rounds = ""
-    for k in range(3):
+    for k in range(len(STRATA) + 1):
         left = "select source, rest as need, source_size::double as words_left from s" if k == 0 else f"""
   select l.source, l.need - coalesce(took, 0) as need, l.words_left - l.words as words_left from g{k - 1} l left join (
     select source, sum(size) as took from r join g{k - 1} using (source) where stratum = {k - 1} and {take} group by source) using (source)"""
@@ -303,9 +302,9 @@ t as (select source, source_size, least((source_size * {MOST})::double, (select
 s as (select *, target - whole * source_size as rest
       from (select *, case when source_size > 0 then floor(target / source_size) else 0 end::bigint as whole from t)),
 r as (select *, sum(size) over (partition by source, stratum order by draw, doc_id rows unbounded preceding) - size as before
-      from (select d.*, source_size, target, whole, rest, (size <= rest * {long})::int + (size <= rest * {short})::int as stratum
+      from (select d.*, source_size, target, whole, rest, {" + ".join(f"(size <= rest * {float(x)!r}::double)::int" for x in STRATA)} as stratum
             from d join s using (source))){rounds},
-g as ({" union all ".join(f"select source, {k} as stratum, goal from g{k}" for k in range(3))})
+g as ({" union all ".join(f"select source, {k} as stratum, goal from g{k}" for k in range(len(STRATA) + 1))})
 select doc_id, size::bigint as size, source_size, target, ((whole + ({take})::int) * size)::bigint as taken
 from r join g using (source, stratum)"""
 
