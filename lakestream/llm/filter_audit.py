@@ -12,8 +12,8 @@ out once and go through the same joins. From the survivors' counts of each part:
 * its Shapley value, over all orders: the removals after each set, times the
   orders that have this set before it.
 
-All relations are joined on the row number, so each is shuffled once and that
-exchange is read by all joins; row numbers are unique, so no key is hot. Counts
+All relations are joined on the row number, so a plan shuffles each once and
+that exchange is read by all its joins; row numbers are unique, so no key is hot. Counts
 are added up by part before they are shuffled. Row numbers are given when the
 rows are written, so they hold for all reads.
 
@@ -39,6 +39,8 @@ from lakestream.llm._tables import written
 
 #: Words: runs of anything but these characters.
 SPACE = "[\\x20\\x09-\\x0D]+"
+#: Filters whose sets are joined in one plan.
+TOGETHER = 3
 #: What the rows of a relation stand for.
 ALL, GOOD, TOXIC = 0, 1, 2
 
@@ -78,13 +80,23 @@ def numbered(docs: DataFrame, filters: Mapping[str, Column], id_col: str, part_c
 
 
 def survivors(rows: DataFrame, failing: list[DataFrame]) -> DataFrame:
-    """``part``, ``kind``, ``after`` (a set of filters as bits) and ``n``: the rows that no filter of the set removes."""
-    def left(after: int) -> DataFrame:
+    """``part``, ``kind``, ``after`` (a set of filters as bits) and ``n``: the rows that no filter of the set removes.
+
+    What the filters beyond the first ``TOGETHER`` leave is written for each set
+    of those; the sets of the first ones start from there, in one plan each.
+    """
+    def left(start: DataFrame, after: int) -> DataFrame:
         some = [f for i, f in enumerate(failing) if after >> i & 1]
-        kept = reduce(lambda r, f: r.join(f, "row", "left_anti"), some, rows)
-        return kept.groupBy("part", "kind").agg(F.count("*").alias("n")).withColumn("after", F.lit(after))
+        return reduce(lambda r, f: r.join(f, "row", "left_anti"), some, start)
+
+    def counts(late: int) -> DataFrame:
+        start = rows if late == 0 else written(left(rows, late), "survivors")
+        sets = [left(start, early).groupBy("part", "kind").agg(F.count("*").alias("n")).withColumn("after", F.lit(late | early))
+                for early in range(first)]
+        return written(reduce(DataFrame.unionAll, sets), "counts")
 
-    return reduce(DataFrame.unionAll, map(left, range(1 << len(failing))))
+    first = 1 << min(TOGETHER, len(failing))
+    return reduce(DataFrame.unionAll, map(counts, range(0, 1 << len(failing), first)))
 
 
 def audit(rows: DataFrame, failing: Mapping[str, DataFrame], good: DataFrame, toxic: DataFrame) -> DataFrame:
@@ -99,7 +111,7 @@ def audit(rows: DataFrame, failing: Mapping[str, DataFrame], good: DataFrame, to
     kinds = [rows.select("row", "part", F.lit(ALL).alias("kind"))] + [
         rows.join(ids.toDF("id").distinct(), "id", "left_semi").select("row", "part", F.lit(kind).alias("kind"))
         for kind, ids in ((GOOD, good), (TOXIC, toxic))]
-    counts = written(survivors(written(reduce(DataFrame.unionAll, kinds), "kinds"), tables), "survivors")
+    counts = survivors(written(reduce(DataFrame.unionAll, kinds), "kinds"), tables)
 
     # 3 * 2^k numbers for each part
     known = counts.groupBy("part").agg(F.map_from_entries(F.collect_list(

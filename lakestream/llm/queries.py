@@ -74,7 +74,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
-                        F.sha2("kept", 256).alias("kept_sha256"))
+                        F.sha2("kept", 256).alias("kept_sha256"), "text")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,7 +182,7 @@ best as (select page_id, k.verdict, array_to_string(part, ' ') as mined
 select page_id, host, path, rule, coalesce(l.verdict, best.verdict, '{ALLOW}') as verdict, mined
 from h left join l using (page_id) left join best using (page_id)"""
 
-#: Every 400-byte string, counted; bytes as pairs of hexadecimal digits.
+#: Every 400-byte string, counted; bytes as pairs of hexadecimal digits. The text left has the whole characters among them.
 _OP7_SQL = """
 with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n from documents),
 w as (select doc_id, i, md5(substr(h, 2 * i + 1, 800)) as m from (select *, unnest(range(0, n - 399)) as i from d)),
@@ -192,10 +192,14 @@ run as (select *, sum(fresh) over (partition by doc_id order by i) as g
 span as (select doc_id, g, min(i) as a, max(i) + 400 as z from run group by all),
 cut as (select *, coalesce(lag(z) over (partition by doc_id order by a), 0) as before from span),
 part as (select doc_id, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) as head,
-           max(z) as z, sum(z - a) as removed, count(*) as spans from cut join d using (doc_id) group by all)
+           max(z) as z, sum(z - a) as removed, count(*) as spans from cut join d using (doc_id) group by all),
+kept as (select *, coalesce(head, '') || substr(h, 2 * coalesce(z, 0) + 1) as left_over from d left join part using (doc_id))
 select doc_id, n as n_bytes, cast(coalesce(removed, 0) as bigint) as n_removed, coalesce(spans, 0) as n_spans,
-  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(z, 0) + 1))) as kept_sha256
-from d left join part using (doc_id)"""
+  sha256(unhex(left_over)) as kept_sha256,
+  decode(unhex(case when removed is null then left_over else array_to_string(list_filter(regexp_extract_all(left_over,
+    '[0-7].|(?:C[2-9A-F]|D.)[89AB].|E0[AB].[89AB].|E[1-9ABCEF](?:[89AB].){2}|ED[89].[89AB].|F0[9AB].(?:[89AB].){2}|F[1-3](?:[89AB].){3}|F48.(?:[89AB].){2}|..'),
+    lambda x: length(x) > 2 or x < '8'), '') end)) as text
+from kept"""
 
 
 _FIELD = "coalesce(octet_length(encode({0}::varchar)) || ':' || {0}::varchar, '-')"

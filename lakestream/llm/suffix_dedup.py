@@ -261,7 +261,8 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                    window: int = WINDOW) -> DataFrame:
-    """Per row: the id, ``n_bytes``, ``n_removed``, ``spans`` (starts and ends of what is removed), ``kept`` (bytes)."""
+    """Per row: the id, ``n_bytes``, ``n_removed``, ``spans`` (starts and ends of what is removed), ``kept`` (bytes)
+    and ``text`` (these without the bytes of characters that a removal cut apart)."""
     docs = keyed(docs, id_col, text_col)
     return _removed(docs, _spans(docs, length, window), length, window, id_col)
 
@@ -285,7 +286,7 @@ def _removed(docs: DataFrame, spans: DataFrame, length: int, window: int, id_col
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for part in B.slices([batch], "packed"):
-                size, removed, edges, kept = [], [], [], []
+                size, removed, edges, kept, texts = [], [], [], [], []
                 columns = (B.column(part, c) for c in ("packed", "wholes", "starts"))
                 for packed, wholes, starts in zip(*columns):
                     data = np.frombuffer(unpack.decompress(packed.as_py()), np.uint8)
@@ -296,21 +297,39 @@ def _removed(docs: DataFrame, spans: DataFrame, length: int, window: int, id_col
                     removed.append(int(out.sum()))
                     edges.append([{"start": int(a), "end": int(b)} for a, b in zip(turn[::2], turn[1::2])])
                     kept.append(data[~out].tobytes())
+                    texts.append(kept[-1].decode("utf-8", "ignore"))
                 yield pa.RecordBatch.from_arrays(
                     [B.column(part, "id"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
                      pa.array(edges, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                     pa.array(kept, pa.binary())], names=[id_col, "n_bytes", "n_removed", "spans", "kept"])
+                     pa.array(kept, pa.binary()), pa.array(texts, pa.string())],
+                    names=[id_col, "n_bytes", "n_removed", "spans", "kept", "text"])
 
     kind = docs.schema["id"].dataType.simpleString()
     return _packed(docs).join(spans, "key", "left").select("id", "packed", "wholes", "starts").mapInArrow(
-        B.task(run), f"`{id_col}` {kind}, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
+        B.task(run), f"`{id_col}` {kind}, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary, text string")
+
+
+def long_runs(data: np.ndarray, out: np.ndarray, min_words: int) -> np.ndarray:
+    """``out`` without its runs that hold fewer words (parts of words count); words as in ``[^\\x20\\x09-\\x0D]+``."""
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    begins = ~space & np.append(True, space[:-1] | (out[1:] & ~out[:-1]))
+    turn = np.flatnonzero(np.diff(np.concatenate([[False], out, [False]]).astype(np.int8)))
+    words = np.append(0, np.cumsum(begins))
+    step = np.zeros(len(out) + 1, np.int32)
+    for a, b in zip(turn[::2], turn[1::2]):
+        if words[b] - words[a] >= min_words:
+            step[a] += 1
+            step[b] -= 1
+    return np.cumsum(step[:-1]) > 0
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                    window: int = WINDOW) -> DataFrame:
+                    window: int = WINDOW, min_words: int = 0) -> DataFrame:
     """The rows of ``docs`` with what is left of their texts; rows of whose text nothing is left go.
 
-    Bytes of characters that a removal cut apart go too. Other columns stay as they are.
+    Only runs of ``min_words`` words or more are removed: with a small ``length``
+    this takes passages by their words, however many bytes those have. Bytes of
+    characters that a removal cut apart go too. Other columns stay as they are.
     """
     key = key_of(docs, id_col, text_col)
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), key.alias("key"))
@@ -327,6 +346,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 if wholes[i].is_valid:
                     data = np.frombuffer(text.encode(), np.uint8)
                     out = covered(len(data), wholes[i], starts[i], length, window)
+                    if min_words:
+                        out = long_runs(data, out, min_words)
                     texts[i] = data[~out].tobytes().decode("utf-8", "ignore")
                 keep.append(not (wholes[i].is_valid and not texts[i]))
             columns = [B.column(part, c) for c in names]

@@ -154,6 +154,30 @@ def removed(texts, length):
     return out
 
 
+def passages(texts, length, words):
+    """What is left of each text without the removed spans that hold so many words."""
+    out = []
+    for t, (_, spans) in zip(texts, removed(texts, length)):
+        b, left, at = (t or "").encode(), b"", 0
+        for a, z in spans:
+            if len(re.findall(rb"[^\x20\x09-\x0d]+", b[a:z])) >= words:
+                left, at = left + b[at:a], z
+        out.append((left + b[at:]).decode("utf-8", "ignore"))
+    return out
+
+
+def test_passages_are_removed_by_their_words(spark):
+    ship(spark)
+    shared, short = long_text(52, 70), long_text(30, 71)
+    rows = [(1, f"{long_text(40, 1)} {shared} {long_text(9, 2)}"), (2, f"{shared}"), (3, f"{long_text(60, 3)} {short} {long_text(60, 4)}"),
+            (4, f"{long_text(20, 5)} {short} é{shared}"), (5, None), (6, ""), (7, "é" * 200 + " tail"), (8, "é" * 200 + " end"),
+            (9, " \t" * 300), (10, " \t" * 300), (11, "a b " * 80)]
+    got = {r["doc_id"]: r["text"] for r in without_repeats(documents(spark, rows), length=100, window=40, min_words=50).collect()}
+    want = dict(zip([r[0] for r in rows], passages([r[1] for r in rows], 100, 50)))
+    assert {i: t or "" for i, t in got.items()} == {i: t for i, t in want.items() if t or i in (5, 6)}
+    assert want[2] == "" and short in want[3] and short in want[4] and shared not in want[4] and want[9] and not want[11]
+
+
 def test_op7_equals_brute_force(spark):
     ship(spark)
     docs = Q.table(spark, SMALL, "documents").collect()
@@ -165,6 +189,7 @@ def test_op7_equals_brute_force(spark):
         assert (r["n_removed"], r["n_spans"]) == (sum(b - a for a, b in spans), len(spans))
         assert r["kept_sha256"] == hashlib.sha256(kept).hexdigest()
         assert r["n_bytes"] == len(kept) + r["n_removed"]
+        assert r["text"] == kept.decode("utf-8", "ignore")
 
 
 @pytest.mark.parametrize("seed", range(8))

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).parent))
 from helpers import ODD, documents, long_text  # noqa: E402
-from test_pairs import classes, leaks, removed  # noqa: E402
+from test_pairs import classes, leaks, passages  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from lakestream.llm import queries as Q  # noqa: E402
@@ -39,7 +39,8 @@ def test_each_stage_does_its_work_on_what_the_one_before_kept(spark):
     assert two.columns == names and sorted(two.collect()) == sorted(kept) and len(kept) < len(top)
 
     three = stages["suffix_dedup"](spark, two, SMALL).cache()
-    left = {r["doc_id"]: b.decode("utf-8", "ignore") for r, (b, _) in zip(kept, removed([r["text"] for r in kept], 400))}
+    left = dict(zip([r["doc_id"] for r in kept], passages(
+        [r["text"] for r in kept], corpus_pipeline.PASSAGE_BYTES, corpus_pipeline.PASSAGE_WORDS)))
     texts = {r["doc_id"]: r["text"] for r in three.collect()}
     assert three.columns == names and texts == {i: t for i, t in left.items() if t}
 
