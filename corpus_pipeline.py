@@ -24,6 +24,11 @@ from lakestream.llm.suffix_dedup import without_repeats
 from lakestream.llm.toxicity import fit_ordinal, without_toxic
 
 
+#: Passages that the suffix stage removes: of so many words, found by repeated strings of so many bytes
+#: (in prose 51 words have some 300 bytes, and fewer than 160 in one of a thousand cases).
+PASSAGE_WORDS, PASSAGE_BYTES, PASSAGE_WINDOW = 50, 160, 64
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose severity is below grade 1."""
     ship(spark)
@@ -37,9 +42,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the strings that start in two places; those of which nothing is left go."""
+    """Documents without the passages that start in two places; those of which nothing is left go."""
     ship(spark)
-    return without_repeats(docs)
+    return without_repeats(docs, length=PASSAGE_BYTES, window=PASSAGE_WINDOW, min_words=PASSAGE_WORDS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
