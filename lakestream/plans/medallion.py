@@ -112,27 +112,28 @@ def enriched_stats(events: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, ru
 def landing_to_bronze(spark: SparkSession, landing_dir: str, root: str,
                       tables: Iterable[str] = LAKE_TABLES,
                       schemas: Mapping[str, object] | None = None,
-                      csv: Mapping[str, object] | None = None) -> list[str]:
+                      csv: Mapping[str, object] | None = None, versions: bool = False) -> list[str]:
     """Each ``{landing_dir}/{table}.csv`` (header, inferred or given types) → bronze.
 
-    ``csv``: keyword arguments of :func:`lakestream.sources.read_csv`.
+    ``csv``: keyword arguments of :func:`lakestream.sources.read_csv`; ``versions``
+    as in :func:`lakestream.sources.write_layer`.
     """
     paths = []
     for t in tables:
         df = read_csv(spark, f"{landing_dir.rstrip('/')}/{t}.csv", schema=(schemas or {}).get(t), **(csv or {}))
-        paths.append(write_layer(df, root, BRONZE, t))
+        paths.append(write_layer(df, root, BRONZE, t, versions=versions))
     return paths
 
 
 def bronze_to_silver(spark: SparkSession, root: str, tables: Iterable[str] = LAKE_TABLES,
                      exclude: Mapping[str, Sequence[str]] | None = None,
-                     null_text: str | None = "None") -> list[str]:
+                     null_text: str | None = "None", versions: bool = False) -> list[str]:
     """Clean every text column, drop duplicate rows, write silver."""
     paths = []
     for t in tables:
         df = read_layer(spark, root, BRONZE, t)
         silver = dedup_rows(clean_string_columns(df, (exclude or {}).get(t, ()), null_text))
-        paths.append(write_layer(silver, root, SILVER, t))
+        paths.append(write_layer(silver, root, SILVER, t, versions=versions))
     return paths
 
 
@@ -140,7 +141,7 @@ def silver_to_gold(spark: SparkSession, root: str, bio_table: str = BIO_TABLE,
                    results_table: str = RESULTS_TABLE, gold_table: str = GOLD_TABLE,
                    run_ts=None, digits: int | None = None,
                    broadcast: bool | str = "checked", skew: str = "adaptive",
-                   pre_aggregate: bool = False) -> str:
+                   pre_aggregate: bool = False, versions: bool = False) -> str:
     """Join the silver tables, average per group, write ``gold/{gold_table}``.
 
     ``broadcast``, ``skew`` and ``pre_aggregate`` choose the plan as in :func:`gold_stats`.
@@ -149,7 +150,7 @@ def silver_to_gold(spark: SparkSession, root: str, bio_table: str = BIO_TABLE,
     results = read_layer(spark, root, SILVER, results_table)
     stats = gold_stats(results, bio, run_ts=run_ts, digits=digits, broadcast=broadcast, skew=skew,
                        pre_aggregate=pre_aggregate)
-    return write_layer(stats, root, GOLD, gold_table)
+    return write_layer(stats, root, GOLD, gold_table, versions=versions)
 
 
 def run_medallion(spark: SparkSession, landing_dir: str, root: str,
@@ -158,8 +159,10 @@ def run_medallion(spark: SparkSession, landing_dir: str, root: str,
                   broadcast: bool | str = "checked", skew: str = "adaptive", pre_aggregate: bool = False,
                   exclude: Mapping[str, Sequence[str]] | None = None, null_text: str | None = "None",
                   bio_table: str = BIO_TABLE, results_table: str = RESULTS_TABLE,
-                  csv: Mapping[str, object] | None = None) -> str:
-    """The three jobs strictly in order; safe to re-run (every layer is overwritten).
+                  csv: Mapping[str, object] | None = None, versions: bool = False) -> str:
+    """The three jobs strictly in order; safe to re-run (every layer is replaced once its successor is complete).
+
+    With ``versions`` each run makes a version of every layer, and the ones before stay readable.
 
     ``exclude`` names columns of a table that the cleaner leaves as they are (it
     takes signs and dots out of numbers in text), ``null_text`` is what it makes
@@ -167,7 +170,7 @@ def run_medallion(spark: SparkSession, landing_dir: str, root: str,
     :func:`lakestream.sources.read_csv`. ``tables`` may list more than the two
     that gold is made of.
     """
-    landing_to_bronze(spark, landing_dir, root, tables, schemas, csv)
-    bronze_to_silver(spark, root, tables, exclude, null_text)
+    landing_to_bronze(spark, landing_dir, root, tables, schemas, csv, versions)
+    bronze_to_silver(spark, root, tables, exclude, null_text, versions)
     return silver_to_gold(spark, root, bio_table, results_table, run_ts=run_ts, digits=digits,
-                          broadcast=broadcast, skew=skew, pre_aggregate=pre_aggregate)
+                          broadcast=broadcast, skew=skew, pre_aggregate=pre_aggregate, versions=versions)

@@ -7,6 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from lakestream.sources.csv_split import read_quoted_csv
+from lakestream.sources.versions import (last_complete, put_in_place, read_version, staged_path, version_numbers,
+                                         write_version)
+
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
 
@@ -34,8 +38,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     """Read delimited text with a header row.
 
     ``exact`` reads what :func:`write_csv` writes with ``exact``, and ``multi_line`` text
-    with line breaks inside quotes; a file is then one task, so land many
-    files. ``bad_rows`` is Spark's parse mode: keep rows that don't fit the
+    with line breaks inside quotes. With both and a ``schema``, files are split over
+    many tasks at record boundaries (:func:`lakestream.sources.csv_split.read_quoted_csv`);
+    otherwise a multi-line file is one task, so land many files. ``bad_rows`` is Spark's parse mode: keep rows that don't fit the
     schema (``PERMISSIVE``, their text in ``bad_row_column`` if the schema has
     it), drop them (``DROPMALFORMED``) or stop (``FAILFAST``). ``options`` are
     added last.
@@ -45,6 +50,8 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     are split over many tasks; a gzip file is read by one task, so land large
     tables as many files or uncompressed.
     """
+    if multi_line and exact and schema is not None and not bad_row_column and bad_rows == "PERMISSIVE":
+        return read_quoted_csv(spark, path, schema, header, {**EXACT_CSV, **(options or {})})
     reader = spark.read.option("header", header).option("mode", bad_rows)
     if exact:
         reader = reader.options(**EXACT_CSV)
@@ -69,17 +76,37 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", exact: bool = F
     writer.options(**(options or {})).csv(path)
 
 
-def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
-    """A lake table; filters and column selection reach the Parquet scan."""
-    return spark.read.parquet(layer_path(root, layer, table))
+def read_layer(spark: SparkSession, root: str, layer: str, table: str, version: int | None = None) -> DataFrame:
+    """A lake table; filters and column selection reach the Parquet scan.
+
+    Of a versioned table, its latest committed version or an older one. Of a
+    plain one, the folder, or the one before if a replacement was cut short.
+    """
+    path = layer_path(root, layer, table)
+    if version is not None or version_numbers(spark, path):
+        return read_version(spark, path, version)
+    return spark.read.parquet(last_complete(spark, path))
 
 
 def write_layer(df: DataFrame, root: str, layer: str, table: str, mode: str = "overwrite",
-                partition_by: Sequence[str] | None = None) -> str:
-    """Write a lake table as Parquet (replacing it by default, so re-runs are safe)."""
+                partition_by: Sequence[str] | None = None, versions: bool = False, expected: int | None = None) -> str:
+    """Write a lake table as Parquet (replacing it by default, so re-runs are safe); returns its path.
+
+    The old table stays until the new one is complete: it is written beside it
+    and then takes its place. With ``versions`` (and for tables that have some)
+    it is committed as the next version instead, and the ones before stay
+    readable (see :mod:`lakestream.sources.versions`; ``expected`` is a version).
+    """
     path = layer_path(root, layer, table)
-    writer = df.write.mode(mode)
+    spark = df.sparkSession
+    if versions or expected is not None or version_numbers(spark, path):
+        write_version(df, path, mode, partition_by, expected)
+        return path
+    staged = staged_path(path) if mode == "overwrite" else path
+    writer = df.write.mode("errorifexists" if mode == "overwrite" else mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.parquet(staged)
+    if mode == "overwrite":
+        put_in_place(spark, staged, path)
     return path
