@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -22,8 +23,8 @@ from pyspark.sql.types import (IntegerType, StringType, StructField,  # noqa: E4
 from lakestream.functions import KEEP_PATTERN, clean_text, parse_json_column, run_timestamp  # noqa: E402
 from lakestream.operators import (clean_string_columns, coerce_numeric, decode_messages,  # noqa: E402
                                   dedup_rows, distinct_values, enrich, fits_broadcast, group_means,
-                                  indicator_columns, indicator_map, indicator_name, latest_per_key, numeric_rows, parse_json,
-                                  preview, profile, quarantine_unparsed, row_count, to_envelope)
+                                  indicator_columns, indicator_map, indicator_name, indicator_vectors, latest_per_key, numeric_rows, parse_json,
+                                  preview, profile, quarantine_unparsed, row_count, to_envelope, value_dictionary)
 from lakestream.plans import (BIO_TABLE, RESULTS_TABLE, enriched_stats, gold_stats,  # noqa: E402
                               landing_to_bronze, publish_to_files, run_medallion)
 from lakestream.schemas import (ATHLETE_KEY, BATCH_COL, GOLD_SCHEMA, MEASURES,  # noqa: E402
@@ -35,21 +36,22 @@ from lakestream.sources.athletes import (athlete_inputs, bio_view,  # noqa: E402
                                          skewed_results_view, table)
 from lakestream.sources.files import BRONZE, GOLD  # noqa: E402
 from lakestream.sources.topics import write_messages  # noqa: E402
-from lakestream.streaming import (await_done, batch_means, combine_batch_means, fan_out,  # noqa: E402
-                                  joined_batch_means, message_files_sink, parquet_history_sink,
-                                  parse_results, per_batch, run_enrichment, run_rejected, start)
+from lakestream.sources.versions import write_version  # noqa: E402
+from lakestream.streaming import (await_done, batch_means, combine_batch_means, committed_files_sink, fan_out,  # noqa: E402
+                                  joined_batch_means, message_files_sink, parquet_history_sink, parse_results, per_batch,
+                                  pinned_versions, read_committed, run_enrichment, run_rejected, start, stop_when_idle)
 
 try:  # the training-data operators are an optional part
     from lakestream.llm import queries as llm_queries  # noqa: E402
-except ImportError as missing:
-    if missing.name not in ("lakestream.llm", "corpus_pipeline"):
-        raise
+except ImportError:  # they, or a package that only they need, aren't there
     llm_queries = None
 
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_TS = "2024-01-01 00:00:00"
 DIGITS = 6
+# Indicator columns of a result at most.
+MOST_COLUMNS = 1000
 # Micro-batches that a stream makes of its whole topic, at any size: batches
 # grow with the data, and every stream carries state over several of them.
 BATCHES = 8
@@ -158,7 +160,10 @@ def q_indicator_columns(spark: SparkSession, sf: str) -> DataFrame:
     """One-hot columns; the few values of each come from the table that has the column, before the join."""
     results, bio = athlete_inputs(spark, sf)
     known = distinct_values(results, ["medal", "sport"]).union(distinct_values(bio, ["sex"]))
-    vocabulary = [(r["column"], r["value"]) for r in known.collect()]
+    # each value becomes a column of the result, so their number is bounded by its schema
+    vocabulary = [(r["column"], r["value"]) for r in known.limit(MOST_COLUMNS + 1).collect()]
+    if len(vocabulary) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} values: use indicator_map or indicator_vectors")
     joined = enrich(results, bio, ATHLETE_KEY)
     return indicator_columns(joined, ["medal", "sex", "sport"], vocabulary, keep=["result_id", "athlete_id"])
 
@@ -171,8 +176,16 @@ def q_indicator_map(spark: SparkSession, sf: str) -> DataFrame:
         "result_id", "entry.column", "entry.value", "flag")
 
 
+def q_indicator_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Indicators as the ids of a distributed dictionary; no vocabulary reaches the driver."""
+    results, _ = athlete_inputs(spark, sf)
+    known = value_dictionary(results, ["medal", "sport", "athlete"])
+    found = indicator_vectors(results, ["medal", "sport", "athlete"], known, keep=["result_id"])
+    return found.select("result_id", F.array_join("indicators", " ").alias("indicators"))
+
+
 def q_run_timestamp(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "region").withColumn("timestamp", run_timestamp(RUN_TS))
+    return table(spark, sf, "orders").withColumn("timestamp", run_timestamp(RUN_TS))
 
 
 def q_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -224,6 +237,22 @@ def q_parquet_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     return read_layer(spark, root, BRONZE, "part")
 
 
+def q_layer_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A layer replaced and then appended to, with a failed write and an unfinished one in between: all its versions."""
+    root, part = scratch_path(spark, "versions"), table(spark, sf, "part")
+    write_layer(part, root, BRONZE, "part", versions=True)
+    write_layer(part.where("p_size > 10"), root, BRONZE, "part")
+    broken = part.withColumn("p_size", F.when(F.col("p_partkey") > 0, F.raise_error(F.lit("broken on purpose")).cast("int")))
+    try:
+        write_layer(broken, root, BRONZE, "part")
+    except Exception as error:  # this write is meant to fail
+        if "broken on purpose" not in str(error):
+            raise
+    write_layer(part.where("p_size <= 5"), root, BRONZE, "part", mode="append")
+    versions = [read_layer(spark, root, BRONZE, "part", v).withColumn("version", F.lit(v)) for v in (1, 2, 3)]
+    return reduce(DataFrame.unionByName, versions)
+
+
 def q_medallion_run(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "medallion")
     results, bio = athlete_inputs(spark, sf)
@@ -248,10 +277,10 @@ def q_medallion_run_excluded(spark: SparkSession, sf: str) -> DataFrame:
 # Topics (file-backed stand-in with the Kafka key/value envelope)
 # --------------------------------------------------------------------------
 def q_decode_messages(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "topic-nation")
-    nation = table(spark, sf, "nation")
-    write_messages(to_envelope(nation, key="n_nationkey"), path)
-    return decode_messages(read_messages(spark, path), nation.schema)
+    path = scratch_path(spark, "topic-events")
+    events = table(spark, sf, "events")
+    write_messages(to_envelope(events, key="event_id"), path)
+    return decode_messages(read_messages(spark, path), events.schema)
 
 
 def q_publish_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -393,6 +422,39 @@ def q_late_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return combine_batch_means(spark.read.parquet(history), STAT_KEYS, MEASURES, DIGITS)
 
 
+def q_stream_dimension_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Running averages of one continuous stream whose dimension gains rows while it runs, until it has nothing to do."""
+    results, bio = athlete_inputs(spark, sf)
+    path, dims, history, ckpt, state = (scratch_path(spark, n) for n in ("topic-results", "dimension", "history", "ckpt", "state"))
+    write_version(bio.where(F.col(ATHLETE_KEY) % 2 == 0), dims)
+    publish_to_files(results.where(F.col("result_id") % 2 == 0), path)
+    query = run_enrichment(read_messages_stream(spark, path), pinned_versions(spark, dims, state), [parquet_history_sink(history)],
+                           ckpt, run_ts=RUN_TS, digits=DIGITS, trigger=None, state=state, compact_every=1)
+    try:
+        query.processAllAvailable()
+        write_version(bio.where(F.col(ATHLETE_KEY) % 2 == 1), dims, "append")
+        publish_to_files(results.where(F.col("result_id") % 2 == 1), path)
+        query.processAllAvailable()
+        stop_when_idle(query, idle_s=1)
+    finally:
+        query.stop()
+    return latest_per_key(spark.read.parquet(history), STAT_KEYS, BATCH_COL).drop(BATCH_COL)
+
+
+def q_committed_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-batch averages in a file sink with commit records, every batch delivered twice: the sink holds each once."""
+    events = table(spark, sf, "events")
+    parsed = parse_json(_topic(spark, events, "topic-events"), events.schema)
+    out = scratch_path(spark, "committed")
+    sink = committed_files_sink(out)
+    fn = per_batch(batch_means(["event_type"], ["value"], run_ts=RUN_TS), sink, sink)
+    await_done(start(parsed, fn, scratch_path(spark, "ckpt"), "append"))
+    schema = _schema("event_type string, avg_value double, n_value long, batch_id string")
+    history = decode_messages(read_committed(spark, out), schema)
+    mean = F.sum(F.col("avg_value") * F.col("n_value")) / F.sum("n_value")
+    return history.groupBy("event_type").agg(F.round(mean, DIGITS).alias("avg_value"), F.sum("n_value").alias("n_value"))
+
+
 def q_stream_rejected(spark: SparkSession, sf: str) -> DataFrame:
     """Messages of events (JSON), raw pages (not JSON) and nations (broken UTF-8): those that a sink of their own gets."""
     props = table(spark, sf, "events").select(F.encode("props", "UTF-8").alias("value"))
@@ -458,6 +520,10 @@ def _lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_restart": q_stream_restart,
         "late_dimension": q_late_dimension,
         "stream_rejected": q_stream_rejected,
+        "layer_versions": q_layer_versions,
+        "stream_dimension_snapshots": q_stream_dimension_snapshots,
+        "committed_batches": q_committed_batches,
+        "indicator_vectors": q_indicator_vectors,
     }
 
 
@@ -610,7 +676,7 @@ select id, source, case when k is null then 'quarantined' else 'parsed' end as s
             f"""select distinct '{c}' as "column", cast({c} as varchar) as value from ({_JOINED})"""
             for c in ("medal", "sex", "country_noc", "sport")),
         "indicator_columns": _indicator_sql(),
-        "run_timestamp": f'select r_regionkey, r_name, {_TS} as "timestamp" from region',
+        "run_timestamp": f'select *, {_TS} as "timestamp" from orders',
         "profile": _profile_sql(),
         "preview": "select * from orders order by o_orderkey limit 5",
         "row_count": 'select count(*) as "rows" from orders',
@@ -618,8 +684,7 @@ select id, source, case when k is null then 'quarantined' else 'parsed' end as s
             s_nationkey, s_acctbal from supplier""",
         "parquet_overwrite": "select * from part",
         "medallion_run": _medallion_sql(),
-        "decode_messages": """select cast(n_nationkey as varchar) as "key", n_nationkey, n_name,
-            n_regionkey from nation""",
+        "decode_messages": 'select cast(event_id as varchar) as "key", * from events',
         "publish_messages": f"""select edition_id, country_id, sport, event, result_id, athlete,
             athlete_id, pos, medal, isTeamSport from ({_FACT})""",
         "stream_enrich": _ENRICH_LEFT,
@@ -665,6 +730,26 @@ from (select f.sport, f.medal, d.sex, d.country_noc, d.height, d.weight
       from ({_FACT}) f join ({_DIM_NUMERIC}) d on f.athlete_id = d.athlete_id
       where f.result_id % 2 = 1 or d.athlete_id % 2 = 0)
 group by sport, medal, sex, country_noc""",
+        "layer_versions": """select *, 1 as version from part union all select *, 2 from part where p_size > 10
+            union all select *, 3 from part where p_size > 10 or p_size <= 5""",
+        "stream_dimension_snapshots": f"""
+select sport, medal, sex, country_noc,
+  round(avg(try_cast(height as double)), 6) as avg_height,
+  round(avg(try_cast(weight as double)), 6) as avg_weight, {_TS} as "timestamp"
+from (select f.sport, f.medal, d.sex, d.country_noc, d.height, d.weight
+      from ({_FACT}) f join ({_DIM_NUMERIC}) d on f.athlete_id = d.athlete_id
+      where f.result_id % 2 = 1 or d.athlete_id % 2 = 0)
+where sex is not null and country_noc is not null and sport is not null
+group by sport, medal, sex, country_noc""",
+        "committed_batches": """select event_type, round(avg(value), 6) as avg_value, count(value) as n_value
+            from events group by event_type""",
+        "indicator_vectors": f"""
+with f as (select * from ({_FACT})),
+v as (select distinct 'athlete' as c, athlete as v from f union select distinct 'medal', medal from f union select distinct 'sport', sport from f),
+d as (select c, v, row_number() over (order by c, v nulls first) - 1 as id from v)
+select result_id, array_to_string(list_sort([a.id, m.id, s.id]), ' ') as indicators
+from f join d a on a.c = 'athlete' and a.v = f.athlete
+join d m on m.c = 'medal' and m.v is not distinct from f.medal join d s on s.c = 'sport' and s.v = f.sport""",
         "stream_rejected": """select html as value, true as is_utf8 from pages
             union all select chr(65533) || n_name, false from nation""",
     }

@@ -6,13 +6,13 @@ from lakestream.operators.envelope import decode_messages, encode_messages, pars
 from lakestream.operators.quality import (clean_string_columns, coerce_numeric, dedup_rows,
                                           numeric_rows, quarantine_unparsed, require_not_null)
 from lakestream.operators.stats import (distinct_values, group_means, indicator_columns,
-                                        indicator_map, indicator_name, latest_per_key,
-                                        preview, profile, row_count, weighted_means)
+                                        indicator_map, indicator_name, indicator_vectors, latest_per_key,
+                                        preview, profile, row_count, value_dictionary, weighted_means)
 
 __all__ = [
     "clean_string_columns", "coerce_numeric", "decode_messages", "dedup_rows", "distinct_values",
     "drop_shared_columns", "encode_messages", "enrich", "estimate_size", "fits_broadcast",
-    "group_means", "indicator_columns", "hot_keys", "indicator_map", "indicator_name", "latest_per_key",
+    "group_means", "indicator_columns", "hot_keys", "indicator_map", "indicator_name", "indicator_vectors", "latest_per_key",
     "numeric_rows", "parse_json", "preview", "profile", "quarantine_unparsed", "require_not_null",
-    "row_count", "salted_join", "split_hot_join", "to_envelope", "weighted_means",
+    "row_count", "salted_join", "split_hot_join", "to_envelope", "value_dictionary", "weighted_means",
 ]

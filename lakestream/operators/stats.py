@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from lakestream.functions import as_double, run_timestamp
+from lakestream.operators.enrich import enrich
 from lakestream.schemas import MEASURES, STAT_KEYS, TIMESTAMP_COL
+from lakestream.session import scratch_path
 
 
 def group_means(df: DataFrame, keys: Sequence[str] = STAT_KEYS,
@@ -116,6 +118,42 @@ def indicator_map(df: DataFrame, cols: Sequence[str], map_col: str = "indicators
     return df.select(*carried, F.create_map(*entries).alias(map_col))
 
 
+def value_dictionary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``column``, ``value``, ``id``: every distinct pair, numbered 0, 1, 2 ... in the order of column and value (NULL first).
+
+    The pairs are sorted by range and written to the shared scratch folder; each
+    range numbers its own, and one row a range says how many came before. The
+    driver sees none of them.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "dictionary")
+    distinct_values(df, cols).repartitionByRange("column", "value").sortWithinPartitions("column", "value").withColumn(
+        "row", F.monotonically_increasing_id()).write.parquet(path)
+    pairs = spark.read.schema("`column` string, value string, row long").parquet(path).select(
+        "column", "value", F.shiftright("row", 33).alias("range"), F.expr("row & 8589934591").alias("within"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = pairs.groupBy("range").agg(F.count("*").alias("n")).select(
+        "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    return pairs.join(F.broadcast(offsets), "range").select("column", "value", (F.col("within") + F.col("before")).alias("id"))
+
+
+def indicator_vectors(df: DataFrame, cols: Sequence[str], dictionary: DataFrame, vector_col: str = "indicators",
+                      keep: Sequence[str] | None = None) -> DataFrame:
+    """One-hot vectors in sparse form: the ascending dictionary ids of a row's values, for any number of values.
+
+    A value that the dictionary doesn't have has no id. The dictionary is
+    broadcast if it measures small enough; else common values are joined salted.
+    """
+    text = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))  # noqa: E731  a NULL is a value
+    carried = list(df.columns if keep is None else keep)
+    out = df.select(F.struct(*carried).alias("row"), *(text(df[c]).alias(f"key {i}") for i, c in enumerate(cols)))
+    for i, c in enumerate(cols):
+        own = dictionary.where(F.col("column") == c).select(text(F.col("value")).alias(f"key {i}"), F.col("id").alias(f"id {i}"))
+        out = enrich(out, own, f"key {i}", "left", skew="split", drop_shared=False)
+    ids = F.array_sort(F.array_compact(F.array(*(F.col(f"id {i}") for i in range(len(cols))))))
+    return out.select("row.*", ids.alias(vector_col))
+
+
 def profile(df: DataFrame) -> DataFrame:
     """One row per column: name, type, non-NULL count and table row count.
 

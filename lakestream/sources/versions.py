@@ -34,6 +34,44 @@ from pyspark.sql import DataFrame, SparkSession
 _DATA, _VERSIONS, _WRITE = "_data", "_versions", "_write"
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    there = _jpath(spark, path)
+    there.getFileSystem(_conf(spark)).delete(there, True)
+
+
+def get_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is none."""
+    file = _jpath(spark, path)
+    fs = file.getFileSystem(_conf(spark))
+    if not fs.exists(file):
+        return None
+    stream = fs.open(file)
+    try:
+        return spark._jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\\A").next()
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file, whole or not at all; False if the path is taken already, which is left as it is."""
+    folder, _, name = path.rpartition("/")
+    temp, conf = _jpath(spark, f"{folder}/.{name}-{uuid.uuid4().hex}"), _conf(spark)
+    fs = temp.getFileSystem(conf)
+    out = fs.create(temp, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    renames = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    none = spark.sparkContext._gateway.new_array(renames, 0)  # no overwriting
+    try:
+        spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(temp, _jpath(spark, path), none)
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in str(error.java_exception.getClass().getName()):
+            raise
+        fs.delete(temp, False)
+        return False
+
+
 def staged_path(path: str) -> str:
     return f"{path}.staged-{uuid.uuid4().hex[:12]}"
 
@@ -83,7 +121,8 @@ def _conf(spark: SparkSession):
     return spark._jsparkSession.sessionState().newHadoopConf()
 
 
-def _names(spark: SparkSession, folder: str) -> list[str]:
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, ascending; none if it doesn't exist."""
     path = _jpath(spark, folder)
     fs = path.getFileSystem(_conf(spark))
     return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
@@ -91,7 +130,7 @@ def _names(spark: SparkSession, folder: str) -> list[str]:
 
 def version_numbers(spark: SparkSession, path: str) -> list[int]:
     """The committed versions of the table at ``path``, ascending; empty for a plain folder of files."""
-    return [int(n[:-5]) for n in _names(spark, f"{path}/{_VERSIONS}") if n.endswith(".json") and n[:-5].isdigit()]
+    return [int(n[:-5]) for n in file_names(spark, f"{path}/{_VERSIONS}") if n.endswith(".json") and n[:-5].isdigit()]
 
 
 def describe_version(spark: SparkSession, path: str, version: int | None = None) -> TableVersion:
@@ -99,37 +138,10 @@ def describe_version(spark: SparkSession, path: str, version: int | None = None)
     known = version_numbers(spark, path)
     if not known or version is not None and version not in known:
         raise FileNotFoundError(f"{path} has versions {known}" + (f", not {version}" if version is not None else ""))
-    file = _jpath(spark, f"{path}/{_VERSIONS}/{known[-1] if version is None else version:020d}.json")
-    stream = file.getFileSystem(_conf(spark)).open(file)
-    try:
-        text = spark._jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\\A").next()
-    finally:
-        stream.close()
-    m = json.loads(text)
+    m = json.loads(get_text(spark, f"{path}/{_VERSIONS}/{known[-1] if version is None else version:020d}.json"))
     return TableVersion(m["version"], tuple(m["folders"]), m["rows"], m["mode"], m["committed_at"])
 
 
-def _commit(spark: SparkSession, path: str, manifest: TableVersion) -> bool:
-    """Moves the manifest into place; False if that version is already there."""
-    final = f"{path}/{_VERSIONS}/{manifest.version:020d}.json"
-    temp = _jpath(spark, f"{path}/{_VERSIONS}/.{manifest.version}-{uuid.uuid4().hex}")
-    fs = temp.getFileSystem(_conf(spark))
-    out = fs.create(temp, False)
-    out.write(bytearray(json.dumps(vars(manifest)).encode()))
-    out.close()
-    renames = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
-    none = spark.sparkContext._gateway.new_array(renames, 0)  # no overwriting
-    try:
-        spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(temp.toUri() if temp.toUri().getScheme() else fs.getUri(),
-                                                                   _conf(spark)).rename(temp, _jpath(spark, final), none)
-        return True
-    except Py4JJavaError as error:
-        if "FileAlreadyExists" not in str(error.java_exception.getClass().getName()):
-            raise
-        fs.delete(temp, False)
-        return False
-
-
 def write_version(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None,
                   expected: int | None = None) -> TableVersion:
     """Write ``df`` and commit it as the next version: alone (``overwrite``) or with what the last one holds (``append``).
@@ -156,7 +168,7 @@ def write_version(df: DataFrame, path: str, mode: str = "overwrite", partition_b
             raise VersionConflict(f"{path} is at version {last}, not {expected}")
         old = describe_version(spark, path, last) if last and mode == "append" else None
         made = TableVersion(last + 1, (*(old.folders if old else ()), folder), rows + (old.rows if old else 0), mode, time.time())
-        if _commit(spark, path, made):
+        if put_text(spark, f"{path}/{_VERSIONS}/{made.version:020d}.json", json.dumps(vars(made))):
             return made
 
 
@@ -178,7 +190,7 @@ def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     fs = _jpath(spark, path).getFileSystem(_conf(spark))
     for v in gone:
         fs.delete(_jpath(spark, f"{path}/{_VERSIONS}/{v:020d}.json"), False)
-    folders = [f"{_DATA}/{n}" for n in _names(spark, f"{path}/{_DATA}")]
+    folders = [f"{_DATA}/{n}" for n in file_names(spark, f"{path}/{_DATA}")]
     dropped = [f for f in folders if f not in used and kept and int(f.rpartition("=")[2].split("-")[0]) <= kept[0]]
     for f in dropped:
         fs.delete(_jpath(spark, f"{path}/{f}"), True)

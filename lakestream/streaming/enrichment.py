@@ -4,7 +4,9 @@ messages → parse JSON (fixed schema) → join the static dimension (only rows
 whose measures are numeric) → running averages per group (update mode) →
 fan-out of every micro-batch to the sinks.
 
-Scale notes: the running aggregate keeps one state row per group in the
+By default the averages come from sums kept by batch (:mod:`lakestream.streaming.running`),
+so every batch sees the dimension as it is and plans its join anew. Scale notes
+on the form with Spark's own state: the running aggregate keeps one state row per group in the
 state store of its shuffle partition, so state grows with the number of
 groups, not with the number of events; there is no event-time column, so no
 watermark. Each micro-batch aggregates partially before the shuffle, so a hot
@@ -16,20 +18,20 @@ later batches.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakestream.functions import as_double, is_utf8, parse_json_column, run_timestamp, utf8_text
-from lakestream.operators import (drop_shared_columns, enrich, estimate_size, fits_broadcast,
-                                  parse_json)
+from lakestream.functions import as_double, is_utf8, run_timestamp
+from lakestream.operators import drop_shared_columns, enrich, estimate_size, parse_json
 from lakestream.operators.enrich import DEFAULT_MAX_BROADCAST_BYTES
 from lakestream.plans.medallion import enriched_stats, used_dimension_columns
 from lakestream.schemas import ATHLETE_KEY, BATCH_COL, MEASURES, RESULT_EVENT_SCHEMA, STAT_KEYS
 from lakestream.streaming.fanout import BatchFunction, Sink, fan_out, per_batch
+from lakestream.streaming.running import running_means, split_messages
 
 
 def parse_results(messages: DataFrame, schema=RESULT_EVENT_SCHEMA) -> DataFrame:
@@ -82,38 +84,57 @@ def broadcast_guard(batch_fn: BatchFunction, dim: DataFrame, max_bytes: int,
     return run
 
 
-def run_enrichment(messages: DataFrame, bio: DataFrame, sinks: Sequence[Sink], checkpoint: str,
+def run_enrichment(messages: DataFrame, bio: DataFrame | Callable[[int], DataFrame], sinks: Sequence[Sink], checkpoint: str,
                    key: str = ATHLETE_KEY, run_ts=None, digits: int | None = None,
                    broadcast: bool | str = "checked", trigger: str | None = "available_now",
                    finite_only: bool = False, refresh_dimension: bool = True,
                    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                    recheck_every: int | None = 10,
-                   rejected: Sequence[Sink] | None = None) -> StreamingQuery:
+                   rejected: Sequence[Sink] | None = None, state: str | None = None,
+                   compact_every: int = 16) -> StreamingQuery:
     """The whole streaming job; returns the running query (callers may await it).
 
-    ``refresh_dimension=False`` persists the dimension once instead of
-    re-reading it every micro-batch (no freshness, less load on its source).
-    ``broadcast="checked"`` measures the dimension when the query starts;
-    a re-read dimension that was broadcast is measured again every
-    ``recheck_every`` micro-batches (see :func:`broadcast_guard`; None: never).
-    For a dimension that may outgrow the bound pass ``broadcast=False`` from the
-    start: the join is then salted, so a hot key's events meet in several tasks.
-    ``rejected`` are sinks for messages that aren't JSON of the expected shape,
-    written by a query of their own (see :func:`run_rejected`).
+    ``broadcast="checked"``: every micro-batch measures the dimension and joins
+    it as fits, and its sums are kept in the folder ``state`` (beside the
+    checkpoint by default; see :mod:`lakestream.streaming.running`). ``bio`` may
+    then be a function of the batch's number that reads the dimension, such as
+    :func:`lakestream.streaming.running.pinned_versions`, so rows added to
+    files while the stream runs are joined by later batches, and a dimension
+    that outgrows the bound is joined by a shuffle from then on.
+    ``broadcast=True`` or ``False`` keeps the averages in Spark's state store with
+    one plan for all batches: the caller vouches for the dimension's size
+    (measured again every ``recheck_every`` batches, see :func:`broadcast_guard`;
+    None: never), or the join is salted, so a hot key's events meet in several
+    tasks. ``refresh_dimension=False`` persists a dimension that is a DataFrame
+    instead of re-reading it every micro-batch, until the query ends.
+
+    ``rejected`` are sinks for messages that aren't JSON of the expected shape or
+    have broken bytes. Checked streams deliver them from the same pass; the others
+    by a second query, which is the ``rejected`` attribute of the one returned,
+    and which :func:`await_done` awaits too.
     """
-    if rejected:
-        run_rejected(messages, rejected, f"{checkpoint}-rejected", trigger)
-    if not refresh_dimension:
-        bio = bio.persist()
-    used = used_dimension_columns(bio, key)
-    hint = fits_broadcast(used, max_broadcast_bytes) if broadcast == "checked" else bool(broadcast)
-    events = parse_results(messages)
-    stats = enriched_stats(events, bio, key, run_ts=run_ts, digits=digits,
-                           broadcast=hint, finite_only=finite_only)
-    batch_fn = fan_out(*sinks)
-    if hint and refresh_dimension and recheck_every:
-        batch_fn = broadcast_guard(batch_fn, used, max_broadcast_bytes, recheck_every)
-    return start(stats, batch_fn, checkpoint, "update", trigger)
+    if broadcast not in (True, False, "checked"):
+        raise ValueError(f"broadcast must be True, False or 'checked', not {broadcast!r}")
+    kept = None
+    if not refresh_dimension and not callable(bio):
+        bio = kept = bio.persist()
+    if broadcast == "checked":
+        read = bio if callable(bio) else lambda batch_id: bio
+        batch_fn = running_means(state or f"{checkpoint}-state", read, *sinks, rejected=tuple(rejected or ()), key=key,
+                                 run_ts=run_ts, digits=digits, finite_only=finite_only, compact_every=compact_every,
+                                 max_broadcast_bytes=max_broadcast_bytes)
+        query = start(messages, batch_fn, checkpoint, "append", trigger)
+    else:
+        events = parse_results(messages.where(F.coalesce(is_utf8("value"), F.lit(True))))
+        stats = enriched_stats(events, bio, key, run_ts=run_ts, digits=digits, broadcast=broadcast, finite_only=finite_only)
+        batch_fn = fan_out(*sinks)
+        if broadcast and refresh_dimension and recheck_every:
+            batch_fn = broadcast_guard(batch_fn, used_dimension_columns(bio, key), max_broadcast_bytes, recheck_every)
+        query = start(stats, batch_fn, checkpoint, "update", trigger)
+        if rejected:
+            query.rejected = run_rejected(messages, rejected, f"{checkpoint}-rejected", trigger)
+    query.persisted = kept
+    return query
 
 
 def run_rejected(messages: DataFrame, sinks: Sequence[Sink], checkpoint: str,
@@ -124,11 +145,8 @@ def run_rejected(messages: DataFrame, sinks: Sequence[Sink], checkpoint: str,
     is rejected if every field of the parsed value is NULL, or its bytes are
     broken.
     """
-    text = messages.select(utf8_text("key").alias("key"), utf8_text("value").alias("value"),
-                           F.coalesce(is_utf8("value"), F.lit(True)).alias("is_utf8"),
-                           parse_json_column("value", schema).alias("data"))
-    empty = reduce(lambda a, b: a & b, [F.col(f"data.`{f}`").isNull() for f in schema.fieldNames()])
-    return start(text.where(empty | ~F.col("is_utf8")).drop("data"), fan_out(*sinks), checkpoint, "append", trigger)
+    bad = split_messages(messages, schema).where(~F.col("good")).select("key", "value", "is_utf8")
+    return start(bad, fan_out(*sinks), checkpoint, "append", trigger)
 
 
 def batch_means(keys: Sequence[str], measures: Sequence[str] = MEASURES,
@@ -223,7 +241,40 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def await_done(query: StreamingQuery, timeout_s: float | None = None) -> None:
-    """Wait for an ``availableNow`` query to finish; re-raise its failure."""
+    """Wait for an ``availableNow`` query (and the one for its rejected messages) to finish; re-raise its failure."""
+    try:
+        _await_one(query, timeout_s)
+        if getattr(query, "rejected", None) is not None:
+            _await_one(query.rejected, timeout_s)
+    finally:
+        if getattr(query, "persisted", None) is not None and not query.isActive:
+            query.persisted.unpersist()
+
+
+def stop_when_idle(query: StreamingQuery, idle_s: float, poll_s: float = 0.5, timeout_s: float | None = None) -> None:
+    """Stop a continuous query once it has had nothing to do for ``idle_s`` seconds; re-raise its failure.
+
+    Idle: no trigger is active, no data is waiting and no batch has ended since.
+    """
+    begun = quiet_since = time.monotonic()
+    last = None
+    while query.isActive:
+        status, progress = query.status, query.lastProgress
+        batch = progress["batchId"] if progress and progress["numInputRows"] else last
+        if batch != last or status["isDataAvailable"] or status["isTriggerActive"]:
+            last, quiet_since = batch, time.monotonic()
+        if time.monotonic() - quiet_since >= idle_s:
+            query.stop()
+            break
+        if timeout_s is not None and time.monotonic() - begun >= timeout_s:
+            query.stop()
+            raise TimeoutError(f"stream {query.id} wasn't idle for {idle_s}s within {timeout_s}s")
+        time.sleep(poll_s)
+    if query.exception() is not None:
+        raise RuntimeError(f"stream {query.id} failed: {query.exception()}")
+
+
+def _await_one(query: StreamingQuery, timeout_s: float | None) -> None:
     finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
     if finished is False:
         query.stop()

@@ -15,17 +15,20 @@ files) may hold the batch twice. Readers that keep the newest row per key
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark import InheritableThread, StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from lakestream.functions import batch_tag
 from lakestream.operators import estimate_size, to_envelope
-from lakestream.schemas import BATCH_COL
+from lakestream.schemas import BATCH_COL, MESSAGE_SCHEMA
 from lakestream.sources.jdbc import write_jdbc
 from lakestream.sources.kafka import write_topic
 from lakestream.sources.topics import write_messages
+from lakestream.sources.versions import delete_folder, file_names, get_text, put_text
 
 Sink = Callable[[DataFrame, int], None]
 BatchFunction = Callable[[DataFrame, int], None]
@@ -46,6 +49,32 @@ def message_files_sink(path: str, keep_nulls: bool = False) -> Sink:
     return write
 
 
+def committed_files_sink(path: str, keep_nulls: bool = False) -> Sink:
+    """Each batch as JSON messages in a folder of its own, which a commit record names once it is complete.
+
+    A replay finds its batch committed and leaves it; an attempt that failed
+    half-way left a folder that no record names. Read with
+    :func:`read_committed`: every batch is there once.
+    """
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark, record = df.sparkSession, f"{path}/commits/{batch_id}.json"
+        if get_text(spark, record) is not None:
+            return
+        folder = f"batches/{batch_id}-{uuid.uuid4().hex[:12]}"
+        write_messages(to_envelope(df, keep_nulls=keep_nulls), f"{path}/{folder}")
+        if not put_text(spark, record, json.dumps({"batch_id": batch_id, "folder": folder})):
+            delete_folder(spark, f"{path}/{folder}")  # another attempt was first
+    return write
+
+
+def read_committed(spark: SparkSession, path: str) -> DataFrame:
+    """The messages of all committed batches of :func:`committed_files_sink` (the driver lists one name a batch)."""
+    if not file_names(spark, f"{path}/commits"):
+        return spark.createDataFrame([], MESSAGE_SCHEMA)
+    names = [r["folder"] for r in spark.read.schema("folder string").json(f"{path}/commits").collect()]
+    return spark.read.schema(MESSAGE_SCHEMA).parquet(*(f"{path}/{n}" for n in names))
+
+
 def kafka_sink(options: dict[str, str], topic: str, keep_nulls: bool = False) -> Sink:
     """Each row as a JSON message (value only) to a Kafka topic."""
     def write(df: DataFrame, batch_id: int) -> None:
