@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestream.functions import as_double, is_utf8, parse_json_column, run_timestamp, utf8_text
-from lakestream.operators import drop_shared_columns, enrich, numeric_rows, require_not_null
+from lakestream.operators import drop_shared_columns, enrich, fits_broadcast, numeric_rows, require_not_null
 from lakestream.operators.enrich import DEFAULT_MAX_BROADCAST_BYTES
 from lakestream.plans.medallion import NOT_NULL_KEYS, used_dimension_columns
 from lakestream.schemas import ATHLETE_KEY, MEASURES, RESULT_EVENT_SCHEMA, STAT_KEYS, TIMESTAMP_COL
@@ -69,10 +69,18 @@ def _numbers(spark: SparkSession, folder: str) -> list[int]:
 
 def batch_sums(events: DataFrame, dim: DataFrame, key: str, keys: Sequence[str], measures: Sequence[str],
                max_broadcast_bytes: int) -> DataFrame:
-    """``sum_<m>`` and ``n_<m>`` of each group of a batch; only counts per key and group are joined."""
+    """``sum_<m>`` and ``n_<m>`` of each group of a batch.
+
+    A dimension that measures below the bound is broadcast to the events; else
+    they are counted per key and group first, and only the counts are shuffled.
+    """
     events = drop_shared_columns(events, dim, key)
-    counts = events.groupBy(key, *[k for k in keys if k in events.columns]).agg(F.count("*").alias("_events"))
-    joined = enrich(counts, dim, key, "inner", max_broadcast_bytes=max_broadcast_bytes, skew="split", drop_shared=False)
+    if fits_broadcast(dim, max_broadcast_bytes):
+        weighed = events.withColumn("_events", F.lit(1).cast("long"))
+        joined = enrich(weighed, dim, key, "inner", broadcast=True, drop_shared=False)
+    else:
+        counts = events.groupBy(key, *[k for k in keys if k in events.columns]).agg(F.count("*").alias("_events"))
+        joined = enrich(counts, dim, key, "inner", broadcast=False, skew="split", drop_shared=False)
     kept = require_not_null(joined.select(*keys, *measures, "_events"), [k for k in NOT_NULL_KEYS if k in keys])
     sums = []
     for m in measures:
