@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestream.llm._tables import written
+from lakestream.operators.enrich import fits_broadcast
 
 #: Least share of labelled URLs that a combination is in, and least share of those that have the label.
 SUPPORT, CONFIDENCE = 0.01, 0.8
@@ -105,12 +106,14 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_c
     asked = rows.where("listed is null and size(tokens) > 0").select(F.array_sort("tokens").alias("tokens")).distinct()
     if mined is not None:
         rarity = _rarity(mined)
-        index = mined.join(rarity, "tokens")
+        index = _small(written(mined.join(rarity, "tokens"), "index"))
         hits = asked.select(F.col("tokens").alias("own"), F.explode("tokens").alias("token")).join(index, "token")
         hits = hits.where(F.size(F.array_except("tokens", "own")) == 0)
         rank = F.struct("confidence", "support", F.size("tokens").alias("size"), F.col("verdict"), "tokens")
-        best = hits.groupBy("own").agg(F.max(rank).alias("best"))
-        rows = rows.withColumn("own", F.when(F.col("listed").isNull(), F.array_sort("tokens"))).join(best, "own", "left")
+        best = _small(written(hits.groupBy("own").agg(F.max(rank).alias("best")), "best"))
+        # listed rows look nothing up, so they are in no join
+        unlisted = rows.where("listed is null").withColumn("own", F.array_sort("tokens")).join(best, "own", "left").drop("own")
+        rows = rows.where("listed is not null").unionByName(unlisted, allowMissingColumns=True)
     else:
         rows = rows.withColumn("best", F.lit(None).cast("struct<verdict: string, tokens: array<string>>"))
     return rows.select(F.col("id").alias(id_col), "host", "path", F.col("listed.rule").alias("rule"),
@@ -118,6 +121,11 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_c
                        F.when(F.col("listed").isNull(), F.col("best.tokens")).alias("mined"))
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """A written table, broadcast to its joins if it measures small; else they shuffle, and adaptive execution splits hot keys."""
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
 def _rarity(rules: DataFrame) -> DataFrame:
     """The token under which each rule's tokens stand: the one that the fewest rules have, the first of equals."""
     spread = rules.select("tokens", F.explode("tokens").alias("token")).distinct()
