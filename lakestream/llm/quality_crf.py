@@ -3,8 +3,9 @@
 Every line with a word is content or boilerplate. Features of a line are cheap
 counts (length, symbols, capitals, repetition); a linear-chain CRF with two
 states weighs them and the step from one line to the next. It is fitted by
-maximum likelihood on a bounded sample of labelled documents, whose quality
-label stands for all their lines. A text is kept if it passes the base rules
+maximum likelihood on a bounded sample of labelled documents with the states of
+the lines hidden: the quality label of its text is evidence about a line, and so
+is that a line of a rejected text stands in a good one too. A text is kept if it passes the base rules
 and at least ``MIN_CONTENT`` of its words are in content lines.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Results on odd rows: a null, empty or blank
@@ -16,6 +17,7 @@ classes every line counts as content; other input columns aren't carried.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +27,12 @@ from pyspark.sql import functions as F
 from lakestream.llm import _batches as B
 from lakestream.llm._hashing import Prefix, mix
 from lakestream.llm._samples import labelled_sample
+from lakestream.llm._tables import written
 
-#: Bound of the fitted sample: documents of each class, with all their lines; lines of a training sequence.
-PER_CLASS, SEQUENCE = 1500, 64
+#: Bounds of the fitted sample, of each class: documents, and runs of so many of their lines (96 bytes a line).
+PER_CLASS, SEQUENCES, SEQUENCE = 1500, 6000, 64
+#: How likely a line is content by its text's label alone, 0 or 1.
+TRUST = np.array([0.1, 0.98])
 MIN_CONTENT = 0.5
 #: Base rules: fewest words, and the most per cent of words in repeated windows.
 MIN_WORDS, MAX_REPEATED, WINDOW = 10, 20, 5
@@ -55,6 +60,7 @@ class Lines:
     doc: np.ndarray
     words: np.ndarray
     features: np.ndarray
+    hashes: np.ndarray
 
 
 def measure(data: np.ndarray, offsets: np.ndarray) -> Lines:
@@ -62,7 +68,7 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> Lines:
     zeros = np.zeros(n, np.int64)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     if not (~_SPACE[data]).any():
-        return Lines(dict.fromkeys(names, zeros), zeros[:0], zeros[:0], np.zeros((0, len(FEATURES))))
+        return Lines(dict.fromkeys(names, zeros), zeros[:0], zeros[:0], np.zeros((0, len(FEATURES))), np.zeros(0, np.uint64))
     full = np.flatnonzero(np.diff(offsets))
     begins = np.zeros(len(data) + 1, bool)
     begins[offsets[full]] = True
@@ -86,7 +92,8 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> Lines:
     line = np.searchsorted(at, start, "right") - 1
     words = np.bincount(line, minlength=len(at))
     own = np.flatnonzero(words)
-    key = mix(prefix.hash(at[own], to[own]) + mix((to - at)[own].astype(np.uint64) + (of[own].astype(np.uint64) << np.uint64(40))))
+    text = mix(prefix.hash(at[own], to[own]) + mix((to - at)[own].astype(np.uint64)))
+    key = mix(text + mix(of[own].astype(np.uint64)))
     again = np.ones(len(own), bool)
     again[np.unique(key, return_index=True)[1]] = False
 
@@ -126,7 +133,7 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> Lines:
     final[place] = _STOP[data[end - 1]]  # of the words of a line the last one is written last
     features = np.stack([np.ones(len(own)), np.log1p(nw) / 3, np.minimum(size / nw, 40) / 10, symbols(a, b) / size,
                          share(_UPPER), share(_DIGIT), share(_SHOUT), again, by_line(marked), by_line(sticky), final], 1)
-    return Lines(counts, of[own], nw, features)
+    return Lines(counts, of[own], nw, features, text)
 
 
 @dataclass
@@ -169,63 +176,94 @@ class Crf:
 ALL_CONTENT = Crf(np.eye(len(FEATURES))[0], np.zeros((2, 2)))
 
 
-def fit(features: list[np.ndarray], labels: list[int], rounds: int = 600, rate: float = 0.2, l2: float = 1e-6) -> Crf:
-    """Maximum likelihood by gradient ascent (Adam); a sequence's label holds for all its lines."""
-    pieces = [(x[i:i + SEQUENCE], y) for x, y in zip(features, labels) for i in range(0, len(x), SEQUENCE)]
-    if len({y for _, y in pieces}) < 2:
+def _beliefs(score: np.ndarray, steps: np.ndarray, first: np.ndarray, size: np.ndarray, alive: list[int],
+             weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward-backward: each line's probability of content, and the weighted expected count of each step."""
+    fore, after = score.copy(), np.zeros_like(score)
+    for t in range(1, size[0]):
+        at = first[:alive[t]] + t
+        fore[at] += np.logaddexp.reduce(fore[at - 1][:, :, None] + steps, 1)
+    for t in range(size[0] - 1, 0, -1):
+        at = first[:alive[t]] + t
+        after[at - 1] = np.logaddexp.reduce(steps + (score[at] + after[at])[:, None, :], 2)
+    total = np.logaddexp.reduce(fore[first + size - 1], 1)
+    content = np.exp(fore[:, 1] + after[:, 1] - np.repeat(total, size))
+    turn = np.zeros((2, 2))
+    for t in range(1, size[0]):
+        k = alive[t]
+        at = first[:k] + t
+        joint = np.exp(fore[at - 1][:, :, None] + steps + (score[at] + after[at])[:, None, :] - total[:k, None, None])
+        turn += (joint * weight[:k, None, None]).sum(0)
+    return content, turn
+
+
+def fit(features: list[np.ndarray], labels: list[int], hashes: list[np.ndarray] | None = None, rounds: int = 300,
+        rate: float = 0.2, l2: float = 1e-4) -> Crf:
+    """Maximum likelihood of the evidence by gradient ascent (Adam), the states of the lines being hidden.
+
+    A sequence's label is evidence about its lines (``TRUST``), but a line that
+    some good text has too (by ``hashes``) counts as one of a good text. The
+    gradient is the difference of two expectations, one given the evidence and
+    one without it, so steps between the states are learned as well.
+    """
+    if hashes is None:
+        hashes = [np.zeros(len(x)) for x in features]
+        good = np.zeros(0)
+    else:
+        good = np.concatenate([np.zeros(0, np.uint64), *(h for h, y in zip(hashes, labels) if y)])
+    pieces = [(x[i:i + SEQUENCE], y, h[i:i + SEQUENCE])
+              for x, y, h in zip(features, labels, hashes) for i in range(0, len(x), SEQUENCE)]
+    if len({y for _, y, _ in pieces}) < 2:
         return ALL_CONTENT
     pieces.sort(key=lambda p: -len(p[0]))
-    size = np.array([len(x) for x, _ in pieces])
-    flat, y = np.concatenate([x for x, _ in pieces]), np.array([y for _, y in pieces])
+    size = np.array([len(x) for x, _, _ in pieces])
+    flat, y = np.concatenate([x for x, _, _ in pieces]), np.array([y for _, y, _ in pieces])
     first = np.append(0, np.cumsum(size)[:-1])
     alive = [int((size > t).sum()) for t in range(size[0])]
-    gold = np.repeat(y, size)
+    # log odds of content before a line is looked at
+    known = np.isin(np.concatenate([h for _, _, h in pieces]), good)
+    evidence = np.log(TRUST / (1 - TRUST))[np.where(known, 1, np.repeat(y, size))]
     # both classes weigh the same, whatever their share of the sample
     weight = np.where(y == 1, 0.5 / size[y == 1].sum(), 0.5 / size[y == 0].sum())
+    per_line = np.repeat(weight, size)
     params, m, v = np.zeros(flat.shape[1] + 4), 0.0, 0.0
     for step in range(1, rounds + 1):
         w, steps = params[:-4], params[-4:].reshape(2, 2)
-        score = np.stack([np.zeros(len(flat)), flat @ w], 1)
-        fore, after = score.copy(), np.zeros_like(score)
-        for t in range(1, size[0]):
-            at = first[:alive[t]] + t
-            fore[at] += np.logaddexp.reduce(fore[at - 1][:, :, None] + steps, 1)
-        for t in range(size[0] - 1, 0, -1):
-            at = first[:alive[t]] + t
-            after[at - 1] = np.logaddexp.reduce(steps + (score[at] + after[at])[:, None, :], 2)
-        total = np.logaddexp.reduce(fore[first + size - 1], 1)
-        each = np.repeat(total, size)
-        content = np.exp(fore[:, 1] + after[:, 1] - each)
-        slope = flat.T @ ((gold - content) * np.repeat(weight, size))
-        turn = np.zeros((2, 2))
-        for t in range(1, size[0]):
-            k = alive[t]
-            at = first[:k] + t
-            joint = np.exp(fore[at - 1][:, :, None] + steps + (score[at] + after[at])[:, None, :] - total[:k, None, None])
-            turn -= (joint * weight[:k, None, None]).sum(0)
-            turn[0, 0] += (weight[:k] * (y[:k] == 0)).sum()
-            turn[1, 1] += (weight[:k] * (y[:k] == 1)).sum()
-        grad = np.append(slope, turn.ravel()) - l2 * params
+        free = flat @ w
+        told, told_turn, said, said_turn = (x for odds in (free + evidence, free) for x in _beliefs(
+            np.stack([np.zeros(len(flat)), odds], 1), steps, first, size, alive, weight))
+        grad = np.append(flat.T @ ((told - said) * per_line), (told_turn - said_turn).ravel()) - l2 * params
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         params = params + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
     return Crf(params[:-4], params[-4:].reshape(2, 2))
 
 
 def fit_crf(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
-            text_col: str = "text", per_class: int = PER_CLASS) -> Crf:
-    """Fits the model on at most ``per_class`` documents of each label, with all their lines."""
+            text_col: str = "text", per_class: int = PER_CLASS, sequences: int = SEQUENCES) -> Crf:
+    """Fits the model on at most ``sequences`` runs of 64 lines from at most ``per_class`` documents of each label.
+
+    Tasks measure all lines of the sampled documents; which runs of a long text
+    are taken is told by a hash of the text's and the run's place.
+    """
 
     def run(batches):
         for part in B.slices(batches, "text"):
             lines = measure(*B.utf8(B.column(part, "text")))
-            rows = [lines.features[lines.doc == i].astype("<f8") for i in range(part.num_rows)]
-            yield pa.RecordBatch.from_arrays([B.column(part, "label"), pa.array([x.tobytes() for x in rows], pa.binary())],
-                                             names=["label", "lines"])
+            found = [(i, j, *(x[at[j:j + SEQUENCE]].tobytes() for x in (lines.features.astype("<f8"), lines.hashes.astype("<u8"))))
+                     for i in range(part.num_rows) for at in [np.flatnonzero(lines.doc == i)] for j in range(0, len(at), SEQUENCE)]
+            of, place, rows, hashes = zip(*found) if found else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [*(B.column(part, c).take(pa.array(of, pa.int64())) for c in ("label", "hash")), pa.array(place, pa.int64()),
+                 pa.array(rows, pa.binary()), pa.array(hashes, pa.binary())], names=["label", "hash", "place", "lines", "hashes"])
 
     sample = labelled_sample(docs, labels, label_col, per_class, id_col, text_col)
-    got = sample.select("label", "text").mapInArrow(B.task(run), "label int, lines binary").toArrow()
-    rows = sorted((y, x) for y, x in zip(*(got.column(c).to_pylist() for c in ("label", "lines"))) if x)
-    return fit([np.frombuffer(x, "<f8").reshape(-1, len(FEATURES)) for _, x in rows], [y for y, _ in rows])
+    cut = written(sample.select("label", F.xxhash64("id").alias("hash"), "text").mapInArrow(
+        B.task(run), "label int, hash long, place long, lines binary, hashes binary"), "lines")
+    order = [F.xxhash64("hash", "place"), F.col("hash"), F.col("place")]
+    got = reduce(DataFrame.unionAll, [cut.where(F.col("label") == c).orderBy(*order).limit(sequences) for c in (0, 1)]).toArrow()
+    rows = sorted(zip(*(got.column(c).to_pylist() for c in ("label", "lines", "hashes"))))
+    return fit([np.frombuffer(x, "<f8").reshape(-1, len(FEATURES)) for _, x, _ in rows], [y for y, _, _ in rows],
+               [np.frombuffer(h, "<u8") for _, _, h in rows])
 
 
 def quality_rules(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

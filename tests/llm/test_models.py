@@ -21,7 +21,7 @@ from lakestream.llm import url_rules as U  # noqa: E402
 from lakestream.llm._samples import labelled_sample  # noqa: E402
 from lakestream.llm._ship import ship  # noqa: E402
 from lakestream.llm.language_hd import Profiles, fit_profiles, predict_language, space  # noqa: E402
-from lakestream.llm.quality_crf import ALL_CONTENT, Crf, fit, fit_crf, quality_rules  # noqa: E402
+from lakestream.llm.quality_crf import ALL_CONTENT, Crf, _beliefs, fit, fit_crf, measure, quality_rules  # noqa: E402
 from lakestream.llm.toxicity import Ordinal, fit_ordinal, fit_weights, toxicity, without_toxic  # noqa: E402
 
 SMALL, MID = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -171,6 +171,59 @@ def test_quality_is_fitted_on_the_end_of_long_texts(spark):
     assert rows[20]["content_share"] > 0.9
 
 
+def test_boilerplate_lines_are_found_inside_good_texts(spark):
+    """Held-out good and rejected texts, lines of one put between lines of the other."""
+    ship(spark)
+    sf = "/root/testdata/sf0.1"
+    docs, labels = Q.table(spark, sf, "documents"), Q.table(spark, sf, "labels")
+    model = fit_crf(docs, labels.where("doc_id % 2 = 0"))
+    held = docs.join(labels.where("doc_id % 2 = 1"), "doc_id").orderBy("doc_id").select("text", "quality").collect()
+    lines = {q: [x for r in held if r["quality"] == q for x in [[y for y in (r["text"] or "").split("\n") if re.search(r"\w", y)]]
+                 if len(x) >= 3] for q in (0, 1)}
+    known = {x for r in held if r["quality"] == 1 for x in (r["text"] or "").split("\n")}
+    mixed = [good[:k] + bad + good[k:] for good, bad in zip(lines[1], lines[0]) for k in [len(good) // 2]]
+    bad = [[x in set(b) - known for x in m] for m, b in zip(mixed, lines[0])]
+    data = [("\n".join(m)).encode() for m in mixed]
+    got = measure(np.frombuffer(b"".join(data), np.uint8), np.append(0, np.cumsum([len(x) for x in data])))
+    state = model.decode(got.features, got.doc)
+    truth = np.concatenate([np.array(x) for x in bad])
+    assert len(state) == len(truth) and len(mixed) > 100
+    assert np.average(state[~truth], weights=got.words[~truth]) > 0.85  # lines beside a block may go with it
+    assert np.average(state[truth], weights=got.words[truth]) < 0.1
+    share = np.bincount(got.doc, got.words * state) / np.bincount(got.doc, got.words)
+    assert ((share > 0) & (share < 1)).mean() > 0.9
+    # and in the held-out texts as they are: rejected ones that hold some lines of good texts
+    rows = quality_rules(docs.join(labels.where("doc_id % 2 = 1 and quality = 0"), "doc_id"), model)
+    assert rows.where("content_share > 0 and content_share < 1").count() > 50
+
+
+def test_crf_beliefs_equal_sums_over_all_paths():
+    pick = np.random.default_rng(6)
+    size, steps, weight = np.array([6, 4, 4, 1]), pick.normal(size=(2, 2)), np.array([1.0, 0.5, 2.0, 3.0])
+    first, score = np.append(0, np.cumsum(size)[:-1]), np.stack([np.zeros(15), pick.normal(size=15)], 1)
+    content, turn = _beliefs(score, steps, first, size, [int((size > t).sum()) for t in range(6)], weight)
+    want, turns = np.zeros(15), np.zeros((2, 2))
+    for a, n, w in zip(first, size, weight):
+        paths = list(itertools.product((0, 1), repeat=int(n)))
+        value = np.array([np.exp(sum(score[a + i, x] for i, x in enumerate(s)) + sum(steps[p] for p in zip(s, s[1:]))) for s in paths])
+        value /= value.sum()
+        for s, v in zip(paths, value):
+            want[a:a + n] += v * np.array(s)
+            for p in zip(s, s[1:]):
+                turns[p] += w * v
+    assert np.allclose(content, want) and np.allclose(turn, turns)
+
+
+def test_sampled_runs_of_lines_are_bounded(spark):
+    ship(spark)
+    docs = documents(spark, [(i, "\n".join(f"{'# | $' if i % 2 else 'word'} {i} {j} end." for j in range(300))) for i in range(6)])
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(6)], "doc_id long, quality int")
+    for bound in (1, 4, 100):
+        model = fit_crf(docs, labels, sequences=bound)
+        rows = quality_rules(docs, model).collect()
+        assert all((r["content_share"] > 0.9) == (r["doc_id"] % 2 == 0) for r in rows)
+
+
 def test_viterbi_finds_the_best_path():
     pick = np.random.default_rng(2)
     model = Crf(pick.normal(size=3), pick.normal(size=(2, 2)))
