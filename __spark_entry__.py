@@ -22,8 +22,8 @@ from pyspark.sql.types import (IntegerType, StringType, StructField,  # noqa: E4
 
 from lakestream.functions import KEEP_PATTERN, clean_text, parse_json_column, run_timestamp  # noqa: E402
 from lakestream.operators import (clean_string_columns, coerce_numeric, decode_messages,  # noqa: E402
-                                  dedup_rows, distinct_values, enrich, fits_broadcast, group_means,
-                                  indicator_columns, indicator_map, indicator_name, indicator_vectors, latest_per_key, numeric_rows, parse_json,
+                                  dedup_rows, distinct_values, enrich, field_types, fits_broadcast, group_means,
+                                  indicator_columns, indicator_map, indicator_name, indicator_vectors, latest_per_key, numeric_rows, parse_evolving, parse_json,
                                   preview, profile, quarantine_unparsed, row_count, to_envelope, value_dictionary)
 from lakestream.plans import (BIO_TABLE, RESULTS_TABLE, enriched_stats, gold_stats,  # noqa: E402
                               landing_to_bronze, publish_to_files, run_medallion)
@@ -128,6 +128,28 @@ def q_quarantine_json(spark: SparkSession, sf: str) -> DataFrame:
             .unionByName(bad.select("id", "source", F.lit("quarantined").alias("status"), "data.k")))
 
 
+def _changing_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as messages of three payload versions (by id), and raw pages, which are no JSON."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    third = F.struct(F.concat(F.lit("v"), k.cast("string")).alias("k"), F.struct(F.col("user_id").alias("id")).alias("user"))
+    payload = (F.when(F.col("event_id") % 3 == 0, F.col("props"))
+               .when(F.col("event_id") % 3 == 1, F.to_json(F.struct("event_type", k.alias("k"), "user_id")))
+               .otherwise(F.to_json(third)))
+    events = table(spark, sf, "events").select(F.col("event_id").alias("id"), F.lit("events").alias("source"), payload.alias("value"))
+    pages = table(spark, sf, "pages").select(F.col("page_id").alias("id"), F.lit("pages").alias("source"), F.col("html").alias("value"))
+    return events.unionByName(pages)
+
+
+def q_evolving_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Typed fields of a payload that gained, renamed and retyped some; what doesn't fit is kept beside them."""
+    return parse_evolving(_changing_messages(spark, sf), {"k": "int", "user_id": "bigint"}, keep=("id", "source"))
+
+
+def q_payload_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Which fields the messages hold, in which types and how often."""
+    return field_types(_changing_messages(spark, sf), by=("source",))
+
+
 def q_json_envelope(spark: SparkSession, sf: str) -> DataFrame:
     return to_envelope(table(spark, sf, "events"), key="event_id")
 
@@ -488,6 +510,8 @@ def _lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "numeric_coerce": q_numeric_coerce,
         "json_parse": q_json_parse,
         "quarantine_json": q_quarantine_json,
+        "evolving_payloads": q_evolving_payloads,
+        "payload_types": q_payload_types,
         "json_envelope": q_json_envelope,
         "json_roundtrip": q_json_roundtrip,
         "clean_text": q_clean_text,
@@ -664,6 +688,17 @@ select id, source, case when k is null then 'quarantined' else 'parsed' end as s
   union all
   select page_id, 'pages', case when json_valid(html)
     then try_cast(json_extract_string(html, '$.k') as integer) end from pages)""",
+        "evolving_payloads": """
+with e as (select event_id as id, event_id % 3 as version, cast(json_extract_string(props, '$.k') as integer) as k, user_id, event_type from events)
+select id, 'events' as source, case when version < 2 then k end as k, case when version = 1 then user_id end as user_id,
+  case version when 1 then '{"event_type":"' || event_type || '"}' when 2 then '{"user":{"id":' || user_id || '}}' end as unknown,
+  case when version = 2 then '{"k":"v' || k || '"}' end as misfits, cast(null as varchar) as broken from e
+union all select page_id, 'pages', null, null, null, null, html from pages""",
+        "payload_types": """
+with e as (select event_id % 3 as version from events)
+select 'events' as source, field, type, count(*) as messages from e join (values
+  (0, 'k', 'BIGINT'), (1, 'event_type', 'STRING'), (1, 'k', 'BIGINT'), (1, 'user_id', 'BIGINT'),
+  (2, 'k', 'STRING'), (2, 'user', 'OBJECT<id: BIGINT>')) as f(version, field, type) using (version) group by all""",
         "json_envelope": """select cast(event_id as varchar) as "key", to_json(struct_pack(
             event_id := event_id, ts := strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), user_id := user_id,
             event_type := event_type, value := value, props := props)) as value from events""",

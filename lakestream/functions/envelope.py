@@ -53,3 +53,8 @@ def is_utf8(c: Column | str) -> Column:
 def utf8_bytes(c: Column | str) -> Column:
     """Text encoded as UTF-8 bytes (NULL stays NULL)."""
     return F.encode(to_col(c), "UTF-8")
+
+
+def parse_variant(c: Column | str) -> Column:
+    """JSON text (or UTF-8 bytes) as a VARIANT; NULL for text that isn't JSON or has a field twice."""
+    return F.try_parse_json(to_col(c).cast("string"))
