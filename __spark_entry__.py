@@ -30,14 +30,14 @@ from lakestream.plans import (BIO_TABLE, RESULTS_TABLE, enriched_stats, gold_sta
 from lakestream.schemas import (ATHLETE_KEY, BATCH_COL, GOLD_SCHEMA, MEASURES,  # noqa: E402
                                 RESULT_EVENT_SCHEMA, STAT_KEYS)
 from lakestream.session import scratch_path  # noqa: E402
-from lakestream.sources import (files_per_batch, read_layer, read_messages, read_messages_stream,  # noqa: E402
+from lakestream.sources import (files_per_batch, read_csv, read_layer, read_messages, read_messages_stream,  # noqa: E402
                                 write_csv, write_layer)
 from lakestream.sources.athletes import (athlete_inputs, bio_view,  # noqa: E402
                                          skewed_results_view, table)
 from lakestream.sources.files import BRONZE, GOLD  # noqa: E402
 from lakestream.sources.topics import write_messages  # noqa: E402
 from lakestream.sources.versions import write_version  # noqa: E402
-from lakestream.streaming import (await_done, batch_means, combine_batch_means, committed_files_sink, fan_out,  # noqa: E402
+from lakestream.streaming import (adopt_state, await_done, batch_means, combine_batch_means, committed_files_sink, fan_out,  # noqa: E402
                                   joined_batch_means, message_files_sink, parquet_history_sink, parse_results, per_batch,
                                   pinned_versions, read_committed, run_enrichment, run_rejected, start, stop_when_idle)
 
@@ -251,6 +251,27 @@ def q_csv_events(spark: SparkSession, sf: str) -> DataFrame:
     return _csv_roundtrip(spark, sf, "events")
 
 
+def q_csv_observed_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Types found while bronze text is written, one version of a layer made of two writes: landing is read once."""
+    root, source = scratch_path(spark, "csv-observed"), table(spark, sf, "lineitem")
+    for line, mode in ((F.col("l_linenumber") <= 3, "overwrite"), (F.col("l_linenumber") > 3, "append")):
+        landing = f"{root}/landing-{mode}/lineitem.csv"
+        write_csv(source.where(line), landing, exact=True)
+        write_layer(read_csv(spark, landing, infer=False, exact=True), root, BRONZE, "lineitem", mode, versions=True,
+                    observed_types=True)
+    return read_layer(spark, root, BRONZE, "lineitem")
+
+
+def q_medallion_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """The medallion run without an inference pass: bronze text, types observed while it is written."""
+    root = scratch_path(spark, "medallion")
+    results, bio = athlete_inputs(spark, sf)
+    write_csv(bio, f"{root}/landing/{BIO_TABLE}.csv")
+    write_csv(results, f"{root}/landing/{RESULTS_TABLE}.csv")
+    run_medallion(spark, f"{root}/landing", root, run_ts=RUN_TS, digits=DIGITS, observed_types=True)
+    return read_layer(spark, root, GOLD, "avg_stats")
+
+
 def q_parquet_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "overwrite")
     part = table(spark, sf, "part")
@@ -463,6 +484,19 @@ def q_stream_dimension_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     return latest_per_key(spark.read.parquet(history), STAT_KEYS, BATCH_COL).drop(BATCH_COL)
 
 
+def q_stream_rescaled(spark: SparkSession, sf: str) -> DataFrame:
+    """Running averages in Spark's state, moved after half of the events to sums that have no fixed number of partitions."""
+    results, bio = athlete_inputs(spark, sf)
+    path, history, old, new = (scratch_path(spark, n) for n in ("topic-results", "history", "ckpt", "ckpt"))
+    for rest, ckpt, form in ((0, old, False), (1, new, "checked")):
+        publish_to_files(results.where(F.col("result_id") % 2 == rest), path)
+        if rest:
+            adopt_state(spark, old, new)
+        await_done(run_enrichment(read_messages_stream(spark, path), bio, [parquet_history_sink(history)], ckpt, run_ts=RUN_TS,
+                                  digits=DIGITS, broadcast=form))
+    return latest_per_key(spark.read.parquet(history), STAT_KEYS, BATCH_COL).drop(BATCH_COL)
+
+
 def q_committed_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Per-batch averages in a file sink with commit records, every batch delivered twice: the sink holds each once."""
     events = table(spark, sf, "events")
@@ -545,6 +579,9 @@ def _lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "late_dimension": q_late_dimension,
         "stream_rejected": q_stream_rejected,
         "layer_versions": q_layer_versions,
+        "csv_observed_types": q_csv_observed_types,
+        "medallion_observed": q_medallion_observed,
+        "stream_rescaled": q_stream_rescaled,
         "stream_dimension_snapshots": q_stream_dimension_snapshots,
         "committed_batches": q_committed_batches,
         "indicator_vectors": q_indicator_vectors,
@@ -719,10 +756,15 @@ select 'events' as source, field, type, count(*) as messages from e join (values
             s_nationkey, s_acctbal from supplier""",
         "parquet_overwrite": "select * from part",
         "medallion_run": _medallion_sql(),
+        "medallion_observed": _medallion_sql(),
+        "csv_observed_types": """select cast(l_orderkey as integer) as l_orderkey, cast(l_partkey as integer) as l_partkey,
+            cast(l_suppkey as integer) as l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+            l_returnflag, l_linestatus, l_shipdate from lineitem""",
         "decode_messages": 'select cast(event_id as varchar) as "key", * from events',
         "publish_messages": f"""select edition_id, country_id, sport, event, result_id, athlete,
             athlete_id, pos, medal, isTeamSport from ({_FACT})""",
         "stream_enrich": _ENRICH_LEFT,
+        "stream_rescaled": _ENRICH_LEFT,
         "fan_out_messages": _ENRICH_LEFT,
         "stream_events_stats": """select event_type, round(avg(value), 6) as avg_value
             from events group by event_type""",

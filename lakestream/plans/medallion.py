@@ -112,16 +112,20 @@ def enriched_stats(events: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, ru
 def landing_to_bronze(spark: SparkSession, landing_dir: str, root: str,
                       tables: Iterable[str] = LAKE_TABLES,
                       schemas: Mapping[str, object] | None = None,
-                      csv: Mapping[str, object] | None = None, versions: bool = False) -> list[str]:
+                      csv: Mapping[str, object] | None = None, versions: bool = False,
+                      observed_types: bool = False) -> list[str]:
     """Each ``{landing_dir}/{table}.csv`` (header, inferred or given types) → bronze.
 
     ``csv``: keyword arguments of :func:`lakestream.sources.read_csv`; ``versions``
-    as in :func:`lakestream.sources.write_layer`.
+    as in :func:`lakestream.sources.write_layer`. With ``observed_types`` landing is read
+    once: bronze holds the text of tables without a schema, and the types found while it is written.
     """
     paths = []
+    options = {**({"infer": False} if observed_types else {}), **(csv or {})}
     for t in tables:
-        df = read_csv(spark, f"{landing_dir.rstrip('/')}/{t}.csv", schema=(schemas or {}).get(t), **(csv or {}))
-        paths.append(write_layer(df, root, BRONZE, t, versions=versions))
+        schema = (schemas or {}).get(t)
+        df = read_csv(spark, f"{landing_dir.rstrip('/')}/{t}.csv", schema=schema, **options)
+        paths.append(write_layer(df, root, BRONZE, t, versions=versions, observed_types=observed_types and schema is None))
     return paths
 
 
@@ -159,7 +163,7 @@ def run_medallion(spark: SparkSession, landing_dir: str, root: str,
                   broadcast: bool | str = "checked", skew: str = "adaptive", pre_aggregate: bool = False,
                   exclude: Mapping[str, Sequence[str]] | None = None, null_text: str | None = "None",
                   bio_table: str = BIO_TABLE, results_table: str = RESULTS_TABLE,
-                  csv: Mapping[str, object] | None = None, versions: bool = False) -> str:
+                  csv: Mapping[str, object] | None = None, versions: bool = False, observed_types: bool = False) -> str:
     """The three jobs strictly in order; safe to re-run (every layer is replaced once its successor is complete).
 
     With ``versions`` each run makes a version of every layer, and the ones before stay readable.
@@ -167,10 +171,10 @@ def run_medallion(spark: SparkSession, landing_dir: str, root: str,
     ``exclude`` names columns of a table that the cleaner leaves as they are (it
     takes signs and dots out of numbers in text), ``null_text`` is what it makes
     of NULL (None: NULL stays), and ``csv`` has keyword arguments of
-    :func:`lakestream.sources.read_csv`. ``tables`` may list more than the two
+    :func:`lakestream.sources.read_csv`; ``observed_types`` as in :func:`landing_to_bronze`. ``tables`` may list more than the two
     that gold is made of.
     """
-    landing_to_bronze(spark, landing_dir, root, tables, schemas, csv, versions)
+    landing_to_bronze(spark, landing_dir, root, tables, schemas, csv, versions, observed_types)
     bronze_to_silver(spark, root, tables, exclude, null_text, versions)
     return silver_to_gold(spark, root, bio_table, results_table, run_ts=run_ts, digits=digits,
                           broadcast=broadcast, skew=skew, pre_aggregate=pre_aggregate, versions=versions)

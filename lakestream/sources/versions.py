@@ -25,7 +25,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -143,12 +143,13 @@ def describe_version(spark: SparkSession, path: str, version: int | None = None)
 
 
 def write_version(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None,
-                  expected: int | None = None) -> TableVersion:
+                  expected: int | None = None, written: Callable[[str], None] | None = None) -> TableVersion:
     """Write ``df`` and commit it as the next version: alone (``overwrite``) or with what the last one holds (``append``).
 
     With ``expected`` (0: no version yet) the write is committed only onto that
     version, else :class:`VersionConflict` is raised and nothing has changed.
     Without it, a writer that another one has overtaken commits onto that one's version.
+    ``written`` is called with the data folder before it is committed.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be 'overwrite' or 'append', not {mode!r}")
@@ -161,6 +162,8 @@ def write_version(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/{folder}")
+    if written:
+        written(f"{path}/{folder}")
     rows = spark.read.parquet(f"{path}/{folder}").count()  # from the footers
     while True:
         last = (version_numbers(spark, path) or [0])[-1]
