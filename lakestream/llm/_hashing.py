@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_VALUES = np.random.default_rng(20260101).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+def _kind(base: int, seed: int) -> tuple[np.uint64, np.uint64, np.ndarray]:
+    """An odd base, its inverse, and an odd value for each byte."""
+    values = np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return np.uint64(base), np.uint64(pow(base, -1, 1 << 64)), values
+
+
+#: Two independent fingerprints.
+_KINDS = _kind(0x9E3779B97F4A7C15, 20260101), _kind(0xD1342543DE82EF95, 20260102)
 _tables: dict[int, np.ndarray] = {}
 #: Power tables are kept up to this many bytes; those of a longer text are made for it and dropped.
 _KEEP = 4 << 20
@@ -39,13 +45,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Prefix:
-    """Prefix sums of one byte string; ``hash(start, end)`` takes arrays of ends."""
+    """Prefix sums of one byte string; ``hash(start, end)`` takes arrays of ends. ``kind`` 0 or 1: independent of each other."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, kind: int = 0):
         n = len(data)
+        base, inverse, values = _KINDS[kind]
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_VALUES[data] * _powers(_BASE, n), out=self.sums[1:])
-        self.inverse = _powers(_INVERSE, n + 1)
+        np.cumsum(values[data] * _powers(base, n), out=self.sums[1:])
+        self.inverse = _powers(inverse, n + 1)
 
     def hash(self, start, end) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.inverse[start])

@@ -15,6 +15,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def plain_ids(docs: DataFrame, id_col: str) -> bool:
     """Whether ids are integers, none null or repeated."""
     if dict(docs.dtypes)[id_col] not in ("bigint", "int", "smallint", "tinyint"):

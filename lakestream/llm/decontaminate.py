@@ -27,7 +27,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestream.llm._tables import key_of, keyed, near, written
+from lakestream.llm._tables import free_name, key_of, keyed, near, written
 
 SIMILARITY = 0.8
 SHINGLE = 5
@@ -146,5 +146,6 @@ def without_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     """The rows of ``docs`` that hold no item, with all their columns."""
     key = key_of(docs, id_col, text_col)
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), key.alias("key"))
-    found = _found(own, bench, item_col, item_text, threshold).select(F.col("key").alias("found key")).distinct()
-    return docs.join(near(written(found, "leaks"), BROADCAST_ROWS), key == F.col("found key"), "left_anti")
+    found_key = free_name(docs, "found key")
+    found = _found(own, bench, item_col, item_text, threshold).select(F.col("key").alias(found_key)).distinct()
+    return docs.join(near(written(found, "leaks"), BROADCAST_ROWS), key == F.col(f"`{found_key}`"), "left_anti")

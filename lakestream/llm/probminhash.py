@@ -38,7 +38,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from lakestream.llm import _batches as B
 from lakestream.llm._hashing import mix
 from lakestream.llm._shingles import WORDS, bags, shingles, word_hashes
-from lakestream.llm._tables import components, near, plain_ids, written
+from lakestream.llm._tables import components, free_name, near, plain_ids, written
 
 SIMILARITY = 0.8
 #: Registers of a sketch, and those of a band: 24 bands of 5 find all but 7 of 100,000 pairs of similarity 0.8.
@@ -292,11 +292,12 @@ def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Rows of one id with different texts are judged one by one; of rows with the same id and text the least one stays.
     """
     found, key, plain = _classes(docs, id_col, text_col, threshold)
-    gone = written(found.where("key <> first").select(F.col("key").alias("gone key")), "copies")
+    gone_key = free_name(docs, "gone key")
+    gone = written(found.where("key <> first").select(F.col("key").alias(gone_key)), "copies")
     gone = near(gone, BROADCAST_PAIRS)
     if plain:
-        return docs.join(gone, key == F.col("gone key"), "left_anti")
+        return docs.join(gone, key == F.col(f"`{gone_key}`"), "left_anti")
     names = docs.columns
-    kept = docs.where(F.col(id_col).isNotNull()).join(gone, key == F.col("gone key"), "left_anti")
+    kept = docs.where(F.col(id_col).isNotNull()).join(gone, key == F.col(f"`{gone_key}`"), "left_anti")
     one = kept.groupBy(key.alias("row key")).agg(F.min(F.struct(*names)).alias("row"))
     return one.select(*[F.col(f"row.`{c}`").alias(c) for c in names]).union(docs.where(F.col(id_col).isNull()))

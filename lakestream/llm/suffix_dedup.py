@@ -4,8 +4,10 @@ Distributed prefix doubling on a sparse suffix array. Every window of ``WINDOW``
 byte positions has a sampled one (an anchor: the position whose 16-byte
 fingerprint is least), so two equal strings of ``length`` bytes share the anchor
 of their first window. Spark sorts (rank, rank further on, position) rows by
-range and reranks over growing lengths; the rank of a length is the 64-bit
-fingerprint of so many bytes, and sorted neighbours tell whether it is unique:
+range and reranks over growing lengths; the rank of a length is the
+fingerprint of so many bytes, and sorted neighbours tell whether it is unique
+(128 bits decide that something repeats: two ranks of an anchor, two independent
+fingerprints of a string):
 
 1. The rank of the ``length - WINDOW + 1`` bytes from an anchor, which all its
    strings hold: a unique anchor has no repeated string and drops out. Second in
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from lakestream.llm import _batches as B
 from lakestream.llm._hashing import Prefix
-from lakestream.llm._tables import key_of, keyed, written
+from lakestream.llm._tables import free_name, key_of, keyed, written
 
 LENGTH = 400
 #: Positions among which one is sampled, and bytes of the fingerprint that picks it.
@@ -172,7 +174,7 @@ def _judged_anchors(ranked: DataFrame) -> DataFrame:
 
 
 def _strings(docs: DataFrame, length: int, window: int) -> DataFrame:
-    """The rank of every string whose anchor is undecided (``undecided``: a list of each text's)."""
+    """The rank of every string whose anchor is undecided (``undecided``: a list of each text's), and its second fingerprint."""
 
     def run(batches):
         def parts():
@@ -188,11 +190,13 @@ def _strings(docs: DataFrame, length: int, window: int) -> DataFrame:
                     open_[lists[i].values.to_numpy()] = True
                     starts = np.arange(len(own) - length + 1)
                     starts = starts[open_[text.owners(starts)]]
-                    yield text.prefix.hash(starts, starts + length), np.full(len(starts), key), starts
+                    rank = text.prefix.hash(starts, starts + length)
+                    del text
+                    yield rank, Prefix(own, 1).hash(starts, starts + length), np.full(len(starts), key), starts
 
-        yield from _chunks(parts(), ["rank", "key", "at"])
+        yield from _chunks(parts(), ["rank", "proof", "key", "at"])
 
-    return docs.mapInArrow(B.task(run), "rank long, key long, at long")
+    return docs.mapInArrow(B.task(run), "rank long, proof long, key long, at long")
 
 
 #: Kinds of rows of judged strings: repeated; alone at a partition border; a border's sign of more such rows.
@@ -202,8 +206,9 @@ _REPEATED, _ALONE, _SIGN = 0, 1, 2
 def _judged_strings(ranked: DataFrame) -> DataFrame:
     def run(batches):
         sign, run_first = None, True
-        for batch, [(before, after)], first, last in _same_as_next(batches, ["rank"]):
-            rank, same = B.ints(batch, "rank"), before | after
+        for batch, (one, two), first, last in _same_as_next(batches, ["rank", "proof"]):
+            rank, proof = B.ints(batch, "rank"), B.ints(batch, "proof")
+            same = one[0] & two[0] | one[1] & two[1]
             kind = np.where(same, _REPEATED, -1)
             extra = []
             if first:
@@ -211,25 +216,26 @@ def _judged_strings(ranked: DataFrame) -> DataFrame:
                     extra.append(0)
                 else:
                     kind[0] = _ALONE
-                sign = rank[0]
+                sign = rank[0], proof[0]
             if last and not (first and len(rank) == 1):
                 if not same[-1]:
                     kind[-1] = _ALONE
-                elif rank[-1] != sign:
+                elif (rank[-1], proof[-1]) != sign:
                     extra.append(len(rank) - 1)
             at = np.append(np.flatnonzero(kind >= 0), extra).astype(np.int64)
             kinds = np.append(kind[kind >= 0], np.full(len(extra), _SIGN)).astype(np.int32)
             rows = batch.take(pa.array(at))
-            yield pa.RecordBatch.from_arrays(
-                [B.column(rows, "key"), B.column(rows, "at"), pa.array(np.where(kinds == _REPEATED, 0, B.ints(rows, "rank"))),
-                 pa.array(kinds)], names=["key", "at", "rank", "kind"])
+            rank, proof = (pa.array(np.where(kinds == _REPEATED, 0, B.ints(rows, c))) for c in ("rank", "proof"))
+            yield pa.RecordBatch.from_arrays([B.column(rows, "key"), B.column(rows, "at"), rank, proof, pa.array(kinds)],
+                                             names=["key", "at", "rank", "proof", "kind"])
 
-    judged = written(ranked.repartitionByRange("rank", "key", "at").sortWithinPartitions("rank", "key", "at").mapInArrow(
-        B.task(run), "key long, at long, rank long, kind int"), "strings")
+    order = "rank", "proof", "key", "at"
+    judged = written(ranked.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+        B.task(run), "key long, at long, rank long, proof long, kind int"), "strings")
     border = judged.where(F.col("kind") > 0)
-    twice = border.groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank")
+    twice = border.groupBy("rank", "proof").agg(F.count("*").alias("n")).where("n > 1").select("rank", "proof")
     return judged.where(F.col("kind") == _REPEATED).select("key", "at").union(
-        border.where(F.col("kind") == _ALONE).join(twice, "rank", "left_semi").select("key", "at"))
+        border.where(F.col("kind") == _ALONE).join(twice, ["rank", "proof"], "left_semi").select("key", "at"))
 
 
 def covered(n: int, wholes: pa.Scalar, starts: pa.Scalar, length: int, window: int) -> np.ndarray:
@@ -333,15 +339,16 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     key = key_of(docs, id_col, text_col)
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), key.alias("key"))
-    spans = written(_spans(own, length, window), "spans").toDF("span key", "span wholes", "span starts")
-    cut = docs.join(spans, key == F.col("span key"), "left").drop("span key")
+    span_key, span_wholes, span_starts = (free_name(docs, f"span {c}") for c in ("key", "wholes", "starts"))
+    spans = written(_spans(own, length, window), "spans").toDF(span_key, span_wholes, span_starts)
+    cut = docs.join(spans, key == spans[span_key], "left").drop(span_key)
     names = docs.columns
     at = names.index(text_col)
 
     def run(batches):
         for part in B.slices(batches, text_col):
             texts, keep = B.column(part, text_col).to_pylist(), []
-            wholes, starts = B.column(part, "span wholes"), B.column(part, "span starts")
+            wholes, starts = B.column(part, span_wholes), B.column(part, span_starts)
             for i, text in enumerate(texts):
                 if wholes[i].is_valid:
                     data = np.frombuffer(text.encode(), np.uint8)

@@ -13,16 +13,18 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 from helpers import ODD, documents, long_text  # noqa: E402
 
 from lakestream.llm import queries as Q  # noqa: E402
+from lakestream.llm._hashing import Prefix  # noqa: E402
 from lakestream.llm._ship import ship  # noqa: E402
 from lakestream.llm._tables import components  # noqa: E402
 from lakestream.llm.decontaminate import benchmark_leaks, without_leaks  # noqa: E402
 from lakestream.llm.probminhash import kept_documents, near_duplicates, similarity, sketches  # noqa: E402
-from lakestream.llm.suffix_dedup import remove_repeats, without_repeats  # noqa: E402
+from lakestream.llm.suffix_dedup import _judged_strings, remove_repeats, without_repeats  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -234,6 +236,50 @@ def test_repeats_odd_rows(spark):
     assert remove_repeats(docs.limit(0)).count() == 0 and without_repeats(docs.limit(0)).count() == 0
 
 
+def test_equal_ranks_of_different_strings(spark):
+    """A string repeats if both of its fingerprints do, also across partition borders."""
+    ship(spark)
+    pick = random.Random(5)
+    rows = [(pick.randrange(-4, 4), pick.randrange(3), k, k * 7) for k in range(60)] + [(9, p, 100 + p, 0) for p in range(40)]
+    rows += [(11, 5, 200 + k, k) for k in range(30)]
+    old = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for parts in (1, 3, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            df = spark.createDataFrame(rows, "rank long, proof long, key long, at long")
+            got = sorted((r["key"], r["at"]) for r in _judged_strings(df).collect())
+            often = Counter(r[:2] for r in rows)
+            assert got == sorted(r[2:] for r in rows if often[r[:2]] > 1)
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def test_the_second_fingerprint_is_another_one():
+    data = np.frombuffer(long_text(200, 3).encode(), np.uint8)
+    one, two = (Prefix(data, k).hash(np.arange(300), np.arange(300) + 400) for k in (0, 1))
+    assert len(np.unique(one)) == len(np.unique(two)) == 300 and not np.isin(one, two).any()
+    again = np.concatenate([data, data])
+    for kind in (0, 1):
+        both = Prefix(again, kind)
+        at = np.array([7, 7 + len(data)])
+        assert len(set(both.hash(at, at + 400).tolist())) == 1
+
+
+def test_columns_with_the_names_of_helpers(spark):
+    ship(spark)
+    extra = {n: F.lit(k) for k, n in enumerate(["span key", "Span Wholes", "found key", "gone key", "key"])}
+    docs = documents(spark, [(1, long_text(200, 1)), (2, long_text(200, 1)), (3, "short")]).withColumns(extra)
+    rest = without_repeats(docs)
+    assert rest.columns == docs.columns and [r["doc_id"] for r in rest.collect()] == [3]
+    bench = spark.createDataFrame([(1, "nothing of this kind stands in any of the texts")], "item_id long, text string")
+    left = without_leaks(docs, bench)
+    assert left.columns == docs.columns and left.count() == 3
+    kept = kept_documents(docs)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
 # --- benchmark leaks ---------------------------------------------------------
 def words(text):
     return regex.findall(r"[\p{L}\p{N}]+", (text or "").lower())
