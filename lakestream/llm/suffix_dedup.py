@@ -275,7 +275,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def _spans(docs: DataFrame, length: int, window: int) -> DataFrame:
     """For each ``key`` that has repeats: anchors all of whose strings repeat (``wholes``), and single ``starts``."""
-    anchors = written(_judged_anchors(_anchors(docs.select("key", "text"), length, window)), "anchors")
+    # written first: a sort by range reads its input twice
+    ranks = written(_anchors(docs.select("key", "text"), length, window), "ranks")
+    anchors = written(_judged_anchors(ranks), "anchors")
     undecided = anchors.where("ranked")
     lists = undecided.groupBy("key").agg(F.collect_set("at").alias("undecided"))
     # a list is no longer than its text has anchors, so their number bounds what is broadcast
