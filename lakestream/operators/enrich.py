@@ -85,17 +85,26 @@ def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES)
 def hot_keys(facts: DataFrame, key: str | Sequence[str], share: float = 0.01) -> DataFrame:
     """Keys holding at least ``share`` of all facts: at most ``1 / share`` rows, from one pass over the facts."""
     keys = _keys(key)
+    count, whole = (_free_name(n, facts) for n in ("_n", "_all"))
     counts = facts.select(*keys).groupingSets([[F.col(k) for k in keys], []], *keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_all"))
+        F.count(F.lit(1)).alias(count), F.grouping_id().alias(whole))
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     # the row of all facts comes first; a key of so large a share is among the next 1 / share
-    top = counts.where((F.col("_all") > 0) | known).orderBy(F.desc("_n"), F.desc("_all")).limit(
+    top = counts.where((F.col(whole) > 0) | known).orderBy(F.desc(count), F.desc(whole)).limit(
         math.floor(1 / share) + 1).collect()
-    least = math.ceil(top[0]["_n"] * share) if top else 0
-    rows = [tuple(r[k] for k in keys) for r in top[1:] if r["_n"] >= least]
+    least = math.ceil(top[0][count] * share) if top else 0
+    rows = [tuple(r[k] for k in keys) for r in top[1:] if r[count] >= least]
     return facts.sparkSession.createDataFrame(rows, facts.select(*keys).schema)
 
 
+def _free_name(name: str, *dfs: DataFrame) -> str:
+    """``name``, or one like it that no column of the frames has."""
+    taken = {c.lower() for df in dfs for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def salted_join(facts: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str = "inner",
                 salts: int = 16, hot: DataFrame | None = None) -> DataFrame:
     """A shuffle join in which a key's facts meet in ``salts`` tasks instead of one.
@@ -110,16 +119,17 @@ def salted_join(facts: DataFrame, dim: DataFrame, key: str | Sequence[str], how:
     rest = [c for c in facts.columns if c not in keys]
     salt = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int") if rest else F.lit(0)
     every = F.sequence(F.lit(0), F.lit(salts - 1))
+    salted, is_hot = (_free_name(n, facts, dim) for n in ("_salt", "_hot"))
     if hot is None:
-        left, right = facts.withColumn("_salt", salt), dim.withColumn("_salt", F.explode(every))
+        left, right = facts.withColumn(salted, salt), dim.withColumn(salted, F.explode(every))
     else:
-        marked = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
+        marked = F.broadcast(hot.select(*keys, F.lit(True).alias(is_hot)))
         null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
         left = facts.join(marked, keys, "left").withColumn(
-            "_salt", F.when(F.col("_hot") | null, salt).otherwise(0)).drop("_hot")
+            salted, F.when(F.col(is_hot) | null, salt).otherwise(0)).drop(is_hot)
         right = dim.join(marked, keys, "left").withColumn(
-            "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))).drop("_hot")
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+            salted, F.explode(F.when(F.col(is_hot), every).otherwise(F.array(F.lit(0))))).drop(is_hot)
+    return left.join(right, [*keys, salted], how).drop(salted)
 
 
 def split_hot_join(facts: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str = "inner",

@@ -96,6 +96,15 @@ def test_salted_joins_equal_plain_ones(spark, how):
     assert hot_keys(facts.limit(0), "k").isEmpty()
 
 
+def test_salted_joins_keep_columns_named_like_their_helpers(spark):
+    facts = spark.range(300).select((F.col("id") % 4).alias("k"), F.col("id").alias("_salt"), F.lit("a").alias("_n"))
+    dim = spark.range(3).select(F.col("id").alias("k"), (F.col("id") + 7).alias("_Hot"), F.lit(1).alias("_all"))
+    plain = facts.join(dim, "k")
+    for joined in (salted_join(facts, dim, "k"), salted_join(facts, dim, "k", "inner", 4, hot_keys(facts, "k", 0.05))):
+        assert joined.columns == plain.columns
+        assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+
+
 def test_stream_without_a_broadcast_is_salted(spark, scratch):
     path = scratch("topic")
     write_messages(spark.createDataFrame([("1",)] * 9, "value string"), path)
