@@ -40,6 +40,16 @@ def parse_json_column(c: Column | str, schema: StructType | str) -> Column:
     return F.from_json(to_col(c).cast("string"), schema)
 
 
+def parsed_once(c: Column | str, schema: StructType | str) -> Column:
+    """:func:`parse_json_column` as a generator of one row, for a ``select``.
+
+    Conditions on fields, and those that Spark infers from joins, stay above a
+    generator. Above a plain column they are pushed below it, with the text
+    parsed anew for each field that they name.
+    """
+    return F.explode_outer(F.array(parse_json_column(c, schema)))
+
+
 def utf8_text(c: Column | str) -> Column:
     """Bytes decoded as UTF-8 text (NULL stays NULL); broken sequences become U+FFFD instead of failing the job."""
     return F.make_valid_utf8(to_col(c).cast("string"))

@@ -12,7 +12,8 @@ Join strategy, in order:
    the dimension is small, and splits oversized (skewed) partitions of the
    facts. ``skew="split"`` instead finds the hot keys up front, in one pass,
    and spreads their facts over several tasks by a salt. Streams, where
-   adaptive execution doesn't run, are always salted.
+   adaptive execution doesn't run, are always salted, on hot keys if they are
+   known.
 """
 
 from __future__ import annotations
@@ -112,12 +113,13 @@ def salted_join(facts: DataFrame, dim: DataFrame, key: str | Sequence[str], how:
     Each fact gets a salt by a hash of its other columns, and the dimension one
     row for each salt. ``hot`` (from :func:`hot_keys`) restricts that to those
     keys, so the rest of the dimension isn't multiplied; without it every key is
-    salted, as in streams, whose keys can't be counted. Facts with a NULL key
+    salted, as in streams whose keys weren't counted. Facts with a NULL key
     match nothing and are spread likewise. The facts are read once.
     """
     keys = _keys(key)
     rest = [c for c in facts.columns if c not in keys]
-    salt = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int") if rest else F.lit(0)
+    # not nullable, or a filter would compute it from all columns once more
+    salt = F.coalesce(F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int"), F.lit(0)) if rest else F.lit(0)
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     salted, is_hot = (_free_name(n, facts, dim) for n in ("_salt", "_hot"))
     if hot is None:
@@ -146,7 +148,8 @@ def enrich(facts: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str
            broadcast: bool | str = "checked",
            max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
            skew: str = "adaptive", hot_key_share: float = 0.01,
-           drop_shared: bool = True, keep: str = "dimension", salts: int = 16) -> DataFrame:
+           drop_shared: bool = True, keep: str = "dimension", salts: int = 16,
+           hot: DataFrame | None = None) -> DataFrame:
     """Join facts to a dimension on ``key`` (USING semantics, one key column).
 
     ``drop_shared`` removes a non-key column that both sides have from one of
@@ -159,7 +162,9 @@ def enrich(facts: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str
     Either side may be a stream. A streaming dimension can't be measured or
     broadcast: the static facts are, in an inner join, if they are small
     enough. Adaptive execution doesn't run in streams, so a stream that is
-    joined without a broadcast is salted.
+    joined without a broadcast is salted: on the keys ``hot`` (see
+    :func:`hot_keys`) if the caller knows them, else on every key, with
+    ``salts`` copies of the dimension in each batch.
     """
     keys = _keys(key)
     if broadcast not in (True, False, "checked"):
@@ -183,5 +188,5 @@ def enrich(facts: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str
     if skew == "split" and how.lower() in {"inner", "left", "left_outer", "leftouter"}:
         return split_hot_join(facts, dim, keys, how, hot_key_share, salts)
     if facts.isStreaming and not dim.isStreaming and how.lower() in {"inner", "left", "left_outer", "leftouter"}:
-        return salted_join(facts, dim, keys, how, salts)
+        return salted_join(facts, dim, keys, how, salts, hot)
     return facts.join(dim, keys, how)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakestream.functions import json_envelope, parse_json_column, parse_variant, utf8_text
+from lakestream.functions import json_envelope, parse_variant, parsed_once, utf8_text
 
 
 def to_envelope(df: DataFrame, keep_nulls: bool = False, key: str | None = None) -> DataFrame:
@@ -28,7 +28,7 @@ def parse_json(df: DataFrame, schema: StructType, value_col: str = "value",
 
     ``keep`` lists envelope columns (e.g. ``key``) to carry along.
     """
-    parsed = parse_json_column(df[value_col], schema).alias("data")
+    parsed = parsed_once(df[value_col], schema).alias("data")
     return df.select(*[df[k] for k in keep], parsed).select(*keep, "data.*")
 
 

@@ -91,20 +91,21 @@ def _pre_aggregated_means(facts: DataFrame, dim: DataFrame, key: str, how: str,
 
 def enriched_stats(events: DataFrame, bio: DataFrame, key: str = ATHLETE_KEY, run_ts=None,
                    digits: int | None = None, broadcast: bool | str = "checked",
-                   finite_only: bool = False, pre_aggregate: bool = False) -> DataFrame:
+                   finite_only: bool = False, pre_aggregate: bool = False, hot: DataFrame | None = None) -> DataFrame:
     """The stream's statistic, usable on a batch or a streaming ``events`` frame.
 
     Dimension rows need *both* measures numeric; events are left-joined to
     them and rows without sex, country or sport are dropped (which makes the
     join an inner one), then averaged per group. ``pre_aggregate`` counts batch
     events per key and group before the join, as in :func:`gold_stats`; a stream
-    always joins events (one stateful aggregation per query in update mode).
+    always joins events (one stateful aggregation per query in update mode); ``hot``
+    are its keys to be salted, as in :func:`lakestream.operators.enrich`.
     """
     dim = numeric_rows(bio, MEASURES, finite_only=finite_only)
     hint = _hint(used_dimension_columns(dim, key), broadcast)
     if _eager(events, dim, pre_aggregate):
         return _pre_aggregated_means(events, dim, key, "left", run_ts, digits, hint, "adaptive")
-    joined = enrich(events, dim, key, "left", broadcast=hint)
+    joined = enrich(events, dim, key, "left", broadcast=hint, hot=hot)
     kept = require_not_null(joined.select(*STAT_KEYS, *MEASURES), NOT_NULL_KEYS)
     return group_means(kept, STAT_KEYS, MEASURES, run_ts=run_ts, digits=digits)
 

@@ -91,7 +91,7 @@ def run_enrichment(messages: DataFrame, bio: DataFrame | Callable[[int], DataFra
                    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                    recheck_every: int | None = 10,
                    rejected: Sequence[Sink] | None = None, state: str | None = None,
-                   compact_every: int = 16) -> StreamingQuery:
+                   compact_every: int = 16, hot: DataFrame | None = None) -> StreamingQuery:
     """The whole streaming job; returns the running query (callers may await it).
 
     ``broadcast="checked"``: every micro-batch measures the dimension and joins
@@ -105,7 +105,9 @@ def run_enrichment(messages: DataFrame, bio: DataFrame | Callable[[int], DataFra
     one plan for all batches: the caller vouches for the dimension's size
     (measured again every ``recheck_every`` batches, see :func:`broadcast_guard`;
     None: never), or the join is salted, so a hot key's events meet in several
-    tasks. ``refresh_dimension=False`` persists a dimension that is a DataFrame
+    tasks. With ``hot`` (a static frame of keys, such as those of a backlog by
+    :func:`lakestream.operators.hot_keys`) only those are salted, and no batch
+    shuffles the rest of the dimension more than once. ``refresh_dimension=False`` persists a dimension that is a DataFrame
     instead of re-reading it every micro-batch, until the query ends.
 
     ``rejected`` are sinks for messages that aren't JSON of the expected shape or
@@ -126,7 +128,7 @@ def run_enrichment(messages: DataFrame, bio: DataFrame | Callable[[int], DataFra
         query = start(messages, batch_fn, checkpoint, "append", trigger)
     else:
         events = parse_results(messages.where(F.coalesce(is_utf8("value"), F.lit(True))))
-        stats = enriched_stats(events, bio, key, run_ts=run_ts, digits=digits, broadcast=broadcast, finite_only=finite_only)
+        stats = enriched_stats(events, bio, key, run_ts=run_ts, digits=digits, broadcast=broadcast, finite_only=finite_only, hot=hot)
         batch_fn = fan_out(*sinks)
         if broadcast and refresh_dimension and recheck_every:
             batch_fn = broadcast_guard(batch_fn, used_dimension_columns(bio, key), max_broadcast_bytes, recheck_every)

@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestream.functions import as_double, is_utf8, parse_json_column, run_timestamp, utf8_text
+from lakestream.functions import as_double, is_utf8, parsed_once, run_timestamp, utf8_text
 from lakestream.operators import drop_shared_columns, enrich, fits_broadcast, numeric_rows, require_not_null
 from lakestream.operators.enrich import DEFAULT_MAX_BROADCAST_BYTES
 from lakestream.plans.medallion import NOT_NULL_KEYS, used_dimension_columns
@@ -58,7 +58,7 @@ def split_messages(messages: DataFrame, schema=RESULT_EVENT_SCHEMA) -> DataFrame
     """
     parsed = messages.select(utf8_text("key").alias("key"), utf8_text("value").alias("value"),
                              F.coalesce(is_utf8("value"), F.lit(True)).alias("is_utf8"),
-                             parse_json_column("value", schema).alias("data"))
+                             parsed_once("value", schema).alias("data"))
     some = reduce(lambda a, b: a | b, [F.col(f"data.`{f}`").isNotNull() for f in schema.fieldNames()])
     return parsed.withColumn("good", some & F.col("is_utf8"))
 
