@@ -31,10 +31,12 @@ from lakestream.sources.versions import get_text, put_text
 #: Narrowest first; a type's bit is its place.
 TYPES = ("int", "bigint", "decimal(38,0)", "double", "date", "timestamp", "boolean")
 _FILE = "_types.json"
-_WHOLE = r"^[+-]?[0-9]+$"
-_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$|^NaN$|^[+-]?Inf(inity)?$"
-_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-_TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?(Z|[+-][0-9]{2}:[0-9]{2})?$"
+_WHOLE = r"^[+-]?[0-9]++$"
+_NUMBER = r"^[+-]?(?:[0-9]++[.]?[0-9]*+|[.][0-9]++)(?:[eE][+-]?[0-9]++)?$"
+_WORD = r"^NaN$|^[+-]?Inf(inity)?$"
+_D = "[0-9]"
+_DATE = f"^{_D * 4}-{_D * 2}-{_D * 2}$"
+_TIMESTAMP = f"^{_D * 4}-{_D * 2}-{_D * 2}[T ]{_D * 2}:{_D * 2}:{_D * 2}(?:[.][0-9]{{1,6}}+)?(?:Z|[+-]{_D * 2}:{_D * 2})?$"
 
 
 def _bits(*names: str) -> F.Column:
@@ -42,16 +44,35 @@ def _bits(*names: str) -> F.Column:
 
 
 def fitting_types(value: F.Column) -> F.Column:
-    """The bits of the types that a text fits; NULL for NULL."""
-    whole, fits = value.rlike(_WHOLE), lambda name: value.try_cast(name).isNotNull()
+    """The bits of the types that a text fits; NULL for NULL.
+
+    Lengths and a few bytes tell first which patterns and casts are worth a try
+    (a failing cast costs an exception), so a value takes one or two of them.
+    """
+    size, fits = F.octet_length(value), lambda name: value.try_cast(name).isNotNull()
+    signed = (value >= "+") & (value < ":")  # begins with a digit, a sign or one of , . /
+    days = (F.substring(value, 5, 1) == "-") & (F.substring(value, 8, 1) == "-")  # no number has both
+    long = value.try_cast("bigint")
+    wide = _bits("int", "bigint", "decimal(38,0)", "double")
+    # the patterns' $ allows a line end of up to three bytes
+    words = (F.when((size < 3) | (size > 12), F.lit(0))
+             .when(value.rlike(_WORD), _bits("double"))
+             .when(F.lower(value).isin("true", "false"), _bits("boolean"))
+             .otherwise(F.lit(0)))
+    dated = (F.when((size < 14) & value.rlike(_DATE) & fits("date"), _bits("date", "timestamp"))
+             .when((size > 14) & value.rlike(_TIMESTAMP) & fits("timestamp"), _bits("timestamp"))
+             .otherwise(F.lit(0)))
+    whole = (F.when((size < 10) & fits("int"), wide)
+             .when(long.between(-(1 << 31), (1 << 31) - 1), wide)
+             .when(long.isNotNull(), _bits("bigint", "decimal(38,0)", "double"))
+             .when(fits("decimal(38,0)"), _bits("decimal(38,0)", "double"))
+             .otherwise(_bits("double")))
     return (F.when(value.isNull(), F.lit(None).cast("int"))
-            .when(whole & fits("int"), _bits("int", "bigint", "decimal(38,0)", "double"))
-            .when(whole & fits("bigint"), _bits("bigint", "decimal(38,0)", "double"))
-            .when(whole & fits("decimal(38,0)"), _bits("decimal(38,0)", "double"))
+            .when(~signed, words)
+            .when(days, dated)
+            .when(~F.contains(value, F.lit(".")) & value.rlike(_WHOLE), whole)
             .when(value.rlike(_NUMBER), _bits("double"))
-            .when(value.rlike(_DATE) & fits("date"), _bits("date", "timestamp"))
-            .when(value.rlike(_TIMESTAMP) & fits("timestamp"), _bits("timestamp"))
-            .when(F.lower(value).isin("true", "false"), _bits("boolean"))
+            .when(value.rlike(_WORD), _bits("double"))
             .otherwise(F.lit(0)))
 
 
@@ -65,9 +86,15 @@ def observe_types(df: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int
     names = [n for n, t in df.dtypes if t == "string"]
     if not names:
         return df, dict
-    seen = Observation()
-    observed = df.observe(seen, *[F.bit_and(fitting_types(df[f"`{n}`"])).alias(f"c{i}") for i, n in enumerate(names)])
-    return observed, lambda: {n: seen.get[f"c{i}"] for i, n in enumerate(names)}
+    seen, bits = Observation(), "bits"
+    while bits in {c.lower() for c in df.columns}:
+        bits += "_"
+    # found once a value, by one expression for all columns: bit_and would find a column's twice for each row,
+    # and code made for each column grows beyond what the JVM compiles
+    texts = F.array(*[df[f"`{n}`"] for n in names])
+    observed = df.withColumn(bits, F.transform(texts, fitting_types)).observe(
+        seen, *[F.bit_and(F.get(bits, F.lit(i))).alias(f"c{i}") for i in range(len(names))])
+    return observed.drop(bits), lambda: {n: seen.get[f"c{i}"] for i, n in enumerate(names)}
 
 
 def put_types(spark: SparkSession, folder: str, bits: dict[str, int | None]) -> None:

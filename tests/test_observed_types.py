@@ -95,3 +95,26 @@ def test_odd_tables(spark, scratch):
     write_layer(spark.createDataFrame([("7",)], "a string"), root, "bronze", "empty")  # replaced by a plain one
     assert read_layer(spark, root, "bronze", "empty").dtypes == [("a", "string")]
     assert known_types(spark, [layer_path(root, "bronze", "empty")]) == {}
+
+
+def test_one_expression_observes_all_columns(spark):
+    """Patterns for each column, and twice in each bit_and, were more code than the JVM compiles."""
+    from conftest import plan_text
+    from lakestream.sources.types import observe_types
+    many = spark.createDataFrame([tuple("123456789")], [*"abcdefgh", "bits"])
+    df, found = observe_types(many)
+    assert plan_text(df).count("RLIKE") < 10 and df.columns == many.columns
+    df.write.format("noop").mode("overwrite").save()
+    assert {type_of(b) for b in found().values()} == {"int"} and len(found()) == 9
+
+
+def test_values_near_the_bounds_of_cheap_checks(spark):
+    cases = {"int": ["000000000000000000000000000007", "-2147483648", "12\n"], "bigint": ["-2147483649", "999999999999"],
+             "decimal(38,0)": ["9" * 38, "-9223372036854775809"],
+             "double": ["9" * 39, "123e-5", "1.5e-3", "5.", "+Infinity\n", "NaN\r\n", "-1.5"],
+             "date": ["2024-02-29", "2024-01-31\n"], "timestamp": ["2024-02-01T00:00:00+02:00", "2024-01-31 10:00:00.5"],
+             "boolean": ["TRUE", "false"],
+             "string": ["1-2", "12-3-45-6", "2024-02-30", "2024-02-01 25:00:00", "N", "t", "-", "+", ".", "/", ",", "1d", "x" * 50, "NaN ", "1e"]}
+    df = spark.createDataFrame([(t, v) for t, vs in cases.items() for v in vs], "t string, v string")
+    found = [(r.t, r.v, type_of(r.bits)) for r in df.select("t", "v", fitting_types(F.col("v")).alias("bits")).collect()]
+    assert [f for f in found if f[0] != f[2]] == []
