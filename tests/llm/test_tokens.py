@@ -19,7 +19,7 @@ from helpers import ODD, documents, long_text  # noqa: E402
 from lakestream.llm import queries as Q  # noqa: E402
 from lakestream.llm._ranks import encoding  # noqa: E402
 from lakestream.llm._ship import ship  # noqa: E402
-from lakestream.llm.bpe import bpe_decode, bpe_encode, encoder  # noqa: E402
+from lakestream.llm.bpe import CACHE_CHARS, bpe_decode, bpe_encode, encoder  # noqa: E402
 from lakestream.llm.packing import best_fit_decreasing, pack_tokens  # noqa: E402
 from lakestream.llm.token_counts import CountedText, apply_edits, is_cut, split, token_trees  # noqa: E402
 
@@ -53,6 +53,50 @@ def test_bpe_words_that_fail_the_check_are_merged(library):
     assert bpe.encode_words(words) == [library.encode(w, add_special_tokens=False).ids for w in words]
 
 
+def test_bpe_words_of_a_batch_are_encoded_together(library):
+    """Python's calls depend on the longest word's merges, not on how many words there are."""
+    bpe = encoder(Q.WORD_BPE).bpe
+    parts = ["on", "en", "ti", "th", "nd", "re", "sh", "ou", "ea", "wh", "ble", "ing"]
+    words = [a + b + c + d for a in parts for b in parts for c in parts for d in parts]
+    greedy = [bpe._propose(w) for w in words[:2000]]
+    assert sum(g != bpe.merged(w) for g, w in zip(greedy, words)) > 200  # many have to be merged
+
+    def calls(some):
+        n = 0
+
+        def count(frame, event, arg):
+            nonlocal n
+            n += event == "call"
+
+        sys.setprofile(count)
+        try:
+            bpe.encode_words(some)
+        finally:
+            sys.setprofile(None)
+        return n
+
+    assert calls(words) < len(words) / 10
+    assert bpe.encode_words(words[::50]) == [library.encode(w, add_special_tokens=False).ids for w in words[::50]]
+
+
+def test_bpe_short_and_long_words_agree(library):
+    bpe, rng = encoder(Q.WORD_BPE).bpe, np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abehinorst"), n)) for n in (*range(1, 140), 400)]
+    words += ["".join(rng.choice(list("éßñжя日"), n)) for n in range(1, 40)] + ["a" * n for n in range(1, 80)]
+    want = [library.encode(w, add_special_tokens=False).ids for w in words]
+    assert bpe.encode_words(words) == want
+    assert [bpe._encoded_long(w) for w in words] == want
+    assert bpe.encode_words([]) == []
+
+
+def test_bpe_long_words_are_not_kept(library):
+    own = encoder(Q.WORD_BPE)
+    texts = ["q" * 300 + ". short", None, "x" * 200, "<|endoftext|>" + "ab" * 100 + "!?"]
+    assert [d for _, d in own.encode(texts)] == [_expected(library, t)[1] for t in texts]
+    assert "short" in own.new and max(map(len, own.new)) <= CACHE_CHARS
+    own.forget()
+
+
 def test_op3_equals_library(spark, library):
     ship(spark)
     got = {r["doc_id"]: r for r in Q.op3_bpe(spark, SMALL).collect()}
